@@ -162,9 +162,10 @@ def gold_refresh_stream(
     silver = silver_bookings.bookings(events, channels)
 
     def refresh(batch: DataFrame, _: int) -> None:
-        rows = gold_bookings.valid_bookings(batch)
+        rows = gold_bookings.valid_bookings(batch).persist()
         write_table(rows, facts, mode="append", partition_by=[FACTS_PARTITION], fmt=fmt)
         refresh_days(batch.sparkSession, facts, gold, rows.select(FACTS_PARTITION), fmt=fmt)
+        rows.unpersist()
 
     return _started(silver.writeStream.foreachBatch(refresh), checkpoint, every)
 
