@@ -20,7 +20,7 @@ def blank_to_null(c: Column) -> Column:
 
 def last_segment(uri: Column) -> Column:
     """Last path segment of a URI, ignoring trailing slashes; NULL when there is none."""
-    return blank_to_null(F.regexp_extract(uri.cast("string"), r"([^/]+)/*$", 1))
+    return blank_to_null(F.substring_index(F.rtrim(uri.cast("string"), F.lit("/")), "/", -1))
 
 
 def query_parameter(url: Column, name: str) -> Column:
@@ -119,6 +119,16 @@ def mean_count(total: Column, count: Column) -> Column:
     return F.bround(F.try_divide(total.cast("double"), count), 2)
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """The same rows, with every column computed at this point and once.
+
+    Catalyst otherwise copies the expressions behind a column into each filter and projection
+    that uses it, which for a parsed document means parsing it again each time. A generator is
+    a step it does not merge across.
+    """
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
+
+
 def all_of(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 

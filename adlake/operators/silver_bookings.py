@@ -49,20 +49,10 @@ def rules() -> list[Rule]:
 
 
 def _event(bronze: DataFrame) -> Column:
-    """The webhook event: enveloped under ``raw_event``, or lying bare at the top level."""
-    enveloped = c.safe_col(bronze, "raw_event", dtype=WEBHOOK_EVENT)
+    event = c.safe_col(bronze, "raw_event", dtype=WEBHOOK_EVENT)
     if dict(bronze.dtypes).get("raw_event") == "variant":
-        enveloped = F.from_json(enveloped.cast("string"), WEBHOOK_EVENT)
-    if not {"event", "payload"} <= set(bronze.columns):
-        return enveloped
-    bare = F.struct(
-        F.col("event"),
-        c.safe_col(bronze, "created_at").alias("created_at"),
-        c.safe_col(bronze, "created_by").alias("created_by"),
-        F.col("payload"),
-    )
-    is_bare = (F.col("event") == WANTED_WEBHOOK_EVENT) & F.col("payload").isNotNull()
-    return F.coalesce(enveloped, F.when(is_bare, bare)) if "raw_event" in bronze.columns else bare
+        return F.from_json(event.cast("string"), WEBHOOK_EVENT)
+    return event
 
 
 def flatten(bronze: DataFrame, channels: Mapping[str, str] = CHANNEL_BY_EVENT_TYPE) -> DataFrame:

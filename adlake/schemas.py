@@ -19,13 +19,14 @@ WEBHOOK_EVENT = f"struct<event: string, created_at: string, created_by: string,
 # amounts are read as strings so that a non-numeric one is rejected alone, not its whole file
 SPEND_RECORDS = "array<struct<date: string, channel: string, spend: string>>"
 
-# the last four columns accept a bare webhook event lying next to enveloped ones
 BRONZE_BOOKING = f"""
   source_system string, ingestion_timestamp string, webhook_event string, booking_id string,
   event_type_uri string, channel string, raw_s3_key string, raw_event {WEBHOOK_EVENT},
-  event string, created_at string, created_by string, payload {PAYLOAD},
   _corrupt_record string"""
 
+# columns of a bare webhook event lying next to enveloped ones
+BARE_EVENT = f"event string, created_at string, created_by string, payload {PAYLOAD}"
+
 BRONZE_SPEND = f"""
   source_system string, ingestion_timestamp string, source_url string,
   source_file_name string, raw_s3_key string, raw_payload {SPEND_RECORDS},

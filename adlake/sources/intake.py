@@ -19,7 +19,6 @@ from adlake.fixed_values import (
 )
 from adlake.functions import columns as c
 from adlake.operators.quality import Rule, with_reasons
-from adlake.schemas import WEBHOOK_EVENT
 
 REQUESTS = "body string, isBase64Encoded boolean"
 
@@ -62,21 +61,20 @@ def read_requests(spark: SparkSession, path: str, *, streaming: bool = False) ->
 
 def webhook_rules() -> list[Rule]:
     text, parsed = F.col("_text"), F.col("raw_event")
-    is_object = _kind(parsed).startswith("OBJECT")
-    meeting = _kind(F.try_variant_get(parsed, "$.payload.scheduled_event", "variant"))
-    payload = _kind(F.try_variant_get(parsed, "$.payload", "variant"))
 
-    def filled(kind: Column) -> Column:
+    def filled(path: str) -> Column:
+        kind = _kind(F.try_variant_get(parsed, path, "variant"))
         return kind.startswith("OBJECT") & (kind != "OBJECT<>")
 
+    meeting = filled("$.payload.scheduled_event")
     return [
         Rule("missing_body", F.col("body").isNotNull()),
         Rule("invalid_encoding", F.col("body").isNull() | text.isNotNull()),
         Rule("invalid_json", text.isNull() | parsed.isNotNull()),
-        Rule("not_an_object", parsed.isNull() | is_object),
+        Rule("not_an_object", parsed.isNull() | F.ltrim(text).startswith("{")),
         Rule("unsupported_event", F.col("webhook_event") == WANTED_WEBHOOK_EVENT),
-        Rule("missing_payload", filled(payload)),
-        Rule("missing_scheduled_event", filled(meeting)),
+        Rule("missing_payload", meeting | filled("$.payload")),
+        Rule("missing_scheduled_event", meeting),
     ]
 
 
@@ -92,24 +90,25 @@ def webhook_intake(
     An event without a booking id is keyed by a digest of its body, so that a retried task
     names it the same again.
     """
-    parsed = requests.withColumn("_text", decoded_body(requests)).withColumns(
-        {
-            "raw_event": F.try_parse_json("_text"),
-            "_event": F.from_json("_text", WEBHOOK_EVENT),
-            "ingestion_timestamp": ingestion_time(ingested_at),
-        }
-    )
-    event_type = F.col("_event.payload.scheduled_event.event_type")
-    named = parsed.withColumns(
-        {
-            "source_system": F.lit(source_system),
-            "webhook_event": F.col("_event.event"),
-            "booking_id": c.last_segment(F.col("_event.payload.uri")),
-            "event_type_uri": event_type,
-            "channel": c.lookup(event_type, channels),
-            "event_type": c.label(F.col("_event.event"), UNKNOWN_WEBHOOK_EVENT),
-            "ingest_date": F.left("ingestion_timestamp", F.lit(10)),
-        }
+    decoded = c.settled(requests.select("body", decoded_body(requests).alias("_text")))
+    parsed = c.settled(decoded.withColumn("raw_event", F.try_parse_json("_text")))
+
+    def field(path: str) -> Column:
+        return F.try_variant_get("raw_event", f"$.{path}", "string")
+
+    event_type = field("payload.scheduled_event.event_type")
+    named = parsed.select(
+        "body",
+        "_text",
+        "raw_event",
+        F.lit(source_system).alias("source_system"),
+        ingestion_time(ingested_at).alias("ingestion_timestamp"),
+        field("event").alias("webhook_event"),
+        c.last_segment(field("payload.uri")).alias("booking_id"),
+        event_type.alias("event_type_uri"),
+        c.lookup(event_type, channels).alias("channel"),
+        c.label(field("event"), UNKNOWN_WEBHOOK_EVENT).alias("event_type"),
+        F.left(ingestion_time(ingested_at), F.lit(10)).alias("ingest_date"),
     )
     name = F.coalesce("booking_id", F.sha2(F.coalesce("_text", F.lit("")), 256))
     key = F.format_string(

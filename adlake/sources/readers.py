@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlake.schemas import BRONZE_BOOKING, BRONZE_SPEND
+from adlake.fixed_values import BOOKING_SOURCE_SYSTEM, WANTED_WEBHOOK_EVENT
+from adlake.schemas import BARE_EVENT, BRONZE_BOOKING, BRONZE_SPEND
 from adlake.session import table_format
 
 LAYOUTS = ("documents", "lines")
@@ -36,10 +37,24 @@ def read_bronze_bookings(
     layout: str = "documents",
     glob: str | None = None,
     streaming: bool = False,
+    bare: bool = False,
 ) -> DataFrame:
     """Webhook events under ``path`` at any depth. Unreadable ones keep their text in
-    ``_corrupt_record`` and end up among the rejects."""
-    return _bronze(spark, path, BRONZE_BOOKING, layout, glob, streaming)
+    ``_corrupt_record`` and end up among the rejects. ``bare`` also takes wanted events that
+    were stored without an envelope."""
+    if not bare:
+        return _bronze(spark, path, BRONZE_BOOKING, layout, glob, streaming)
+    schema = f"{BRONZE_BOOKING}, {BARE_EVENT}"
+    return with_bare_events(_bronze(spark, path, schema, layout, glob, streaming))
+
+
+def with_bare_events(bronze: DataFrame) -> DataFrame:
+    """Move bare events into ``raw_event``, where enveloped ones are."""
+    names = ["event", "created_at", "created_by", "payload"]
+    wanted = (F.col("event") == WANTED_WEBHOOK_EVENT) & F.col("payload").isNotNull()
+    moved = F.coalesce("raw_event", F.when(wanted, F.struct(*names)))
+    system = F.coalesce("source_system", F.when(wanted, F.lit(BOOKING_SOURCE_SYSTEM)))
+    return bronze.withColumns({"raw_event": moved, "source_system": system}).drop(*names)
 
 
 def read_bronze_spend(
