@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
 MONEY = "decimal(18,2)"
+MONEY_SUM = "decimal(28,2)"
 
 
 def blank_to_null(c: Column) -> Column:

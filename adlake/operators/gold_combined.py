@@ -1,9 +1,9 @@
 """Gold tables that set spend against bookings.
 
-Both inputs are stacked into one frame of activity rows and grouped once. That keeps keys
-present on one side only, as a full outer join would, without joining: a spend row has no
-booking id, so the distinct count ignores it, and a booking row adds no money. The shuffle
-carries one row per (key, booking id) and one pre-summed row per key of spend from each map task.
+A single table joins two aggregates in full outer fashion; both arrive partitioned by the
+join keys, so the join itself shuffles nothing. Where several figures come out of one pass
+(the KPIs, the cube of all three tables) the inputs are stacked instead: a spend row has no
+booking id and a booking row no money, so one aggregation serves both, without cross joins.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from adlake.functions import columns as c
 from adlake.operators.gold_bookings import CALLS, as_date
-from adlake.operators.gold_spend import valid_spend
+from adlake.operators.gold_spend import daily_totals, valid_spend
 from adlake.operators.quality import keep_valid, parsed, require_columns, required
 
 REQUIRED = ["booking_id", "booking_date", "channel"]
@@ -35,25 +35,37 @@ def countable_bookings(silver: DataFrame) -> DataFrame:
     return keep_valid(shaped, rules).select(REQUIRED)
 
 
-def activity(silver_spend: DataFrame, silver_bookings: DataFrame) -> DataFrame:
-    """Spend and booking rows stacked, each with its day and channel."""
-    spent = valid_spend(silver_spend).select(
+def activity(spend: DataFrame, bookings: DataFrame) -> DataFrame:
+    """Spend rows (``spend_date, channel, usd``) and countable bookings stacked, each with its
+    day and channel."""
+    spent = spend.select(
         F.col("spend_date").alias("metric_date"),
         "channel",
-        "spend_usd",
+        F.col("usd").cast(c.MONEY_SUM).alias("usd"),
         F.lit(None).cast("string").alias("booking_id"),
     )
-    booked = countable_bookings(silver_bookings).select(
+    booked = bookings.select(
         F.col("booking_date").alias("metric_date"),
         "channel",
-        F.lit(None).cast(c.MONEY).alias("spend_usd"),
+        F.lit(None).cast(c.MONEY_SUM).alias("usd"),
         "booking_id",
     )
     return spent.unionByName(booked)
 
 
+def _summed_activity(silver_spend: DataFrame, silver_bookings: DataFrame) -> DataFrame:
+    """Activity with spend already summed per day and channel: for aggregates that multiply
+    their input (several distinct counts, grouping sets), so that they multiply little."""
+    spend = daily_totals(silver_spend).withColumnRenamed("total", "usd")
+    return activity(spend, countable_bookings(silver_bookings))
+
+
 def _total() -> Column:
-    return F.coalesce(F.sum("spend_usd"), F.lit(0).cast(c.MONEY)).alias("total")
+    return F.coalesce(F.sum("usd").cast(c.MONEY_SUM), _nothing()).alias("total")
+
+
+def _nothing() -> Column:
+    return F.lit(0).cast(c.MONEY_SUM)
 
 
 def _priced(grouped: DataFrame, *keys: str) -> DataFrame:
@@ -65,23 +77,39 @@ def _priced(grouped: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def _cost_by(rows: DataFrame, *keys: str) -> DataFrame:
-    grouped = rows.groupBy(*keys).agg(_total(), F.count_distinct("booking_id").alias(CALLS))
-    return _priced(grouped, *keys)
+def _cost_by(silver_spend: DataFrame, silver_bookings: DataFrame, *keys: str) -> DataFrame:
+    spent = (
+        valid_spend(silver_spend)
+        .withColumnRenamed("spend_date", "metric_date")
+        .groupBy(*keys)
+        .agg(F.sum("spend_usd").alias("spent"))
+    )
+    booked = (
+        countable_bookings(silver_bookings)
+        .withColumnRenamed("booking_date", "metric_date")
+        .groupBy(*keys)
+        .agg(F.count_distinct("booking_id").alias("booked"))
+    )
+    both = spent.join(booked, on=list(keys), how="full_outer").select(
+        *keys,
+        F.coalesce("spent", _nothing()).alias("total"),
+        F.coalesce("booked", F.lit(0)).alias(CALLS),
+    )
+    return _priced(both, *keys)
 
 
 def cpb_by_channel(silver_spend: DataFrame, silver_bookings: DataFrame) -> DataFrame:
-    return _cost_by(activity(silver_spend, silver_bookings), "channel")
+    return _cost_by(silver_spend, silver_bookings, "channel")
 
 
 def daily_cpb_by_channel(silver_spend: DataFrame, silver_bookings: DataFrame) -> DataFrame:
-    return _cost_by(activity(silver_spend, silver_bookings), "metric_date", "channel")
+    return _cost_by(silver_spend, silver_bookings, "metric_date", "channel")
 
 
 def combined_dashboard_kpis(silver_spend: DataFrame, silver_bookings: DataFrame) -> DataFrame:
     """One row, also over empty inputs. Channels count once whichever side they come from."""
     booked = F.col("booking_id").isNotNull()
-    totals = activity(silver_spend, silver_bookings).agg(
+    totals = _summed_activity(silver_spend, silver_bookings).agg(
         _total(),
         F.count_distinct("booking_id").alias("total_bookings"),
         F.count_distinct("channel").alias("channel_count"),
@@ -115,12 +143,12 @@ def combined_cube(silver_spend: DataFrame, silver_bookings: DataFrame) -> DataFr
     """Spend and distinct bookings per day and channel, per channel and overall, reading each
     input once. As small as the three tables that come out of it."""
     day, channel = F.col("metric_date"), F.col("channel")
-    rows = activity(silver_spend, silver_bookings)
+    rows = _summed_activity(silver_spend, silver_bookings)
     return rows.groupingSets([[day, channel], [channel], []], day, channel).agg(
         F.grouping("metric_date").alias("all_days"),
         F.grouping("channel").alias("all_channels"),
         _total(),
-        F.count("spend_usd").alias("spend_rows"),
+        F.count("usd").alias("spend_rows"),
         F.count_distinct("booking_id").alias(CALLS),
     )
 
@@ -131,7 +159,7 @@ def tables_from_cube(cube: DataFrame) -> dict[str, DataFrame]:
     is_daily = F.col("all_days") == 0
     is_overall = F.col("all_channels") == 1
     totals = cube.agg(
-        F.coalesce(F.sum(F.when(is_overall, F.col("total"))), F.lit(0).cast(c.MONEY)).alias("total"),
+        F.coalesce(F.max(F.when(is_overall, F.col("total"))), _nothing()).alias("total"),
         F.coalesce(F.max(F.when(is_overall, F.col(CALLS))), F.lit(0)).alias("total_bookings"),
         F.count_distinct(F.when(is_daily, F.col("channel"))).alias("channel_count"),
         F.count_distinct(
@@ -162,34 +190,3 @@ def channels_in_use(silver_spend: DataFrame, silver_bookings: DataFrame) -> Data
     """Every channel of either input, once."""
     spent = valid_spend(silver_spend).select("channel")
     return spent.union(countable_bookings(silver_bookings).select("channel")).distinct()
-
-
-def _joined(silver_spend: DataFrame, silver_bookings: DataFrame, *keys: str) -> DataFrame:
-    spent = (
-        valid_spend(silver_spend)
-        .withColumnRenamed("spend_date", "metric_date")
-        .groupBy(*keys)
-        .agg(F.sum("spend_usd").alias("spent"))
-    )
-    booked = (
-        countable_bookings(silver_bookings)
-        .withColumnRenamed("booking_date", "metric_date")
-        .groupBy(*keys)
-        .agg(F.count_distinct("booking_id").alias("booked"))
-    )
-    both = spent.join(booked, on=list(keys), how="full_outer").select(
-        *keys,
-        F.coalesce("spent", F.lit(0).cast(c.MONEY)).alias("total"),
-        F.coalesce("booked", F.lit(0)).alias(CALLS),
-    )
-    return _priced(both, *keys)
-
-
-def cpb_by_channel_joined(silver_spend: DataFrame, silver_bookings: DataFrame) -> DataFrame:
-    """:func:`cpb_by_channel` as a full outer join of two aggregates. Same rows; kept for inputs
-    that are already aggregated, where joining is the cheaper plan."""
-    return _joined(silver_spend, silver_bookings, "channel")
-
-
-def daily_cpb_by_channel_joined(silver_spend: DataFrame, silver_bookings: DataFrame) -> DataFrame:
-    return _joined(silver_spend, silver_bookings, "metric_date", "channel")

@@ -18,6 +18,9 @@ from adlake.operators.quality import (
 
 REQUIRED = ["spend_date", "channel", "spend_usd"]
 
+# what rounds to a cent below zero, and what no longer fits the money type
+NO_CENT, MONEY_LIMIT = -0.005, 1e16
+
 PARTITIONS = {"daily_spend_by_channel": ["spend_date"]}
 
 
@@ -32,30 +35,33 @@ def _shaped(silver: DataFrame) -> DataFrame:
     )
 
 
-def _rules() -> list[Rule]:
-    spend = F.col("spend_usd")
+def _rules(shaped: DataFrame) -> list[Rule]:
+    exact, written = F.col("spend_usd"), F.col("_spend_usd")
+    if dict(shaped.dtypes)["_spend_usd"] == "string":
+        readable, not_negative = exact.isNotNull(), exact >= 0
+    else:
+        # the same verdict from the stored amount (NaN is beyond any number): the comparisons
+        # reach the parquet scan, and the costly conversion is left to the rows that stay
+        readable, not_negative = written < MONEY_LIMIT, written > NO_CENT
     return [
         *parsed("spend_date", "_spend_date"),
         *required("channel"),
-        *parsed("spend_usd", "_spend_usd"),
-        Rule("negative_spend_usd", spend.isNull() | (spend >= 0)),
+        Rule("missing_spend_usd", written.isNotNull()),
+        Rule("invalid_spend_usd", written.isNull() | readable),
+        Rule("negative_spend_usd", written.isNull() | ~readable | not_negative),
     ]
 
 
 def valid_spend(silver: DataFrame) -> DataFrame:
     """The rows that spend and combined tables sum."""
     shaped = _shaped(silver)
-    if dict(shaped.dtypes)["_spend_usd"] != "string":
-        # only a test of the stored amount reaches the parquet scan, one of its decimal does
-        # not; nothing at or below a negative cent could pass that one
-        shaped = shaped.where(F.col("_spend_usd") > -0.01)
-    return keep_valid(shaped, _rules()).select(REQUIRED)
+    return keep_valid(shaped, _rules(shaped)).select(REQUIRED)
 
 
 def checked_spend(silver: DataFrame) -> DataFrame:
     """Every row with the reasons that keep it out of the spend tables."""
-    checked = with_reasons(_shaped(silver), _rules())
-    return checked.withColumnsRenamed(
+    shaped = _shaped(silver)
+    return with_reasons(shaped, _rules(shaped)).withColumnsRenamed(
         {"_spend_date": "written_spend_date", "_spend_usd": "written_spend_usd"}
     )
 
@@ -83,7 +89,8 @@ def _daily(totals: DataFrame) -> DataFrame:
 def _summary(totals: DataFrame) -> DataFrame:
     # one row per date and channel comes in, so counting rows counts days
     by_channel = totals.groupBy("channel").agg(
-        F.sum("total").alias("total"), F.count("*").alias("spend_day_count")
+        F.sum("total").cast(c.MONEY_SUM).alias("total"),
+        F.count("*").alias("spend_day_count"),
     )
     return by_channel.select(
         "channel",

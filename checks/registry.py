@@ -243,16 +243,6 @@ for _name, _sql in COMBINED_TABLES_SQL.items():
     )
 
 
-@check("cpb_by_channel_joined", COMBINED_TABLES_SQL["cpb_by_channel"])
-def _cpb_by_channel_joined(spark, sf):
-    return gold_combined.cpb_by_channel_joined(*_inputs(spark, sf))
-
-
-@check("daily_cpb_by_channel_joined", COMBINED_TABLES_SQL["daily_cpb_by_channel"])
-def _daily_cpb_by_channel_joined(spark, sf):
-    return gold_combined.daily_cpb_by_channel_joined(*_inputs(spark, sf))
-
-
 @check(
     "dashboard_kpis",
     f"""SELECT total_bookings, total_spend_usd AS total_spend,
@@ -297,9 +287,10 @@ def _line_cpb_daily(spark, sf):
     return gold_combined.daily_cpb_by_channel(*_line_inputs(spark, sf))
 
 
-@check("line_cpb_daily_joined", _cpb_sql("metric_date, channel", LINE_BOTH_SQL))
-def _line_cpb_daily_joined(spark, sf):
-    return gold_combined.daily_cpb_by_channel_joined(*_line_inputs(spark, sf))
+@check("line_cpb_daily_from_cube", _cpb_sql("metric_date, channel", LINE_BOTH_SQL))
+def _line_cpb_daily_from_cube(spark, sf):
+    cube = gold_combined.combined_cube(*_line_inputs(spark, sf))
+    return gold_combined.tables_from_cube(cube)["daily_cpb_by_channel"]
 
 
 @check("line_cpb", _cpb_sql("channel", LINE_BOTH_SQL))

@@ -36,7 +36,8 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "user_id",
         "event_type",
         "value",
-        F.from_json("props", "k int")["k"].alias("k"),
+        # generated, so that props is parsed once however many columns use k
+        F.inline(F.array(F.from_json("props", "k int"))),
     )
 
 
@@ -266,7 +267,7 @@ def webhook_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests carrying the webhook events; some bodies are base64, some unusable."""
     k = F.col("k")
     body = F.to_json("raw_event")
-    return webhook_events(spark, sf_dir).select(
+    requests = webhook_events(spark, sf_dir).select(
         "event_id",
         F.when(k % 23 == 0, F.lit(None))
         .when(k % 23 == 1, F.lit("{broken"))
@@ -276,6 +277,7 @@ def webhook_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("body"),
         ((k % 3 == 0) & (k % 23 > 2)).alias("isBase64Encoded"),
     )
+    return c.settled(requests)
 
 
 def _written_spend() -> tuple[Column, Column, Column]:
