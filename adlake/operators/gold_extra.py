@@ -9,7 +9,7 @@ from adlake.fixed_values import UNKNOWN_CAMPAIGN
 from adlake.functions import columns as c
 from adlake.operators.gold_bookings import as_date
 from adlake.operators.gold_spend import valid_spend
-from adlake.operators.quality import require_columns
+from adlake.operators.quality import keep_valid, require_columns, required
 
 
 def campaign_cpb(silver_spend: DataFrame, silver_bookings: DataFrame) -> DataFrame:
@@ -45,8 +45,8 @@ def time_slot_by_channel(silver_bookings: DataFrame) -> DataFrame:
         F.col("meeting_hour").try_cast("int").alias("meeting_hour"),
         c.blank_to_null(F.col("channel")).alias("channel"),
         c.blank_to_null(F.col("booking_id")).alias("booking_id"),
-    ).dropna()
-    return slots.groupBy("meeting_day_of_week", "meeting_hour", "channel").agg(
+    )
+    return keep_valid(slots, required(*needed)).groupBy("meeting_day_of_week", "meeting_hour", "channel").agg(
         F.count_distinct("booking_id").alias("bookings")
     )
 
@@ -60,20 +60,21 @@ def employee_weekly_load(silver_bookings: DataFrame) -> DataFrame:
     """
     needed = ["booking_id", "employee_id", "meeting_week_start_date", "booking_date"]
     require_columns(silver_bookings, needed, "silver bookings")
-    rows = silver_bookings.select(
+    shaped = silver_bookings.select(
         c.blank_to_null(F.col("employee_id")).alias("employee_id"),
         c.blank_to_null(F.col("booking_id")).alias("booking_id"),
         as_date(silver_bookings, "meeting_week_start_date").alias("week"),
         as_date(silver_bookings, "booking_date").alias("booked_on"),
         c.blank_to_null(c.safe_col(silver_bookings, "employee_name")).alias("employee_name"),
-    ).dropna(subset=["employee_id", "booking_id", "week"])
+    )
+    rows = keep_valid(shaped, required("employee_id", "booking_id", "week"))
 
     load = rows.groupBy("employee_id").agg(
         F.count_distinct("booking_id").alias("total_meetings"),
         F.count_distinct("week").alias("number_of_weeks"),
     )
     spellings = (
-        rows.dropna(subset=["employee_name"])
+        rows.where(F.col("employee_name").isNotNull())
         .groupBy("employee_id", "employee_name")
         .agg(F.max("booked_on").alias("last_used"))
     )
