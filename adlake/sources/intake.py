@@ -3,7 +3,7 @@ with its lineage. The payload is kept as VARIANT, so fields no schema knows surv
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -130,13 +130,14 @@ def spend_intake(
     source_base_url: str | None = None,
     source_system: str = SPEND_SOURCE_SYSTEM,
     glob: str | None = "spend_data_*.json",
+    file_names: Collection[str] | None = None,
 ) -> DataFrame:
-    """Raw spend files, one bronze row per file. ``record_count`` is NULL for a file that does
-    not hold an array."""
-    reader = spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    files = reader.text(path).select(
+    """Raw spend files, one bronze row per file; only those in ``file_names`` when given, and
+    then no others are opened. ``record_count`` is NULL for a file that holds no array."""
+    found = spark.read.text(path, wholetext=True, pathGlobFilter=glob, recursiveFileLookup=True)
+    if file_names is not None:
+        found = found.where(F.col("_metadata.file_name").isin(*file_names))
+    files = found.select(
         F.try_parse_json("value").alias("raw_payload"),
         F.col("_metadata.file_path").alias("source_file_path"),
         F.col("_metadata.file_name").alias("source_file_name"),

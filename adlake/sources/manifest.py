@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Collection
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlake.fixed_values import MANIFEST_LIST_KEYS, MANIFEST_NAME_KEYS, SPEND_FILE_PATTERN
@@ -29,6 +29,11 @@ def spend_file_names(paths: DataFrame, column: str = "path") -> DataFrame:
     return paths.select(name).where(F.col("file_name").rlike(SPEND_FILE_PATTERN)).distinct()
 
 
+def read_manifests(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Manifest files, one row per file."""
+    return spark.read.text(path, wholetext=True)
+
+
 def manifest_names(manifests: DataFrame, column: str = "value") -> DataFrame:
     """Distinct spend file names listed by JSON manifests (one per row).
 

@@ -30,6 +30,6 @@ def rows():
     """Rows of a frame as tuples, in a stable order."""
 
     def collect(df):
-        return sorted((tuple(row) for row in df.collect()), key=repr)
+        return sorted((tuple(row) for row in df.collect()), key=lambda row: [str(value) for value in row])
 
     return collect
