@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from adlake.fixed_values import UNKNOWN_CAMPAIGN
 from adlake.functions import columns as c
-from adlake.operators.gold_bookings import as_date
+from adlake.operators.gold_bookings import as_date, daily_calls_by_source
+from adlake.operators.gold_combined import cpb_by_channel, dashboard_kpis
 from adlake.operators.gold_spend import valid_spend
 from adlake.operators.quality import keep_valid, require_columns, required
 
@@ -90,3 +91,17 @@ def employee_weekly_load(silver_bookings: DataFrame) -> DataFrame:
             "avg_meetings_per_week"
         ),
     )
+
+
+def metric_tables(silver_spend: DataFrame, silver_bookings: DataFrame) -> dict[str, DataFrame]:
+    """The metrics bundle that is exported as JSON."""
+    daily_calls = daily_calls_by_source(silver_bookings)
+    return {
+        "dashboard_kpis": dashboard_kpis(silver_spend, silver_bookings),
+        "daily_calls_by_source": daily_calls,
+        "cpb_by_channel": cpb_by_channel(silver_spend, silver_bookings),
+        "booking_trends": daily_calls,
+        "channel_attribution": campaign_cpb(silver_spend, silver_bookings),
+        "booking_volume_by_time_slot": time_slot_by_channel(silver_bookings),
+        "employee_meeting_load": employee_weekly_load(silver_bookings),
+    }

@@ -18,10 +18,11 @@ from pyspark.sql import functions as F
 
 from adlake.fixed_values import CHANNEL_BY_EVENT_TYPE, SPEND_CHANNELS
 from adlake.operators import gold_bookings, gold_combined, gold_spend, silver_bookings, silver_spend
+from adlake.operators.gold_extra import metric_tables
 from adlake.operators.quality import REASONS, raise_on_rejects, rejected_rows
 from adlake.session import build_session, checkpointed
 from adlake.sources.readers import read_bronze_bookings, read_bronze_spend, read_table
-from adlake.sources.sinks import register_table, stamped, write_table
+from adlake.sources.sinks import export_json, register_table, stamped, write_table
 
 SILVER_STAMP = "silver_processed_at"
 GOLD_STAMP = "gold_processed_at"
@@ -159,6 +160,21 @@ def gold_combined_job(
     _write_gold(tables, root, gold_combined.PARTITIONS, mode, fmt, paths)
 
 
+def metrics_job(
+    spark: SparkSession,
+    silver_spend_path: str,
+    silver_bookings_path: str,
+    root: str,
+    *,
+    fmt: str | None = None,
+) -> None:
+    """The metrics bundle as JSON, one folder per metric under ``root``."""
+    spend = read_table(spark, silver_spend_path, fmt)
+    bookings = read_table(spark, silver_bookings_path, fmt)
+    for name, table in metric_tables(spend, bookings).items():
+        export_json(table, f"{root}/{name}")
+
+
 GOLD_TABLES = [
     *gold_bookings.GRAINS,
     "booking_dashboard_kpis",
@@ -235,10 +251,11 @@ def _parser() -> argparse.ArgumentParser:
         gold = jobs.add_parser(name, parents=[shared])
         gold.add_argument("--silver", required=True)
         gold.add_argument("--root", required=True)
-    combined = jobs.add_parser("gold-combined", parents=[shared])
-    combined.add_argument("--silver-spend", required=True)
-    combined.add_argument("--silver-bookings", required=True)
-    combined.add_argument("--root", required=True)
+    for name in ("gold-combined", "metrics"):
+        combined = jobs.add_parser(name, parents=[shared])
+        combined.add_argument("--silver-spend", required=True)
+        combined.add_argument("--silver-bookings", required=True)
+        combined.add_argument("--root", required=True)
     everything = jobs.add_parser("refresh", parents=[shared, intake])
     everything.add_argument("--bronze-bookings", required=True)
     everything.add_argument("--bronze-spend", required=True)
@@ -268,6 +285,8 @@ def main(argv: list[str] | None = None) -> None:
         )
     elif args.job == "gold-combined":
         gold_combined_job(spark, args.silver_spend, args.silver_bookings, args.root, **table)
+    elif args.job == "metrics":
+        metrics_job(spark, args.silver_spend, args.silver_bookings, args.root, fmt=args.fmt)
     elif args.job == "refresh":
         refresh_lakehouse(
             spark, args.bronze_bookings, args.bronze_spend, args.root,

@@ -54,9 +54,14 @@ def _kind(value: Column) -> Column:
     return F.schema_of_variant(value)
 
 
-def read_requests(spark: SparkSession, path: str, *, streaming: bool = False) -> DataFrame:
+def read_requests(
+    spark: SparkSession, path: str, *, streaming: bool = False, files_per_batch: int | None = None
+) -> DataFrame:
     """Logged webhook requests, one JSON object per line with ``body`` and ``isBase64Encoded``."""
-    return (spark.readStream if streaming else spark.read).schema(REQUESTS).json(path)
+    reader = (spark.readStream if streaming else spark.read).schema(REQUESTS)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.json(path)
 
 
 def webhook_rules() -> list[Rule]:

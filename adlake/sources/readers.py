@@ -12,7 +12,7 @@ from adlake.session import table_format
 LAYOUTS = ("documents", "lines")
 
 
-def _bronze(spark, path, schema, layout, glob, streaming) -> DataFrame:
+def _bronze(spark, path, schema, layout, glob, streaming, files_per_batch) -> DataFrame:
     """``documents``: one, possibly pretty-printed, JSON object per file, read whole by one
     task. ``lines``: one object per line, as our own intake writes, which Spark can split."""
     if layout not in LAYOUTS:
@@ -27,6 +27,8 @@ def _bronze(spark, path, schema, layout, glob, streaming) -> DataFrame:
     )
     if glob:
         reader = reader.option("pathGlobFilter", glob)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.json(path).select("*", F.col("_metadata.file_path").alias("source_file_path"))
 
 
@@ -37,15 +39,18 @@ def read_bronze_bookings(
     layout: str = "documents",
     glob: str | None = None,
     streaming: bool = False,
+    files_per_batch: int | None = None,
     bare: bool = False,
 ) -> DataFrame:
     """Webhook events under ``path`` at any depth. Unreadable ones keep their text in
     ``_corrupt_record`` and end up among the rejects. ``bare`` also takes wanted events that
     were stored without an envelope."""
     if not bare:
-        return _bronze(spark, path, BRONZE_BOOKING, layout, glob, streaming)
+        return _bronze(spark, path, BRONZE_BOOKING, layout, glob, streaming, files_per_batch)
     schema = f"{BRONZE_BOOKING}, {BARE_EVENT}"
-    return with_bare_events(_bronze(spark, path, schema, layout, glob, streaming))
+    return with_bare_events(
+        _bronze(spark, path, schema, layout, glob, streaming, files_per_batch)
+    )
 
 
 def with_bare_events(bronze: DataFrame) -> DataFrame:
@@ -64,8 +69,10 @@ def read_bronze_spend(
     layout: str = "documents",
     glob: str | None = None,
     streaming: bool = False,
+    files_per_batch: int | None = None,
 ) -> DataFrame:
-    return _bronze(spark, path, BRONZE_SPEND, layout, glob, streaming)
+    """Spend files under ``path`` at any depth, one row per file."""
+    return _bronze(spark, path, BRONZE_SPEND, layout, glob, streaming, files_per_batch)
 
 
 def read_table(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:

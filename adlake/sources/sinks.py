@@ -24,6 +24,7 @@ def write_table(
     mode: str = "overwrite",
     partition_by: Sequence[str] = (),
     fmt: str | None = None,
+    rebalance: bool = True,
 ) -> None:
     """Write a table.
 
@@ -32,12 +33,13 @@ def write_table(
     or for input known to be new).
 
     A partitioned write is rebalanced by its partition columns first: a date goes to few
-    files instead of one per task, while AQE splits a date too big for one task.
+    files instead of one per task, while AQE splits a date too big for one task. Turn that off
+    where AQE is (inside a stream), as a big date would then go to a single task.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
     fmt = fmt or table_format(df.sparkSession)
-    if partition_by:
+    if partition_by and rebalance:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.format(fmt).mode("append" if mode == "append" else "overwrite")
     if mode == "replace_partitions":

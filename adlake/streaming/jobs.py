@@ -1,7 +1,8 @@
 """Streaming counterparts of the batch jobs, over file sources.
 
 All default to ``availableNow``: take in what is there, then stop, so a scheduler can run them
-like batch jobs. A processing-time trigger turns them into standing queries.
+like batch jobs. ``every`` turns them into standing queries; ``files_per_batch`` bounds how much
+one micro-batch of a backlog takes on.
 """
 
 from __future__ import annotations
@@ -45,12 +46,12 @@ def intake_stream(
     channels: Mapping[str, str] = CHANNEL_BY_EVENT_TYPE,
     ingested_at: str | None = None,
     every: str | None = None,
+    files_per_batch: int | None = None,
 ) -> list[StreamingQuery]:
     """Webhook requests to bronze JSON lines, exactly once. Rejects, when wanted, are a second
     query with a checkpoint of its own."""
-    checked = webhook_intake(
-        read_requests(spark, requests, streaming=True), channels=channels, ingested_at=ingested_at
-    )
+    received = read_requests(spark, requests, streaming=True, files_per_batch=files_per_batch)
+    checked = webhook_intake(received, channels=channels, ingested_at=ingested_at)
     good = valid_rows(checked).select(*BOOKING_ENVELOPE, *BOOKING_PARTITIONS)
     sink = good.writeStream.format("json").option("path", target).partitionBy(*BOOKING_PARTITIONS)
     queries = [_started(sink, f"{checkpoint}/bronze", every)]
@@ -72,13 +73,16 @@ def silver_stream(
     once_within: str | None = None,
     fmt: str | None = None,
     every: str | None = None,
+    files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Bronze to silver with the batch job's own transformation.
 
     ``once_within`` drops redeliveries that follow within that time. It is off by default:
     every count is a distinct count, and Spark drops rows that arrive later than the bound.
     """
-    events = read_bronze_bookings(spark, bronze, layout=layout, streaming=True)
+    events = read_bronze_bookings(
+        spark, bronze, layout=layout, streaming=True, files_per_batch=files_per_batch
+    )
     silver = silver_bookings.bookings(events, channels)
     if once_within:
         silver = first_deliveries(silver, once_within).drop("delivered_at")
@@ -133,8 +137,11 @@ def closed_days_stream(
     layout: str = "lines",
     fmt: str | None = None,
     every: str | None = None,
+    files_per_batch: int | None = None,
 ) -> StreamingQuery:
-    events = read_bronze_bookings(spark, bronze, layout=layout, streaming=True)
+    events = read_bronze_bookings(
+        spark, bronze, layout=layout, streaming=True, files_per_batch=files_per_batch
+    )
     days = closed_day_counts(silver_bookings.bookings(events, channels), lateness)
     sink = days.writeStream.format(fmt or table_format(spark)).option("path", target)
     return _started(sink.outputMode("append"), checkpoint, every)
@@ -151,6 +158,7 @@ def gold_refresh_stream(
     layout: str = "lines",
     fmt: str | None = None,
     every: str | None = None,
+    files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Keep the per-day booking tables current by recomputing only the days a batch touches.
 
@@ -158,13 +166,18 @@ def gold_refresh_stream(
     refresh reads the touched days alone; silver itself is laid out by meeting date. A batch
     that is replayed after a failure appends its facts twice, which distinct counts absorb.
     """
-    events = read_bronze_bookings(spark, bronze, layout=layout, streaming=True)
+    events = read_bronze_bookings(
+        spark, bronze, layout=layout, streaming=True, files_per_batch=files_per_batch
+    )
     silver = silver_bookings.bookings(events, channels)
 
     def refresh(batch: DataFrame, _: int) -> None:
         rows = gold_bookings.valid_bookings(batch).persist()
-        write_table(rows, facts, mode="append", partition_by=[FACTS_PARTITION], fmt=fmt)
-        refresh_days(batch.sparkSession, facts, gold, rows.select(FACTS_PARTITION), fmt=fmt)
+        write_table(
+            rows, facts, mode="append", partition_by=[FACTS_PARTITION], fmt=fmt, rebalance=False
+        )
+        # the caller's session recomputes: the one of the batch runs without AQE
+        refresh_days(spark, facts, gold, rows.select(FACTS_PARTITION), fmt=fmt)
         rows.unpersist()
 
     return _started(silver.writeStream.foreachBatch(refresh), checkpoint, every)

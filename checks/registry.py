@@ -313,6 +313,33 @@ def _order_booking_cube(spark, sf):
     return gold_bookings.booking_cube(views.order_bookings(spark, sf))
 
 
+def _long_sql(source: str) -> str:
+    """The five tables in one, keys as text: what :func:`_long` makes of them."""
+    return f"WITH cube AS ({_cube_sql(source)}) " + " UNION ALL ".join(
+        f"SELECT grain, concat_ws('|', {', '.join(f'CAST({k} AS VARCHAR)' for k in keys)}) AS keys, "
+        f"booked_call_count FROM cube WHERE grain = '{grain}'"
+        for grain, keys in gold_bookings.GRAINS.items()
+    )
+
+
+@check("order_booking_tables", _long_sql(ORDER_BOOKINGS_SQL))
+def _order_booking_tables(spark, sf):
+    """The booking tables one by one, for comparison with the cube."""
+    tables = gold_bookings.booking_tables(views.order_bookings(spark, sf))
+    longs = [
+        tables[grain].select(
+            F.lit(grain).alias("grain"),
+            F.concat_ws("|", *(F.col(key).cast("string") for key in keys)).alias("keys"),
+            "booked_call_count",
+        )
+        for grain, keys in gold_bookings.GRAINS.items()
+    ]
+    merged = longs[0]
+    for table in longs[1:]:
+        merged = merged.unionByName(table)
+    return merged
+
+
 @check(
     "order_employee_load",
     _calls_sql("employee_id, employee_name, employee_email", ORDER_BOOKINGS_SQL),
@@ -894,6 +921,16 @@ def _refreshed_daily_cpb(spark, sf):
     return gold.select(reports.COLUMNS["daily_cpb_by_channel"])
 
 
+@check("exported_metrics", ORACLES["campaign_cpb"])
+def _exported_metrics(spark, sf):
+    spend, booked, root = (staging_path(spark, name) for name in ("spend", "bookings", "metrics"))
+    sinks.write_table(views.spend(spark, sf), spend, partition_by=["spend_date"], fmt="parquet")
+    sinks.write_table(views.bookings(spark, sf), booked, partition_by=["meeting_date"], fmt="parquet")
+    jobs.metrics_job(spark, spend, booked, root, fmt="parquet")
+    schema = gold_extra.campaign_cpb(*_inputs(spark, sf)).schema
+    return spark.read.schema(schema).json(f"{root}/channel_attribution")
+
+
 @check(
     "refreshed_row_counts",
     f"""WITH {JOB_SOURCES_SQL}

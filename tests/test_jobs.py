@@ -67,6 +67,10 @@ def test_command_line(bronze, spark, tmp_path):
     jobs.main(["gold-combined", "--silver-spend", spent, "--silver-bookings", silver, "--root", str(root)])
     assert {p.name for p in root.iterdir()} == {"s", "p", "r", *jobs.GOLD_TABLES}
     assert read_table(spark, f"{root}/channel_spend_summary", "parquet").head().channel == "radio"
+    jobs.main(["metrics", "--silver-spend", spent, "--silver-bookings", silver, "--root", str(root / "m")])
+    assert len(list((root / "m").iterdir())) == 7
+    (kpis,) = spark.read.json(f"{root}/m/dashboard_kpis").collect()
+    assert (kpis.total_bookings, kpis.total_spend) == (3, 1.0)
     with pytest.raises(SystemExit):
         jobs.main(["gold-spend"])
 
