@@ -71,14 +71,16 @@ def webhook_rules() -> list[Rule]:
         kind = _kind(F.try_variant_get(parsed, path, "variant"))
         return kind.startswith("OBJECT") & (kind != "OBJECT<>")
 
-    meeting = filled("$.payload.scheduled_event")
+    # a field found inside proves an object filled; only otherwise is it looked at as a whole
+    meeting = F.col("event_type_uri").isNotNull() | filled("$.payload.scheduled_event")
+    payload = meeting | F.col("booking_id").isNotNull() | filled("$.payload")
     return [
         Rule("missing_body", F.col("body").isNotNull()),
         Rule("invalid_encoding", F.col("body").isNull() | text.isNotNull()),
         Rule("invalid_json", text.isNull() | parsed.isNotNull()),
         Rule("not_an_object", parsed.isNull() | F.ltrim(text).startswith("{")),
         Rule("unsupported_event", F.col("webhook_event") == WANTED_WEBHOOK_EVENT),
-        Rule("missing_payload", meeting | filled("$.payload")),
+        Rule("missing_payload", payload),
         Rule("missing_scheduled_event", meeting),
     ]
 
