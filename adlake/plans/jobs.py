@@ -13,6 +13,7 @@ import argparse
 import json
 from collections.abc import Collection, Mapping
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +22,12 @@ from adlake.operators import gold_bookings, gold_combined, gold_spend, silver_bo
 from adlake.operators.gold_extra import metric_tables
 from adlake.operators.quality import REASONS, raise_on_rejects, rejected_rows
 from adlake.session import build_session, checkpointed
-from adlake.sources.readers import read_bronze_bookings, read_bronze_spend, read_table
+from adlake.sources.readers import (
+    read_bronze_bookings,
+    read_bronze_spend,
+    read_silver_bookings,
+    read_silver_spend,
+)
 from adlake.sources.sinks import export_json, register_table, stamped, write_table
 
 SILVER_STAMP = "silver_processed_at"
@@ -40,12 +46,21 @@ def _publish_silver(
     if not rejects:
         return
     bad = rejected_rows(checked)
-    bad = bad if seen.get["rejects"] else bad.limit(0)
+    bad = bad if _may_be_positive(seen, "rejects") else bad.limit(0)
     # rejects carry no reliable date to partition by, so a rerun rebuilds them unless appending
     how = "append" if mode == "append" else "overwrite"
     write_table(stamped(bad, SILVER_STAMP), rejects, mode=how, fmt=fmt)
 
 
+def _may_be_positive(seen: Observation, metric: str) -> bool:
+    """Whether the metric is positive. True as well where it was never taken: adaptive execution
+    drops a plan, observation and all, once it finds that nothing is left to write."""
+    try:
+        return seen.get[metric] > 0
+    except (Py4JJavaError, KeyError):
+        return True
+
+
 def silver_bookings_job(
     spark: SparkSession,
     source: str,
@@ -124,7 +139,7 @@ def gold_bookings_job(
     paths: Mapping[str, str] | None = None,
 ) -> None:
     """Six booking tables under ``root`` (or at ``paths`` by table name)."""
-    cube = checkpointed(gold_bookings.booking_cube(read_table(spark, silver, fmt)))
+    cube = checkpointed(gold_bookings.booking_cube(read_silver_bookings(spark, silver, fmt)))
     tables = gold_bookings.tables_from_cube(cube)
     _write_gold(tables, root, gold_bookings.PARTITIONS, mode, fmt, paths)
 
@@ -138,7 +153,7 @@ def gold_spend_job(
     fmt: str | None = None,
     paths: Mapping[str, str] | None = None,
 ) -> None:
-    totals = checkpointed(gold_spend.daily_totals(read_table(spark, silver, fmt)))
+    totals = checkpointed(gold_spend.daily_totals(read_silver_spend(spark, silver, fmt)))
     tables = gold_spend.tables_from_totals(totals)
     _write_gold(tables, root, gold_spend.PARTITIONS, mode, fmt, paths)
 
@@ -153,8 +168,8 @@ def gold_combined_job(
     fmt: str | None = None,
     paths: Mapping[str, str] | None = None,
 ) -> None:
-    spend = read_table(spark, silver_spend_path, fmt)
-    bookings = read_table(spark, silver_bookings_path, fmt)
+    spend = read_silver_spend(spark, silver_spend_path, fmt)
+    bookings = read_silver_bookings(spark, silver_bookings_path, fmt)
     cube = checkpointed(gold_combined.combined_cube(spend, bookings))
     tables = gold_combined.tables_from_cube(cube)
     _write_gold(tables, root, gold_combined.PARTITIONS, mode, fmt, paths)
@@ -169,8 +184,8 @@ def metrics_job(
     fmt: str | None = None,
 ) -> None:
     """The metrics bundle as JSON, one folder per metric under ``root``."""
-    spend = read_table(spark, silver_spend_path, fmt)
-    bookings = read_table(spark, silver_bookings_path, fmt)
+    spend = read_silver_spend(spark, silver_spend_path, fmt)
+    bookings = read_silver_bookings(spark, silver_bookings_path, fmt)
     for name, table in metric_tables(spend, bookings).items():
         export_json(table, f"{root}/{name}")
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlake.fixed_values import BOOKING_SOURCE_SYSTEM, WANTED_WEBHOOK_EVENT
-from adlake.schemas import BARE_EVENT, BRONZE_BOOKING, BRONZE_SPEND
+from adlake.schemas import BARE_EVENT, BRONZE_BOOKING, BRONZE_SPEND, SILVER_BOOKING, SILVER_SPEND
 from adlake.session import table_format
 
 LAYOUTS = ("documents", "lines")
@@ -78,3 +79,21 @@ def read_bronze_spend(
 def read_table(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
     """A silver or gold table."""
     return spark.read.format(fmt or table_format(spark)).load(path)
+
+
+def _read_silver(spark: SparkSession, path: str, schema: str, fmt: str | None) -> DataFrame:
+    try:
+        return read_table(spark, path, fmt)
+    except AnalysisException as error:
+        # a partitioned Parquet table without rows has no file to take a schema from
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return spark.read.format(fmt or table_format(spark)).schema(schema).load(path)
+
+
+def read_silver_bookings(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
+    return _read_silver(spark, path, SILVER_BOOKING, fmt)
+
+
+def read_silver_spend(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
+    return _read_silver(spark, path, SILVER_SPEND, fmt)

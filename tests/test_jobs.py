@@ -49,6 +49,29 @@ def test_refresh_lakehouse(spark, bronze, tmp_path, rows):
     assert tuple(kpis)[:-1] == (1140.87, 3, 380.29, 3, 2, 1)
 
 
+def test_nothing_valid(spark, tmp_path):
+    bad, spent, root = tmp_path / "bad", tmp_path / "spend", str(tmp_path / "lake")
+    bad.mkdir(), spent.mkdir()
+    (bad / "1.json").write_text(json.dumps(envelope(webhook("1", start="never"))))
+    jobs.refresh_lakehouse(spark, str(bad), str(spent), root, fmt="parquet")
+    assert read_table(spark, f"{root}/rejects/bookings", "parquet").count() == 1
+    assert read_table(spark, f"{root}/rejects/spend", "parquet").count() == 0
+    kpis = read_table(spark, f"{root}/gold/combined_dashboard_kpis", "parquet").drop("gold_processed_at")
+    assert tuple(kpis.head()) == (0.0, 0, None, 0, 0, 0)
+
+
+def test_silver_schemas_are_those_written(spark):
+    from adlake.operators import silver_bookings, silver_spend
+    from adlake.schemas import BRONZE_BOOKING, BRONZE_SPEND, SILVER_BOOKING, SILVER_SPEND
+
+    for build, bronze, silver in [
+        (silver_bookings.bookings, BRONZE_BOOKING, SILVER_BOOKING),
+        (silver_spend.spend, BRONZE_SPEND, SILVER_SPEND),
+    ]:
+        made = build(spark.createDataFrame([], bronze))
+        assert made.dtypes == spark.createDataFrame([], silver).dtypes
+
+
 def test_strict_leaves_the_table_alone(spark, bronze, tmp_path):
     target = str(tmp_path / "silver")
     jobs.silver_bookings_job(spark, bronze[0], target, fmt="parquet")
