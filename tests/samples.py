@@ -2,7 +2,7 @@
 
 from datetime import date
 
-from adlake.fixed_values import CHANNEL_BY_EVENT_TYPE
+from adlake.fixed_values import BOOKING_SOURCE_SYSTEM, CHANNEL_BY_EVENT_TYPE
 
 FACEBOOK, YOUTUBE, TIKTOK = CHANNEL_BY_EVENT_TYPE
 
@@ -97,7 +97,7 @@ def webhook(number="1", *, event="invitee.created", kind=FACEBOOK, start="2025-0
 
 def envelope(event, key="bronze/k.json"):
     return {
-        "source_system": "calendly",
+        "source_system": BOOKING_SOURCE_SYSTEM,
         "ingestion_timestamp": "2025-07-09T06:05:00+00:00",
         "raw_s3_key": key,
         "raw_event": event,

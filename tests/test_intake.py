@@ -3,6 +3,7 @@ import json
 
 import pytest
 
+from adlake.fixed_values import BOOKING_SOURCE_SYSTEM, SPEND_SOURCE_SYSTEM
 from adlake.operators import silver_bookings, silver_spend
 from adlake.operators.quality import rejected_rows, valid_rows
 from adlake.sources import intake, manifest
@@ -37,7 +38,7 @@ def test_webhook_intake(spark, tmp_path):
     assert good["book-1"].raw_s3_key.endswith(
         "/event_type=invitee.created/ingest_date=2025-07-09/book-1.json"
     )
-    assert (good["book-1"].source_system, good["book-1"].ingestion_timestamp) == ("calendly", AT)
+    assert (good["book-1"].source_system, good["book-1"].ingestion_timestamp) == (BOOKING_SOURCE_SYSTEM, AT)
     assert (good["book-2"].channel, good["book-4"].channel) == ("tiktok_paid_ads", None)
     assert len(good[None].raw_s3_key.rpartition("/")[2]) == 64 + len(".json")
 
@@ -102,7 +103,7 @@ def test_spend_intake(spark, tmp_path):
     row = seen["spend_data_2025-06-24.json"]
     assert row.source_url == "https://files.example/x/spend_data_2025-06-24.json"
     assert row.raw_s3_key.endswith("/ingest_date=2025-07-09/spend_data_2025-06-24.json")
-    assert row.source_system == "marketing_spend_public_s3"
+    assert row.source_system == SPEND_SOURCE_SYSTEM
 
     write_bronze(taken.drop("record_count"), str(tmp_path / "bronze"), intake.SPEND_PARTITIONS)
     stored = "".join(p.read_text() for p in (tmp_path / "bronze").rglob("*.json"))
