@@ -14,7 +14,12 @@ What meets is not expanded into pairs at once:
 2. Each node is compared with one node: the smallest of a key, of those it shares most keys with.
    That joins large groups of near copies by as many comparisons as they have members.
 3. Under keys where more than one component is left, all members of different components are
-   compared by signature, in blocks of bounded size, and what is near is confirmed.
+   compared in blocks of bounded size: by signature, then by a parity sketch of the whole sets.
+   What is near is confirmed.
+
+The parity sketch toggles one of ``PARITY_BITS`` bits per element. Where two sketches differ, the
+sets differ, so their number of differing bits never exceeds that of differing elements: a pair
+it rules out is not similar enough, for certain.
 
 Confirmation counts the full sets, as 64-bit hashes of shingles, of the texts themselves.
 """
@@ -44,6 +49,10 @@ WIDTH = VALUES // CHUNKS
 #: The values of a chunk that stay when up to ERRORS of them are left out.
 KEPT = list(combinations(range(WIDTH), WIDTH - ERRORS))
 
+PARITY_BITS = 2048
+#: A node's record: values of the signature, size of the set, parity sketch.
+RECORD = np.dtype([("values", np.uint16, VALUES), ("size", np.int64), ("parity", np.uint64, PARITY_BITS // 64)])
+
 #: Largest block of one key that is compared with another block in one group.
 BLOCK = 512
 
@@ -86,9 +95,21 @@ def signature(elements: np.ndarray) -> np.ndarray:
     return _mixed(least).astype(np.uint16)
 
 
+def parity(elements: np.ndarray) -> np.ndarray:
+    """The parity sketch of a set, as 64-bit words."""
+    odd = np.bincount((elements >> np.uint64(20)).astype(np.int64) % PARITY_BITS, minlength=PARITY_BITS) % 2
+    return np.packbits(odd.astype(np.uint8)).view(np.uint64)
+
+
+def record(elements: np.ndarray) -> bytes:
+    found = np.zeros(1, dtype=RECORD)
+    found["values"], found["size"], found["parity"] = signature(elements), len(elements), parity(elements)
+    return found.tobytes()
+
+
 def chunk_keys(signatures: np.ndarray) -> np.ndarray:
     """Keys of each signature (a row): one per chunk and choice of values kept."""
-    parts = signatures.reshape(len(signatures), CHUNKS, WIDTH).astype(np.uint64)
+    parts = np.ascontiguousarray(signatures).reshape(len(signatures), CHUNKS, WIDTH).astype(np.uint64)
     keys = []
     for way, kept in enumerate(KEPT):
         packed = (np.arange(CHUNKS, dtype=np.uint64) * np.uint64(len(KEPT)) + np.uint64(way))[None, :]
@@ -112,7 +133,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 elements = shingle_set(value.as_py())
                 sizes.append(len(elements))
                 digests.append(hashlib.blake2b(elements.tobytes(), digest_size=16).digest())
-                signatures.append(signature(elements).tobytes() if len(elements) else None)
+                signatures.append(record(elements) if len(elements) else None)
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(signatures, pa.binary())],
                 names=["doc_id", "n_shingles", "digest", "signature"],
@@ -123,19 +144,20 @@ def _enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start in range(0, batch.num_rows, 1024):
             part = batch.slice(start, 1024)
-            stacked = np.frombuffer(b"".join(part.column(1).to_pylist()), dtype=np.uint16)
-            keys = chunk_keys(stacked.reshape(part.num_rows, VALUES))
+            keys = chunk_keys(np.frombuffer(b"".join(part.column(1).to_pylist()), dtype=RECORD)["values"])
             ids = np.repeat(part.column(0).to_numpy(zero_copy_only=False), keys.shape[1])
             yield pa.RecordBatch.from_arrays([_signed(keys.ravel()), pa.array(ids, pa.int64())], names=["key", "id"])
 
 
 def _near_in_groups(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Pairs of one (key, low, high) group, from different components and, where low and high
-    differ, from different blocks, whose signatures are near. Rows come sorted by group."""
+    differ, from different blocks, that signature and parity do not rule out. Rows come sorted by
+    group."""
     rest = None
 
     def pairs(frame: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        stacked = np.frombuffer(b"".join(frame["signature"]), dtype=np.uint16).reshape(len(frame), VALUES)
+        records = np.frombuffer(b"".join(frame["signature"]), dtype=RECORD)
+        values, size, odd = (np.ascontiguousarray(records[name]) for name in RECORD.names)
         ids, component = frame["id"].to_numpy(), frame["component"].to_numpy()
         block, cross = frame["block"].to_numpy(), (frame["low"] != frame["high"]).to_numpy()
         group = frame[["key", "low", "high"]].to_numpy()
@@ -147,7 +169,9 @@ def _near_in_groups(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 if cross[i]:
                     wanted &= block[others] != block[i]
                 at = i + 1 + np.flatnonzero(wanted)
-                near = at[(stacked[at] != stacked[i]).sum(axis=1) <= MAX_DISTANCE]
+                near = at[(values[at] != values[i]).sum(axis=1) <= MAX_DISTANCE]
+                differing = np.bitwise_count(odd[near] ^ odd[i]).sum(axis=1, dtype=np.int64)
+                near = near[(100 + PERCENT) * differing <= (100 - PERCENT) * (size[near] + size[i])]
                 if len(near):
                     yield np.minimum(ids[near], ids[i]), np.maximum(ids[near], ids[i])
 
