@@ -53,8 +53,9 @@ class ChunkTable:
         if len(self.table) + len(new) > self.entries:
             self.table = {}
             new = list(chunks)
-        # the library puts one marker in front by itself
+        # the library puts one marker in front by itself, but none before an empty text
         encoded = self.model.encode([chunk[1:] for chunk in new], num_threads=1) if new else []
+        encoded = [[self.model.piece_to_id(MARK)] if chunk == MARK else ids for chunk, ids in zip(new, encoded, strict=True)]
         decoded = self.model.decode(encoded, num_threads=1) if new else []
         for chunk, ids, text in zip(new, encoded, decoded, strict=True):
             self.table[chunk] = (ids, " ".join(map(str, ids)), " " + text)
