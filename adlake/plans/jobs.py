@@ -1,7 +1,7 @@
 """The jobs a user submits: bronze to silver, silver to gold, and the whole sequence.
 
-Each job reads its inputs once. The silver jobs count rejects while they write the good rows
-and only read the input again when there are rejects to keep. The gold jobs compute one small
+The silver jobs count rejects while they write the good rows and read the input again when there
+are rejects to keep, and once more in strict mode. The gold jobs read theirs once: they compute one small
 cube of all grains, stage it in the shared folder, and cut the tables out of it.
 
 Run ``python -m adlake.plans.jobs --help`` for the command line.
@@ -32,6 +32,7 @@ from adlake.sources.sinks import export_json, register_table, stamped, write_tab
 
 SILVER_STAMP = "silver_processed_at"
 GOLD_STAMP = "gold_processed_at"
+REJECT_PARTITION = "ingest_date"
 
 
 def _publish_silver(
@@ -47,9 +48,14 @@ def _publish_silver(
         return
     bad = rejected_rows(checked)
     bad = bad if _may_be_positive(seen, "rejects") else bad.limit(0)
-    # rejects carry no reliable date to partition by, so a rerun rebuilds them unless appending
-    how = "append" if mode == "append" else "overwrite"
-    write_table(stamped(bad, SILVER_STAMP), rejects, mode=how, fmt=fmt)
+    if mode != "replace_partitions":
+        write_table(stamped(bad, SILVER_STAMP), rejects, mode=mode, fmt=fmt)
+        return
+    # rejects carry no reliable date of their own, so they are laid out by that of their intake,
+    # and a day taken in again replaces its own rejects only
+    day = F.coalesce(F.left("bronze_ingestion_timestamp", F.lit(10)), F.lit("unknown"))
+    dated = stamped(bad, SILVER_STAMP).withColumn(REJECT_PARTITION, day)
+    write_table(dated, rejects, mode=mode, partition_by=[REJECT_PARTITION], fmt=fmt)
 
 
 def _may_be_positive(seen: Observation, metric: str) -> bool:
@@ -69,7 +75,7 @@ def silver_bookings_job(
     rejects: str | None = None,
     mode: str = "overwrite",
     strict: bool = False,
-    layout: str = "documents",
+    layout: str = "lines",
     channels: Mapping[str, str] = CHANNEL_BY_EVENT_TYPE,
     fmt: str | None = None,
 ) -> None:
@@ -94,7 +100,7 @@ def silver_spend_job(
     rejects: str | None = None,
     mode: str = "overwrite",
     strict: bool = False,
-    layout: str = "documents",
+    layout: str = "lines",
     channels: Collection[str] = SPEND_CHANNELS,
     fmt: str | None = None,
 ) -> None:
@@ -217,7 +223,7 @@ def refresh_lakehouse(
     *,
     mode: str = "overwrite",
     strict: bool = False,
-    layout: str = "documents",
+    layout: str = "lines",
     channels: Mapping[str, str] = CHANNEL_BY_EVENT_TYPE,
     spend_channels: Collection[str] = SPEND_CHANNELS,
     database: str | None = None,
@@ -255,7 +261,7 @@ def _parser() -> argparse.ArgumentParser:
     to_silver.add_argument("--rejects")
     intake = argparse.ArgumentParser(add_help=False)
     intake.add_argument("--strict", action="store_true", help="fail on the first invalid row")
-    intake.add_argument("--layout", default="documents", help="documents or lines")
+    intake.add_argument("--layout", default="lines", help="lines, as our own intake writes, or documents")
     intake.add_argument("--channels", help="JSON object of event type URI to channel")
 
     parser = argparse.ArgumentParser(prog="adlake")

@@ -32,6 +32,8 @@ SPEND_ENVELOPE = [
     "raw_s3_key", "raw_payload",
 ]
 
+REPEATED_KEYS = "spark.sql.variant.allowDuplicateKeys"
+
 BOOKING_PARTITIONS = ["event_type", "ingest_date"]
 SPEND_PARTITIONS = ["ingest_date"]
 
@@ -94,9 +96,11 @@ def webhook_intake(
 ) -> DataFrame:
     """Request bodies as bronze rows with reject reasons, their partition columns included.
 
-    An event without a booking id is keyed by a digest of its body, so that a retried task
+    Of a key that a JSON object repeats, the last value counts, as most parsers have it; the
+    session is set so. An event without a booking id is keyed by a digest of its body, so that a retried task
     names it the same again.
     """
+    requests.sparkSession.conf.set(REPEATED_KEYS, "true")
     decoded = c.settled(requests.select("body", decoded_body(requests).alias("_text")))
     parsed = c.settled(decoded.withColumn("raw_event", F.try_parse_json("_text")))
 
@@ -137,12 +141,17 @@ def spend_intake(
     source_base_url: str | None = None,
     source_system: str = SPEND_SOURCE_SYSTEM,
     glob: str | None = "spend_data_*.json",
-    file_names: Collection[str] | None = None,
+    file_names: Collection[str] | DataFrame | None = None,
 ) -> DataFrame:
-    """Raw spend files, one bronze row per file; only those in ``file_names`` when given, and
-    then no others are opened. ``record_count`` is NULL for a file that holds no array."""
+    """Raw spend files, one bronze row per file; only those in ``file_names`` when given, a list
+    (then no others are opened) or a frame with a ``file_name`` column, as ``select_names`` gives. ``record_count`` is NULL for a file that holds no array."""
     found = spark.read.text(path, wholetext=True, pathGlobFilter=glob, recursiveFileLookup=True)
-    if file_names is not None:
+    spark.conf.set(REPEATED_KEYS, "true")
+    if isinstance(file_names, DataFrame):
+        found = found.select("value", "_metadata").join(
+            file_names.select("file_name").distinct(), F.col("_metadata.file_name") == F.col("file_name"), "left_semi"
+        )
+    elif file_names is not None:
         found = found.where(F.col("_metadata.file_name").isin(*file_names))
     files = found.select(
         F.try_parse_json("value").alias("raw_payload"),

@@ -10,34 +10,53 @@ from adlake.fixed_values import BOOKING_SOURCE_SYSTEM, WANTED_WEBHOOK_EVENT
 from adlake.schemas import BARE_EVENT, BRONZE_BOOKING, BRONZE_SPEND, SILVER_BOOKING, SILVER_SPEND
 from adlake.session import table_format
 
-LAYOUTS = ("documents", "lines")
+LAYOUTS = ("lines", "documents")
 
 
 def _bronze(spark, path, schema, layout, glob, streaming, files_per_batch) -> DataFrame:
-    """``documents``: one, possibly pretty-printed, JSON object per file, read whole by one
-    task. ``lines``: one object per line, as our own intake writes, which Spark can split."""
+    """``lines``: one object per line, as our own intake writes, which Spark can split.
+    ``documents``: one JSON value per file, possibly pretty-printed, read whole by one task: an
+    object, or an array whose elements are rows. A file with anything after its first value is
+    kept as text in ``_corrupt_record``, so either layout reports what it cannot read."""
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}, not {layout!r}")
-    reader = (
-        (spark.readStream if streaming else spark.read)
-        .schema(schema)
-        .option("multiLine", layout == "documents")
-        .option("recursiveFileLookup", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt_record")
-    )
+    reader = (spark.readStream if streaming else spark.read).option("recursiveFileLookup", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.json(path).select("*", F.col("_metadata.file_path").alias("source_file_path"))
+    origin = F.col("_metadata.file_path").alias("source_file_path")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    if layout == "lines":
+        return reader.schema(schema).options(**options).json(path).select("*", origin)
+    files = reader.text(path, wholetext=True).select("value", origin)
+    struct = f"struct<{schema}>"
+    value = F.col("value")
+    # the reader takes NaN and infinities, which counting does not
+    numeric = F.regexp_replace(value, r":\s*[+-]?(NaN|Infinity|INF)\b", ":0")
+    single = F.json_array_length(F.concat(F.lit("["), numeric, F.lit("]"))) == 1
+    listed = F.ltrim(value).startswith("[")
+    elements = F.when(listed, F.from_json(value, f"array<{struct}>", options)).otherwise(
+        F.array(F.from_json(value, struct, options))
+    )
+    rows = files.select(
+        "source_file_path",
+        F.when(~F.coalesce(single, F.lit(False)), value).alias("_unread"),
+        F.explode_outer(F.when(single, elements)).alias("row"),
+    )
+    names = [field.name for field in rows.schema["row"].dataType.fields]
+    return rows.select(
+        *(F.col(f"row.{name}").alias(name) for name in names if name != "_corrupt_record"),
+        F.coalesce("_unread", "row._corrupt_record").alias("_corrupt_record"),
+        "source_file_path",
+    )
 
 
 def read_bronze_bookings(
     spark: SparkSession,
     path: str,
     *,
-    layout: str = "documents",
+    layout: str = "lines",
     glob: str | None = None,
     streaming: bool = False,
     files_per_batch: int | None = None,
@@ -67,7 +86,7 @@ def read_bronze_spend(
     spark: SparkSession,
     path: str,
     *,
-    layout: str = "documents",
+    layout: str = "lines",
     glob: str | None = None,
     streaming: bool = False,
     files_per_batch: int | None = None,

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlake.session import table_format
+from adlake.session import checkpointed, table_format
 
 MODES = ("overwrite", "append", "replace_partitions")
 
@@ -44,7 +45,10 @@ def write_table(
     writer = df.write.format(fmt).mode("append" if mode == "append" else "overwrite")
     if mode == "replace_partitions":
         writer = writer.option("partitionOverwriteMode", "dynamic")
-    elif fmt == "delta" and mode == "overwrite":
+    elif mode == "overwrite":
+        # whatever the session says: an overwrite leaves no old partition behind
+        writer = writer.option("partitionOverwriteMode", "static")
+    if fmt == "delta" and mode == "overwrite":
         writer = writer.option("overwriteSchema", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -52,10 +56,29 @@ def write_table(
 
 
 def write_bronze(
-    df: DataFrame, path: str, partition_by: Sequence[str], *, mode: str = "append"
+    df: DataFrame, path: str, partition_by: Sequence[str], *, mode: str = "replace_keys", key: str = "raw_s3_key"
 ) -> None:
-    """Bronze envelopes as JSON lines in ``key=value`` folders."""
-    write_table(df, path, mode=mode, partition_by=partition_by, fmt="json")
+    """Bronze envelopes as JSON lines in ``key=value`` folders.
+
+    ``replace_keys`` makes intake rerunnable: of rows with one key the new one stays, as an
+    object store keeps one object per key. Only the folders that ``df`` touches are read and
+    rewritten; the new content is staged in the shared folder first.
+    """
+    if mode != "replace_keys":
+        write_table(df, path, mode=mode, partition_by=partition_by, fmt="json")
+        return
+    spark = df.sparkSession
+    new = checkpointed(df.dropDuplicates([key]))
+    try:
+        old = spark.read.schema(df.schema).json(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        old = spark.createDataFrame([], df.schema)
+    touched = new.select(*partition_by).distinct()
+    others = old.join(touched, list(partition_by), "left_semi").join(new.select(key), key, "left_anti")
+    whole = checkpointed(others.select(*df.columns).unionByName(new))
+    write_table(whole, path, mode="replace_partitions", partition_by=partition_by, fmt="json")
 
 
 def export_json(df: DataFrame, path: str) -> None:
@@ -65,7 +88,10 @@ def export_json(df: DataFrame, path: str) -> None:
 def register_table(spark: SparkSession, name: str, path: str, fmt: str | None = None) -> None:
     """Make the table at ``path`` known to SQL readers as ``name``, with its partitions."""
     fmt = fmt or table_format(spark)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if spark.catalog.tableExists(name):
+        if spark.catalog.getTable(name).tableType == "MANAGED":
+            raise ValueError(f"{name} is a managed table, and dropping it would delete its data")
+        spark.sql(f"DROP TABLE {name}")
     spark.catalog.createTable(name, path=path, source=fmt)
     if fmt != "delta" and _is_partitioned(spark, name):
         spark.catalog.recoverPartitions(name)

@@ -18,16 +18,13 @@ from adlake.functions import columns as c
 from adlake.operators import gold_bookings, silver_bookings
 from adlake.operators.quality import rejected_rows, valid_rows
 from adlake.plans.jobs import GOLD_STAMP, SILVER_STAMP
-from adlake.session import table_format
+from adlake.session import checkpointed, table_format
 from adlake.sources.intake import BOOKING_ENVELOPE, BOOKING_PARTITIONS, read_requests, webhook_intake
 from adlake.sources.readers import read_bronze_bookings, read_table
 from adlake.sources.sinks import stamped, write_table
 
 FACTS_PARTITION = "booking_date"
 
-# beyond this many touched days a refresh rebuilds all days instead of naming each
-DAYS_NAMED = 400
-
 
 def _started(writer: DataStreamWriter, checkpoint: str, every: str | None) -> StreamingQuery:
     writer = writer.option("checkpointLocation", checkpoint)
@@ -173,12 +170,17 @@ def gold_refresh_stream(
 
     def refresh(batch: DataFrame, _: int) -> None:
         rows = gold_bookings.valid_bookings(batch).persist()
-        write_table(
-            rows, facts, mode="append", partition_by=[FACTS_PARTITION], fmt=fmt, rebalance=False
-        )
-        # the caller's session recomputes: the one of the batch runs without AQE
-        refresh_days(spark, facts, gold, rows.select(FACTS_PARTITION), fmt=fmt)
-        rows.unpersist()
+        try:
+            if rows.isEmpty():
+                return
+            write_table(
+                rows, facts, mode="append", partition_by=[FACTS_PARTITION], fmt=fmt, rebalance=False
+            )
+            # the caller's session recomputes: the one of the batch runs without AQE
+            days = checkpointed(rows.select(FACTS_PARTITION).distinct())
+            refresh_days(spark, facts, gold, spark.read.schema(days.schema).parquet(*days.inputFiles()), fmt=fmt)
+        finally:
+            rows.unpersist()
 
     return _started(silver.writeStream.foreachBatch(refresh), checkpoint, every)
 
@@ -186,13 +188,13 @@ def gold_refresh_stream(
 def refresh_days(
     spark: SparkSession, facts: str, gold: str, touched: DataFrame, *, fmt: str | None = None
 ) -> None:
-    """Recompute the per-day booking tables for the dates in ``touched``."""
-    days = [row[0] for row in touched.distinct().limit(DAYS_NAMED + 1).collect()]
-    if not days:
-        return
-    rows = read_table(spark, facts, fmt)
-    if len(days) <= DAYS_NAMED:
-        rows = rows.where(F.col(FACTS_PARTITION).isin(days))
+    """Recompute the per-day booking tables for the dates in ``touched``, however many.
+
+    The dates are staged in the shared folder and prune the partitions of the facts by a
+    semi-join. Without dates nothing is replaced.
+    """
+    days = checkpointed(touched.distinct())
+    rows = read_table(spark, facts, fmt).join(days, FACTS_PARTITION, "left_semi")
     tables = {
         "daily_calls_by_source": gold_bookings.daily_calls_by_source(rows),
         "booking_trends": gold_bookings.booking_trends(rows),

@@ -29,7 +29,7 @@ def bronze(tmp_path):
 def test_refresh_lakehouse(spark, bronze, tmp_path, rows):
     root = str(tmp_path / "lake")
     for _ in range(2):  # running again gives the same tables
-        jobs.refresh_lakehouse(spark, *bronze, root, database="lake", fmt="parquet")
+        jobs.refresh_lakehouse(spark, *bronze, root, database="lake", layout="documents", fmt="parquet")
     daily = spark.table("lake.daily_cpb_by_channel")
     assert rows(daily.drop("gold_processed_at").select("metric_date", "channel", "total_spend_usd", "booked_call_count", "cost_per_booking_usd")) == [
         (date(2025, 7, 9), "facebook_paid_ads", 653.28, 1, 653.28),
@@ -53,7 +53,7 @@ def test_nothing_valid(spark, tmp_path):
     bad, spent, root = tmp_path / "bad", tmp_path / "spend", str(tmp_path / "lake")
     bad.mkdir(), spent.mkdir()
     (bad / "1.json").write_text(json.dumps(envelope(webhook("1", start="never"))))
-    jobs.refresh_lakehouse(spark, str(bad), str(spent), root, fmt="parquet")
+    jobs.refresh_lakehouse(spark, str(bad), str(spent), root, layout="documents", fmt="parquet")
     assert read_table(spark, f"{root}/rejects/bookings", "parquet").count() == 1
     assert read_table(spark, f"{root}/rejects/spend", "parquet").count() == 0
     kpis = read_table(spark, f"{root}/gold/combined_dashboard_kpis", "parquet").drop("gold_processed_at")
@@ -74,17 +74,17 @@ def test_silver_schemas_are_those_written(spark):
 
 def test_strict_leaves_the_table_alone(spark, bronze, tmp_path):
     target = str(tmp_path / "silver")
-    jobs.silver_bookings_job(spark, bronze[0], target, fmt="parquet")
+    jobs.silver_bookings_job(spark, bronze[0], target, layout="documents", fmt="parquet")
     with pytest.raises(InvalidRows, match="invalid_meeting_date"):
-        jobs.silver_bookings_job(spark, bronze[0], target, strict=True, fmt="parquet")
+        jobs.silver_bookings_job(spark, bronze[0], target, strict=True, layout="documents", fmt="parquet")
     assert read_table(spark, target, "parquet").count() == 4
 
 
 def test_command_line(bronze, spark, tmp_path):
     root = tmp_path / "lake"
     silver, spent = str(root / "s"), str(root / "p")
-    jobs.main(["silver-bookings", "--source", bronze[0], "--target", silver, "--rejects", str(root / "r")])
-    jobs.main(["silver-spend", "--source", bronze[1], "--target", spent, "--channels", '{"x": "radio"}'])
+    jobs.main(["silver-bookings", "--source", bronze[0], "--target", silver, "--rejects", str(root / "r"), "--layout", "documents"])
+    jobs.main(["silver-spend", "--source", bronze[1], "--target", spent, "--layout", "documents", "--channels", '{"x": "radio"}'])
     jobs.main(["gold-bookings", "--silver", silver, "--root", str(root)])
     jobs.main(["gold-spend", "--silver", spent, "--root", str(root)])
     jobs.main(["gold-combined", "--silver-spend", spent, "--silver-bookings", silver, "--root", str(root)])

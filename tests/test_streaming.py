@@ -79,9 +79,8 @@ def test_gold_refresh_touches_only_its_days(spark, tmp_path):
     assert {(str(r.booking_date), r.booked_call_count) for r in trends.collect()} == {(str(r[0]), r[1]) for r in full.collect()}
 
 
-def test_refresh_of_very_many_days_rebuilds_all(spark, tmp_path, monkeypatch):
+def test_refresh_of_several_days(spark, tmp_path):
     bronze, facts, gold = tmp_path / "bronze", str(tmp_path / "facts"), str(tmp_path / "gold")
-    monkeypatch.setattr(streams, "DAYS_NAMED", 1)
     deliver(bronze, "1.json", *(webhook(str(n), created_at=f"2025-07-{n:02}T10:00:00Z") for n in range(1, 5)))
     finished(streams.gold_refresh_stream(spark, str(bronze), facts, gold, str(tmp_path / "c"), fmt="parquet"))
     assert read_table(spark, f"{gold}/booking_trends", "parquet").count() == 4
