@@ -60,15 +60,16 @@ def write_bronze(
 ) -> None:
     """Bronze envelopes as JSON lines in ``key=value`` folders.
 
-    ``replace_keys`` makes intake rerunnable: of rows with one key the new one stays, as an
-    object store keeps one object per key. Only the folders that ``df`` touches are read and
-    rewritten; the new content is staged in the shared folder first.
+    ``replace_keys`` makes intake rerunnable: rows stored earlier go where ``df`` has rows of
+    their key, as an object store keeps one object per key. Rows of ``df`` itself all stay, even
+    where files of different folders share a name and so a key. Only the folders that ``df``
+    touches are read and rewritten; the new content is staged in the shared folder first.
     """
     if mode != "replace_keys":
         write_table(df, path, mode=mode, partition_by=partition_by, fmt="json")
         return
     spark = df.sparkSession
-    new = checkpointed(df.dropDuplicates([key]))
+    new = checkpointed(df)
     try:
         old = spark.read.schema(df.schema).json(path)
     except AnalysisException as error:
