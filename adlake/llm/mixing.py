@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from adlake.llm.common import hash52, word_count
+from adlake.llm.common import Staging, hash52, word_count
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -110,7 +110,10 @@ def sampled_copies(
             "_spread": spread,
         }
     ).withColumn("_class", size_class(F.col("_size")))
-    narrow = keyed.select(F.col("_source").alias("source"), F.col("_size").alias("size"), "_class", "_bucket")
+    # read by both targets and counts, so the sizes are taken once
+    narrow = Staging(docs.sparkSession, "mixing").keep(
+        keyed.select(F.col("_source").alias("source"), F.col("_size").alias("size"), "_class", "_bucket")
+    )
     targets = source_targets(narrow, weights=weights, share=share, cap=cap)
     counts = narrow.groupBy("source", "_class", "_bucket").agg(F.count("*").alias("n"))
     earlier = (

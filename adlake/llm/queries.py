@@ -20,7 +20,7 @@ from adlake.llm import (
     topk,
     toxicity,
 )
-from adlake.llm.common import hash52_sql, word_count
+from adlake.llm.common import Staging, hash52_sql, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -153,6 +153,8 @@ def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", "source", word_count(F.col("text")).alias("words"), F.md5(F.coalesce("text", F.lit(""))).alias("digest")
     )
+    # every text is read once: the rest works on sizes and digests
+    docs = Staging(spark, "sizes").keep(docs)
     taken = mixing.sampled_copies(docs, size=F.col("words"), identity=[F.col("doc_id"), F.col("digest")])
     return taken.select(
         "doc_id",
