@@ -11,7 +11,7 @@ from adlake.sources.readers import read_bronze_bookings, read_bronze_spend
 from adlake.sources.sinks import write_bronze
 from tests.samples import TIKTOK, webhook
 
-AT = "2025-07-09T06:04:34.000000+00:00"
+AT = "2025-10-08T07:41:20.000000+00:00"
 
 
 def requests(spark, *bodies):
@@ -36,7 +36,7 @@ def test_webhook_intake(spark, tmp_path):
     good = {row.booking_id: row for row in valid_rows(taken).drop("raw_event").collect()}
     assert set(good) == {"book-1", "book-2", None, "book-4"}
     assert good["book-1"].raw_s3_key.endswith(
-        "/event_type=invitee.created/ingest_date=2025-07-09/book-1.json"
+        "/event_type=invitee.created/ingest_date=2025-10-08/book-1.json"
     )
     assert (good["book-1"].source_system, good["book-1"].ingestion_timestamp) == (BOOKING_SOURCE_SYSTEM, AT)
     assert (good["book-2"].channel, good["book-4"].channel) == ("tiktok_paid_ads", None)
@@ -49,7 +49,7 @@ def test_webhook_intake(spark, tmp_path):
         intake.BOOKING_PARTITIONS,
     )
     (folder,) = (tmp_path / "bronze").glob("event_type=*/ingest_date=*")
-    assert f"{folder.parent.name}/{folder.name}" == "event_type=invitee.created/ingest_date=2025-07-09"
+    assert f"{folder.parent.name}/{folder.name}" == "event_type=invitee.created/ingest_date=2025-10-08"
     lines = [json.loads(line) for file in folder.glob("*.json") for line in file.read_text().splitlines()]
     assert all(line["raw_event"]["payload"]["unlisted_field"] == {"kept": True} for line in lines)
     silver = silver_bookings.bookings(read_bronze_bookings(spark, target, layout="lines"))
@@ -102,7 +102,7 @@ def test_spend_intake(spark, tmp_path):
     assert [row.source_file_name for row in only.collect()] == ["spend_data_object.json"]
     row = seen["spend_data_2025-06-24.json"]
     assert row.source_url == "https://files.example/x/spend_data_2025-06-24.json"
-    assert row.raw_s3_key.endswith("/ingest_date=2025-07-09/spend_data_2025-06-24.json")
+    assert row.raw_s3_key.endswith("/ingest_date=2025-10-08/spend_data_2025-06-24.json")
     assert row.source_system == SPEND_SOURCE_SYSTEM
 
     write_bronze(taken.drop("record_count"), str(tmp_path / "bronze"), intake.SPEND_PARTITIONS)

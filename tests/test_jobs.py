@@ -9,7 +9,7 @@ from adlake.plans import jobs, reports
 from adlake.session import checkpointed, scratch_dir, staging_path, table_format
 from adlake.sources.readers import read_table
 from adlake.sources.sinks import export_json, register_table, write_table
-from tests.samples import JULY_29, JULY_30, TIKTOK, YOUTUBE, bookings, envelope, spend, webhook
+from tests.samples import FIRST_DAY, SECOND_DAY, TIKTOK, YOUTUBE, bookings, envelope, spend, webhook
 
 
 @pytest.fixture
@@ -17,10 +17,10 @@ def bronze(tmp_path):
     booked, spent = tmp_path / "bronze" / "bookings", tmp_path / "bronze" / "spend"
     booked.mkdir(parents=True)
     spent.mkdir()
-    events = [webhook("1"), webhook("2", kind=YOUTUBE), webhook("3", kind=TIKTOK, start="2025-07-10T09:00:00Z"), webhook("4", start="never")]
+    events = [webhook("1"), webhook("2", kind=YOUTUBE), webhook("3", kind=TIKTOK, start="2025-10-09T09:00:00Z"), webhook("4", start="never")]
     for number, event in enumerate([*events, events[0]]):
         (booked / f"{number}.json").write_text(json.dumps(envelope(event), indent=1))
-    records = [("2025-07-09", "facebook_paid_ads", 653.28), ("2025-07-10", "youtube_paid_ads", 487.59), ("2025-07-09", "radio", 1.0)]
+    records = [("2025-10-08", "facebook_paid_ads", 653.28), ("2025-10-09", "youtube_paid_ads", 487.59), ("2025-10-08", "radio", 1.0)]
     payload = [{"date": d, "channel": c, "spend": s} for d, c, s in records]
     (spent / "a.json").write_text(json.dumps({"source_file_name": "a.json", "raw_payload": payload}))
     return str(booked), str(spent)
@@ -32,15 +32,15 @@ def test_refresh_lakehouse(spark, bronze, tmp_path, rows):
         jobs.refresh_lakehouse(spark, *bronze, root, database="lake", layout="documents", fmt="parquet")
     daily = spark.table("lake.daily_cpb_by_channel")
     assert rows(daily.drop("gold_processed_at").select("metric_date", "channel", "total_spend_usd", "booked_call_count", "cost_per_booking_usd")) == [
-        (date(2025, 7, 9), "facebook_paid_ads", 653.28, 1, 653.28),
-        (date(2025, 7, 9), "tiktok_paid_ads", 0.0, 1, 0.0),
-        (date(2025, 7, 9), "youtube_paid_ads", 0.0, 1, 0.0),
-        (date(2025, 7, 10), "youtube_paid_ads", 487.59, 0, None),
+        (date(2025, 10, 8), "facebook_paid_ads", 653.28, 1, 653.28),
+        (date(2025, 10, 8), "tiktok_paid_ads", 0.0, 1, 0.0),
+        (date(2025, 10, 8), "youtube_paid_ads", 0.0, 1, 0.0),
+        (date(2025, 10, 9), "youtube_paid_ads", 487.59, 0, None),
     ]
     assert {name for name in jobs.GOLD_TABLES if "gold_processed_at" in spark.table(f"lake.{name}").columns} == set(jobs.GOLD_TABLES)
     silver = read_table(spark, f"{root}/silver/bookings", "parquet")
     assert silver.count() == 4 and "silver_processed_at" in silver.columns
-    assert sorted(p.name for p in (tmp_path / "lake/silver/bookings").glob("meeting_date=*")) == ["meeting_date=2025-07-09", "meeting_date=2025-07-10"]
+    assert sorted(p.name for p in (tmp_path / "lake/silver/bookings").glob("meeting_date=*")) == ["meeting_date=2025-10-08", "meeting_date=2025-10-09"]
     (bad,) = read_table(spark, f"{root}/rejects/bookings", "parquet").collect()
     assert (bad.booking_id, bad.reject_reasons) == ("book-4", ["invalid_meeting_date"])
     (bad,) = read_table(spark, f"{root}/rejects/spend", "parquet").collect()
@@ -113,9 +113,9 @@ def test_write_modes(spark, tmp_path, rows):
         write_table(frame, path, mode=mode, partition_by=["spend_date"], fmt="parquet")
         return rows(read_table(spark, path, "parquet").select("spend_date", "channel", "spend_usd"))
 
-    first = [(JULY_29, "a", 1.0), (JULY_30, "a", 2.0)]
+    first = [(FIRST_DAY, "a", 1.0), (SECOND_DAY, "a", 2.0)]
     assert write(spend(spark, base=first), "overwrite") == first
-    assert write(spend(spark, base=[(JULY_30, "b", 3.0)]), "replace_partitions") == [first[0], (JULY_30, "b", 3.0)]
+    assert write(spend(spark, base=[(SECOND_DAY, "b", 3.0)]), "replace_partitions") == [first[0], (SECOND_DAY, "b", 3.0)]
     assert len(write(spend(spark, base=first), "append")) == 4
     assert write(spend(spark, base=first[:1]), "overwrite") == first[:1]
     with pytest.raises(ValueError, match="mode"):
@@ -137,7 +137,7 @@ def test_one_date_is_spread_over_tasks_when_it_is_big(spark, tmp_path):
 
 def test_register_again_after_change(spark, tmp_path):
     path = str(tmp_path / "t")
-    for days in ([JULY_29], [JULY_29, JULY_30]):
+    for days in ([FIRST_DAY], [FIRST_DAY, SECOND_DAY]):
         write_table(spend(spark, base=[(d, "a", 1.0) for d in days]), path, partition_by=["spend_date"], fmt="parquet")
         register_table(spark, "registered_spend", path, "parquet")
         assert spark.table("registered_spend").count() == len(days)
@@ -146,7 +146,7 @@ def test_register_again_after_change(spark, tmp_path):
 def test_export(spark, tmp_path):
     export_json(gold_bookings.booking_trends(bookings(spark)), str(tmp_path / "x"))
     lines = [json.loads(line) for p in (tmp_path / "x").glob("*.json") for line in p.read_text().splitlines()]
-    assert {line["booking_date"]: line["booked_call_count"] for line in lines} == {"2026-07-29": 2, "2026-07-30": 2}
+    assert {line["booking_date"]: line["booked_call_count"] for line in lines} == {"2024-03-06": 3, "2024-03-07": 3}
 
 
 def test_session_helpers(spark):
@@ -160,9 +160,9 @@ def test_session_helpers(spark):
 def test_reports(spark):
     tables = gold_bookings.booking_tables(bookings(spark))
     slots = reports.report(tables["booking_volume_by_time_slot"], "booking_volume_by_time_slot")
-    assert [r[0] for r in slots.collect()] == ["Monday", "Saturday", "Saturday", "Sunday"]
+    assert [r[0] for r in slots.collect()] == ["Monday", "Tuesday", "Wednesday", "Wednesday"]
     load = reports.report(tables["employee_meeting_load"], "employee_meeting_load")
-    assert [r.employee_name for r in load.collect()] == ["Maya", "Ole", "Unknown Employee"]
+    assert [r.employee_name for r in load.collect()] == ["Ines", "Jon", "Unknown Employee"]
     priced = spark.createDataFrame(
         [("a", 1.0, 1, None), ("b", 9.0, 1, 9.0), ("c", 3.0, 1, 3.0)],
         "channel string, total_spend_usd double, booked_call_count long, cost_per_booking_usd double",
@@ -176,14 +176,14 @@ def test_pivots_and_titles(spark, rows):
     calls = gold_bookings.daily_calls_by_source(bookings(spark))
     pivot = reports.calls_pivot(calls)
     assert pivot.columns == ["booking_date", "Facebook Paid Ads", "TikTok Paid Ads", "YouTube Paid Ads"]
-    assert rows(pivot) == [(JULY_29, 2, 0, 0), (JULY_30, 0, 1, 1)]
+    assert rows(pivot) == [(FIRST_DAY, 1, 1, 1), (SECOND_DAY, 2, 1, 0)]
     assert reports.calls_pivot(calls, ["tiktok_paid_ads"]).columns == ["booking_date", "TikTok Paid Ads"]
     daily = spark.createDataFrame(
-        [(JULY_29, "youtube_paid_ads", 2.0), (JULY_29, "youtube_paid_ads", 4.0), (JULY_29, "other", None), (JULY_30, "other", 1.0)],
+        [(FIRST_DAY, "youtube_paid_ads", 2.0), (FIRST_DAY, "youtube_paid_ads", 4.0), (FIRST_DAY, "other", None), (SECOND_DAY, "other", 1.0)],
         "metric_date date, channel string, cost_per_booking_usd double",
     )
     cost = reports.cpb_pivot(daily)
     assert cost.columns == ["metric_date", "YouTube Paid Ads", "other"]
-    assert rows(cost) == [(JULY_29, 3.0, None), (JULY_30, None, 1.0)]
+    assert rows(cost) == [(FIRST_DAY, 3.0, None), (SECOND_DAY, None, 1.0)]
     assert reports.with_titles(daily).columns == ["Metric Date", "Channel", "Cost per Booking"]
     assert reports.with_chart_titles(daily).head()["Channel"] == "YouTube Paid Ads"

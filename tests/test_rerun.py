@@ -19,7 +19,7 @@ def requests(spark, bodies):
     return spark.createDataFrame([(body, False) for body in bodies], REQUESTS)
 
 
-def take_in(spark, path, bodies, at="2025-07-09T06:05:00+00:00"):
+def take_in(spark, path, bodies, at="2025-10-08T07:42:00+00:00"):
     taken = intake.webhook_intake(requests(spark, bodies), ingested_at=at)
     good = taken.where(F.size("reject_reasons") == 0)
     sinks.write_bronze(good.select(*intake.BOOKING_ENVELOPE, *intake.BOOKING_PARTITIONS), path, intake.BOOKING_PARTITIONS)
@@ -79,10 +79,10 @@ def test_last_value_of_a_repeated_key_counts(spark):
 
 def test_rejects_of_other_days_stay(spark, tmp_path):
     silver, rejects = str(tmp_path / "silver"), str(tmp_path / "rejects")
-    for day, name in (("2025-07-09", "a"), ("2025-07-10", "b")):
+    for day, name in (("2025-10-08", "a"), ("2025-10-09", "b")):
         folder = tmp_path / name
         folder.mkdir()
-        bad = envelope(webhook(name, event="invitee.canceled")) | {"ingestion_timestamp": f"{day}T06:05:00+00:00"}
+        bad = envelope(webhook(name, event="invitee.canceled")) | {"ingestion_timestamp": f"{day}T07:42:00+00:00"}
         good = envelope(webhook(name, start=f"{day}T17:00:00Z"))
         (folder / "x.json").write_text(json.dumps(bad) + "\n" + json.dumps(good))
         jobs.silver_bookings_job(spark, str(folder), silver, rejects=rejects, mode="replace_partitions")

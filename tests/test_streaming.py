@@ -6,7 +6,7 @@ from adlake.streaming import jobs as streams
 from tests.samples import YOUTUBE, envelope, webhook
 
 
-def deliver(folder, name, *events, at="2025-07-09T06:05:00+00:00"):
+def deliver(folder, name, *events, at="2025-10-08T07:42:00+00:00"):
     folder.mkdir(exist_ok=True)
     lines = [json.dumps(envelope(event) | {"ingestion_timestamp": at}) for event in events]
     (folder / name).write_text("\n".join(lines))
@@ -55,7 +55,7 @@ def test_redeliveries_are_dropped_across_runs(spark, tmp_path):
 
     deliver(bronze, "1.json", webhook("1"), webhook("1"))
     assert run() == ["book-1"]
-    deliver(bronze, "2.json", webhook("1"), webhook("2"), at="2025-07-10T00:00:00+00:00")
+    deliver(bronze, "2.json", webhook("1"), webhook("2"), at="2025-10-09T00:00:00+00:00")
     assert run() == ["book-1", "book-2"]
 
 
@@ -67,13 +67,13 @@ def test_gold_refresh_touches_only_its_days(spark, tmp_path):
         table = read_table(spark, f"{gold}/daily_calls_by_source", "parquet")
         return {(str(r.booking_date), r.channel): (r.booked_call_count, r.gold_processed_at) for r in table.collect()}
 
-    deliver(bronze, "1.json", webhook("1"), webhook("2", created_at="2025-07-11T10:00:00Z"))
+    deliver(bronze, "1.json", webhook("1"), webhook("2", created_at="2025-10-10T10:00:00Z"))
     first = run()
     deliver(bronze, "2.json", webhook("1"), webhook("3"), webhook("4", kind=YOUTUBE))
     second = run()
-    july_9, july_11 = ("2025-07-09", "facebook_paid_ads"), ("2025-07-11", "facebook_paid_ads")
-    assert {k: v[0] for k, v in second.items()} == {july_9: 2, july_11: 1, ("2025-07-09", "youtube_paid_ads"): 1}
-    assert second[july_11] == first[july_11] and second[july_9][1] > first[july_9][1]
+    october_8, october_10 = ("2025-10-08", "facebook_paid_ads"), ("2025-10-10", "facebook_paid_ads")
+    assert {k: v[0] for k, v in second.items()} == {october_8: 2, october_10: 1, ("2025-10-08", "youtube_paid_ads"): 1}
+    assert second[october_10] == first[october_10] and second[october_8][1] > first[october_8][1]
     full = gold_bookings.booking_trends(silver_bookings.bookings(read_bronze_bookings(spark, str(bronze), layout="lines")))
     trends = read_table(spark, f"{gold}/booking_trends", "parquet")
     assert {(str(r.booking_date), r.booked_call_count) for r in trends.collect()} == {(str(r[0]), r[1]) for r in full.collect()}
@@ -95,5 +95,5 @@ def test_days_are_counted_once_closed(spark, tmp_path):
 
     deliver(bronze, "1.json", webhook("1"), webhook("2"), webhook("1"))
     assert run() == {}
-    deliver(bronze, "2.json", webhook("3"), webhook("4", created_at="2025-07-12T10:00:00Z"))
-    assert run() == {("2025-07-09", "facebook_paid_ads"): 3}
+    deliver(bronze, "2.json", webhook("3"), webhook("4", created_at="2025-10-11T10:00:00Z"))
+    assert run() == {("2025-10-08", "facebook_paid_ads"): 3}
