@@ -43,7 +43,7 @@ def explode_records(bronze: DataFrame) -> DataFrame:
     row, so that it can be reported instead of vanishing."""
     payload = c.safe_col(bronze, "raw_payload", dtype=SPEND_RECORDS)
     if dict(bronze.dtypes).get("raw_payload") == "variant":
-        is_list = F.schema_of_variant(payload).startswith("ARRAY")
+        is_list = F.try_variant_get(payload, "$", "array<variant>").isNotNull()
         payload = F.when(is_list, F.from_json(payload.cast("string"), SPEND_RECORDS))
     records = bronze.select(
         F.explode_outer(payload).alias("record"),

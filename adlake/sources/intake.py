@@ -185,7 +185,7 @@ def spend_envelopes(
             "source_system": F.lit(source_system),
             "ingestion_timestamp": ingestion_time(ingested_at),
             "source_url": url,
-            "record_count": F.when(_kind(F.col("raw_payload")).startswith("ARRAY"), F.size(items)),
+            "record_count": F.when(items.isNotNull(), F.size(items)),
         }
     ).withColumn("ingest_date", F.left("ingestion_timestamp", F.lit(10)))
     key = F.format_string(
