@@ -18,6 +18,7 @@ from adlake.fixed_values import (
     UNKNOWN_EMPLOYEE_NAME,
 )
 from adlake.functions import columns as c
+from adlake.operators.grains import counts_at_grains
 from adlake.operators.quality import (
     Rule,
     keep_valid,
@@ -127,34 +128,16 @@ def booking_dashboard_kpis(silver: DataFrame) -> DataFrame:
     )
 
 
-_CUBE_SETS = {**GRAINS, "meeting_dates": ["meeting_date"], "everything": []}
-_CUBE_COLUMNS = list(dict.fromkeys(name for keys in _CUBE_SETS.values() for name in keys))
+CUBE = {**GRAINS, "meeting_dates": ["meeting_date"], "everything": []}
 
 
 def booking_cube(silver: DataFrame) -> DataFrame:
-    """Distinct bookings at every gold grain from one scan and one shuffle.
+    """Distinct bookings at every gold grain from one scan.
 
     Rows carry ``grain``, the name of the table they belong to. The result is as small as the
     gold tables together, so a job stages it once and derives each table from it.
     """
-    sets = [[F.col(name) for name in keys] for keys in _CUBE_SETS.values()]
-    grain = F.grouping_id().alias("grain_id")
-    counted = F.count_distinct("booking_id").alias(CALLS)
-    cube = valid_bookings(silver).groupingSets(sets, *_CUBE_COLUMNS).agg(grain, counted)
-    return cube.select(
-        c.lookup(F.col("grain_id").cast("string"), _grain_names()).alias("grain"),
-        *_CUBE_COLUMNS,
-        CALLS,
-    )
-
-
-def _grain_names() -> dict[str, str]:
-    """Spark numbers a grouping set by the columns it leaves out, first column highest."""
-    width = len(_CUBE_COLUMNS)
-    return {
-        str(sum(1 << (width - 1 - i) for i, n in enumerate(_CUBE_COLUMNS) if n not in keys)): name
-        for name, keys in _CUBE_SETS.items()
-    }
+    return counts_at_grains(valid_bookings(silver), "booking_id", CUBE, CALLS)
 
 
 def tables_from_cube(cube: DataFrame) -> dict[str, DataFrame]:

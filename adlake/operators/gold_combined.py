@@ -3,7 +3,7 @@
 A single table joins two aggregates in full outer fashion; both arrive partitioned by the
 join keys, so the join itself shuffles nothing. Where several figures come out of one pass
 (the KPIs, the cube of all three tables) the inputs are stacked instead: a spend row has no
-booking id and a booking row no money, so one aggregation serves both, without cross joins.
+booking and a booking row no money, so one aggregation serves both, without cross joins.
 """
 
 from __future__ import annotations
@@ -14,12 +14,15 @@ from pyspark.sql import functions as F
 from adlake.functions import columns as c
 from adlake.operators.gold_bookings import CALLS, as_date
 from adlake.operators.gold_spend import daily_totals, valid_spend
+from adlake.operators.grains import GRAIN, at_grains, counts_at_grains
 from adlake.operators.quality import keep_valid, parsed, require_columns, required
 
 REQUIRED = ["booking_id", "booking_date", "channel"]
 
 PARTITIONS = {"daily_cpb_by_channel": ["metric_date"]}
 
+CUBE = {"daily": ["metric_date", "channel"], "channels": ["channel"], "overall": []}
+
 
 def countable_bookings(silver: DataFrame) -> DataFrame:
     """Rows that count as bookings here. Weaker than the booking-only tables' rules: a booking
@@ -142,22 +145,22 @@ def dashboard_kpis(silver_spend: DataFrame, silver_bookings: DataFrame) -> DataF
 def combined_cube(silver_spend: DataFrame, silver_bookings: DataFrame) -> DataFrame:
     """Spend and distinct bookings per day and channel, per channel and overall, reading each
     input once. As small as the three tables that come out of it."""
-    day, channel = F.col("metric_date"), F.col("channel")
-    rows = _summed_activity(silver_spend, silver_bookings)
-    return rows.groupingSets([[day, channel], [channel], []], day, channel).agg(
-        F.grouping("metric_date").alias("all_days"),
-        F.grouping("channel").alias("all_channels"),
-        _total(),
-        F.count("usd").alias("spend_rows"),
-        F.count_distinct("booking_id").alias(CALLS),
+    bookings = countable_bookings(silver_bookings).withColumnRenamed("booking_date", "metric_date")
+    booked = counts_at_grains(bookings, "booking_id", CUBE, CALLS).withColumn("usd", F.lit(None).cast(c.MONEY_SUM))
+    days = daily_totals(silver_spend).select(
+        F.col("spend_date").alias("metric_date"), "channel", F.col("total").cast(c.MONEY_SUM).alias("usd")
+    )
+    spent = at_grains(days, CUBE, "usd").withColumn(CALLS, F.lit(0).cast("long"))
+    return spent.unionByName(booked).groupBy(GRAIN, "metric_date", "channel").agg(
+        _total(), F.count("usd").alias("spend_rows"), F.sum(CALLS).alias(CALLS)
     )
 
 
 def tables_from_cube(cube: DataFrame) -> dict[str, DataFrame]:
-    daily = cube.where((F.col("all_days") == 0) & (F.col("all_channels") == 0))
-    channels = cube.where((F.col("all_days") == 1) & (F.col("all_channels") == 0))
-    is_daily = F.col("all_days") == 0
-    is_overall = F.col("all_channels") == 1
+    daily = cube.where(F.col(GRAIN) == "daily")
+    channels = cube.where(F.col(GRAIN) == "channels")
+    is_daily = F.col(GRAIN) == "daily"
+    is_overall = F.col(GRAIN) == "overall"
     totals = cube.agg(
         F.coalesce(F.max(F.when(is_overall, F.col("total"))), _nothing()).alias("total"),
         F.coalesce(F.max(F.when(is_overall, F.col(CALLS))), F.lit(0)).alias("total_bookings"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from adlake.fixed_values import UNKNOWN_CAMPAIGN
 from adlake.functions import columns as c
-from adlake.operators.gold_bookings import as_date, daily_calls_by_source
+from adlake.operators.gold_bookings import as_date, booking_trends, daily_calls_by_source
 from adlake.operators.gold_combined import cpb_by_channel, dashboard_kpis
 from adlake.operators.gold_spend import valid_spend
 from adlake.operators.quality import keep_valid, require_columns, required
@@ -56,8 +56,9 @@ def employee_weekly_load(silver_bookings: DataFrame) -> DataFrame:
     """Meetings, weeks with meetings and the average between them, per employee, under the
     name most recently booked.
 
-    The name is settled on a frame of one row per employee and spelling. A ``max`` over
-    structs or strings on the raw rows would sort them all before the shuffle.
+    From one scan: bookings, weeks and names of an employee become rows of one kind each, of
+    which equal ones are dropped map-side. They are counted per employee and name, which keeps
+    the sort that a ``max`` over structs needs to a row per employee and spelling.
     """
     needed = ["booking_id", "employee_id", "meeting_week_start_date", "booking_date"]
     require_columns(silver_bookings, needed, "silver bookings")
@@ -70,19 +71,29 @@ def employee_weekly_load(silver_bookings: DataFrame) -> DataFrame:
     )
     rows = keep_valid(shaped, required("employee_id", "booking_id", "week"))
 
-    load = rows.groupBy("employee_id").agg(
-        F.count_distinct("booking_id").alias("total_meetings"),
-        F.count_distinct("week").alias("number_of_weeks"),
-    )
-    spellings = (
-        rows.where(F.col("employee_name").isNotNull())
-        .groupBy("employee_id", "employee_name")
+    facts = {"booking": "booking_id", "week": "week", "name": "employee_name"}
+    kinds = [
+        F.struct(F.lit(kind).alias("kind"), F.col(name).cast("string").alias("value"))
+        for kind, name in facts.items()
+    ]
+    seen = (
+        rows.select("employee_id", "booked_on", F.inline(F.array(*kinds)))
+        .where(F.col("value").isNotNull())
+        .groupBy("employee_id", "kind", "value")
         .agg(F.max("booked_on").alias("last_used"))
     )
-    names = spellings.groupBy("employee_id").agg(
-        F.max(F.struct("last_used", "employee_name"))["employee_name"].alias("employee_name")
+    by_name = seen.groupBy("employee_id", F.when(F.col("kind") == "name", F.col("value")).alias("name")).agg(
+        F.count_if(F.col("kind") == "booking").alias("meetings"),
+        F.count_if(F.col("kind") == "week").alias("weeks"),
+        F.max("last_used").alias("last_used"),
+    )
+    newest = F.max(F.when(F.col("name").isNotNull(), F.struct("last_used", "name")))
+    load = by_name.groupBy("employee_id").agg(
+        newest["name"].alias("employee_name"),
+        F.sum("meetings").alias("total_meetings"),
+        F.sum("weeks").alias("number_of_weeks"),
     )
-    return load.join(names, "employee_id", "left").select(
+    return load.select(
         "employee_id",
         "employee_name",
         "total_meetings",
@@ -95,12 +106,11 @@ def employee_weekly_load(silver_bookings: DataFrame) -> DataFrame:
 
 def metric_tables(silver_spend: DataFrame, silver_bookings: DataFrame) -> dict[str, DataFrame]:
     """The metrics bundle that is exported as JSON."""
-    daily_calls = daily_calls_by_source(silver_bookings)
     return {
         "dashboard_kpis": dashboard_kpis(silver_spend, silver_bookings),
-        "daily_calls_by_source": daily_calls,
+        "daily_calls_by_source": daily_calls_by_source(silver_bookings),
         "cpb_by_channel": cpb_by_channel(silver_spend, silver_bookings),
-        "booking_trends": daily_calls,
+        "booking_trends": booking_trends(silver_bookings),
         "channel_attribution": campaign_cpb(silver_spend, silver_bookings),
         "booking_volume_by_time_slot": time_slot_by_channel(silver_bookings),
         "employee_meeting_load": employee_weekly_load(silver_bookings),
