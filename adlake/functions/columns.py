@@ -141,3 +141,8 @@ def titled(df: DataFrame, titles: Mapping[str, str]) -> DataFrame:
 def titled_value(c: Column, titles: Mapping[str, str]) -> Column:
     """Presentation label of a code; codes without one stay as they are."""
     return F.coalesce(lookup(c, titles), c)
+
+
+def json_starts_with(text: Column, first: str) -> Column:
+    """Whether the first character of a JSON text after its white space is ``first``."""
+    return F.ltrim(text, F.lit(" \t\r\n")).startswith(first)

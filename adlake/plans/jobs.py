@@ -1,8 +1,9 @@
-"""The jobs a user submits: bronze to silver, silver to gold, and the whole sequence.
+"""The jobs a user submits: intake to bronze, bronze to silver, silver to gold, and the sequence.
 
-The silver jobs count rejects while they write the good rows and read the input again when there
-are rejects to keep, and once more in strict mode. The gold jobs read theirs once: they compute one small
-cube of all grains, stage it in the shared folder, and cut the tables out of it.
+A silver job that keeps rejects, or is strict, parses its input once: the checked rows are staged
+in the shared folder, and good rows, rejects and the strict check read them there. The gold jobs
+read theirs once as well: they compute one small cube of all grains, stage it, and cut the tables
+out of it. A job deletes what it staged when it ends.
 
 Run ``python -m adlake.plans.jobs --help`` for the command line.
 """
@@ -12,23 +13,34 @@ from __future__ import annotations
 import argparse
 import json
 from collections.abc import Collection, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import nullcontext
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlake.fixed_values import CHANNEL_BY_EVENT_TYPE, SPEND_CHANNELS
 from adlake.operators import gold_bookings, gold_combined, gold_spend, silver_bookings, silver_spend
 from adlake.operators.gold_extra import metric_tables
-from adlake.operators.quality import REASONS, raise_on_rejects, rejected_rows
-from adlake.session import build_session, checkpointed
+from adlake.operators.quality import raise_on_rejects, rejected_rows, valid_rows
+from adlake.session import build_session, staged
+from adlake.sources.intake import (
+    BOOKING_ENVELOPE,
+    BOOKING_PARTITIONS,
+    SPEND_PARTITIONS,
+    read_requests,
+    spend_intake,
+    webhook_intake,
+)
+from adlake.sources.manifest import manifest_names, read_manifests, require_names, select_names
 from adlake.sources.readers import (
     read_bronze_bookings,
     read_bronze_spend,
     read_silver_bookings,
     read_silver_spend,
 )
-from adlake.sources.sinks import export_json, register_table, stamped, write_table
+from adlake.sources.sinks import export_json, register_table, stamped, write_bronze, write_table
 
 SILVER_STAMP = "silver_processed_at"
 GOLD_STAMP = "gold_processed_at"
@@ -38,33 +50,74 @@ REJECT_PARTITION = "ingest_date"
 def _publish_silver(
     checked: DataFrame, accepted, partition: str, target: str, rejects: str | None, *, mode, strict, fmt
 ) -> None:
-    if strict:
-        raise_on_rejects(checked)
-    seen = Observation(f"rejects of {target}")
-    counted = checked.observe(seen, F.count_if(F.size(REASONS) > 0).alias("rejects"))
-    silver = stamped(accepted(counted if rejects else checked), SILVER_STAMP)
-    write_table(silver, target, mode=mode, partition_by=[partition], fmt=fmt)
-    if not rejects:
-        return
-    bad = rejected_rows(checked)
-    bad = bad if _may_be_positive(seen, "rejects") else bad.limit(0)
-    if mode != "replace_partitions":
-        write_table(stamped(bad, SILVER_STAMP), rejects, mode=mode, fmt=fmt)
-        return
-    # rejects carry no reliable date of their own, so they are laid out by that of their intake,
-    # and a day taken in again replaces its own rejects only
-    day = F.coalesce(F.left("bronze_ingestion_timestamp", F.lit(10)), F.lit("unknown"))
-    dated = stamped(bad, SILVER_STAMP).withColumn(REJECT_PARTITION, day)
-    write_table(dated, rejects, mode=mode, partition_by=[REJECT_PARTITION], fmt=fmt)
+    with staged(checked) if strict or rejects else nullcontext(checked) as rows:
+        if strict:
+            raise_on_rejects(rows)
+        silver = stamped(accepted(rows), SILVER_STAMP)
+        write_table(silver, target, mode=mode, partition_by=[partition], fmt=fmt)
+        if not rejects:
+            return
+        bad = stamped(rejected_rows(rows), SILVER_STAMP)
+        if mode != "replace_partitions":
+            write_table(bad, rejects, mode=mode, fmt=fmt)
+            return
+        # rejects carry no reliable date of their own, so they are laid out by that of their intake,
+        # and a day taken in again replaces its own rejects only
+        day = F.coalesce(F.left("bronze_ingestion_timestamp", F.lit(10)), F.lit("unknown"))
+        dated = bad.withColumn(REJECT_PARTITION, day)
+        write_table(dated, rejects, mode=mode, partition_by=[REJECT_PARTITION], fmt=fmt)
+
+
+def webhook_intake_job(
+    spark: SparkSession,
+    requests: str,
+    target: str,
+    *,
+    rejects: str | None = None,
+    ingested_at: str | None = None,
+    channels: Mapping[str, str] = CHANNEL_BY_EVENT_TYPE,
+) -> None:
+    """Logged webhook requests to bronze. Rejects, keyed alike, go to a folder of their own."""
+    received = webhook_intake(read_requests(spark, requests), ingested_at=ingested_at, channels=channels)
+    with staged(received) as rows:
+        good = valid_rows(rows).select(*BOOKING_ENVELOPE, *BOOKING_PARTITIONS)
+        write_bronze(good, target, BOOKING_PARTITIONS)
+        if rejects:
+            write_bronze(rejected_rows(rows).drop("raw_event"), rejects, BOOKING_PARTITIONS)
 
 
-def _may_be_positive(seen: Observation, metric: str) -> bool:
-    """Whether the metric is positive. True as well where it was never taken: adaptive execution
-    drops a plan, observation and all, once it finds that nothing is left to write."""
-    try:
-        return seen.get[metric] > 0
-    except (Py4JJavaError, KeyError):
-        return True
+def spend_intake_job(
+    spark: SparkSession,
+    files: str,
+    target: str,
+    *,
+    manifests: str | None = None,
+    file_names: Collection[str] | None = None,
+    newest: int | None = None,
+    cap: int | None = None,
+    counts: str | None = None,
+    ingested_at: str | None = None,
+    source_base_url: str | None = None,
+) -> None:
+    """Spend files to bronze: all under ``files``, or those that the manifests list and the
+    selection leaves. ``counts`` receives the number of records per file, NULL for a file that
+    holds no array, which is kept in bronze all the same and rejected by the silver job."""
+    chosen: DataFrame | Collection[str] | None = file_names
+    if manifests:
+        listed = require_names(manifest_names(read_manifests(spark, manifests)))
+        chosen = select_names(listed, file_names=file_names, newest=newest, cap=cap)
+    elif newest is not None or cap is not None:
+        raise ValueError("newest and cap select among the names of a manifest")
+    taken = spend_intake(
+        spark, files, file_names=chosen, ingested_at=ingested_at, source_base_url=source_base_url
+    )
+    with staged(taken) as rows:
+        write_bronze(rows.drop("record_count"), target, SPEND_PARTITIONS)
+        if counts:
+            per_file = rows.groupBy("raw_s3_key", "source_file_name", *SPEND_PARTITIONS).agg(
+                F.sum("record_count").alias("record_count")
+            )
+            write_bronze(per_file, counts, SPEND_PARTITIONS)
 
 
 def silver_bookings_job(
@@ -145,9 +198,9 @@ def gold_bookings_job(
     paths: Mapping[str, str] | None = None,
 ) -> None:
     """Six booking tables under ``root`` (or at ``paths`` by table name)."""
-    cube = checkpointed(gold_bookings.booking_cube(read_silver_bookings(spark, silver, fmt)))
-    tables = gold_bookings.tables_from_cube(cube)
-    _write_gold(tables, root, gold_bookings.PARTITIONS, mode, fmt, paths)
+    with staged(gold_bookings.booking_cube(read_silver_bookings(spark, silver, fmt))) as cube:
+        tables = gold_bookings.tables_from_cube(cube)
+        _write_gold(tables, root, gold_bookings.PARTITIONS, mode, fmt, paths)
 
 
 def gold_spend_job(
@@ -159,9 +212,9 @@ def gold_spend_job(
     fmt: str | None = None,
     paths: Mapping[str, str] | None = None,
 ) -> None:
-    totals = checkpointed(gold_spend.daily_totals(read_silver_spend(spark, silver, fmt)))
-    tables = gold_spend.tables_from_totals(totals)
-    _write_gold(tables, root, gold_spend.PARTITIONS, mode, fmt, paths)
+    with staged(gold_spend.daily_totals(read_silver_spend(spark, silver, fmt))) as totals:
+        tables = gold_spend.tables_from_totals(totals)
+        _write_gold(tables, root, gold_spend.PARTITIONS, mode, fmt, paths)
 
 
 def gold_combined_job(
@@ -176,9 +229,9 @@ def gold_combined_job(
 ) -> None:
     spend = read_silver_spend(spark, silver_spend_path, fmt)
     bookings = read_silver_bookings(spark, silver_bookings_path, fmt)
-    cube = checkpointed(gold_combined.combined_cube(spend, bookings))
-    tables = gold_combined.tables_from_cube(cube)
-    _write_gold(tables, root, gold_combined.PARTITIONS, mode, fmt, paths)
+    with staged(gold_combined.combined_cube(spend, bookings)) as cube:
+        tables = gold_combined.tables_from_cube(cube)
+        _write_gold(tables, root, gold_combined.PARTITIONS, mode, fmt, paths)
 
 
 def metrics_job(
@@ -230,20 +283,30 @@ def refresh_lakehouse(
     fmt: str | None = None,
 ) -> None:
     """Everything: both silver tables, their rejects, all gold tables, and, when a database is
-    named, their registration."""
+    named, their registration. Spend and bookings need nothing of each other until they are
+    combined, so their jobs run side by side."""
     bookings, spend = f"{root}/silver/bookings", f"{root}/silver/spend"
     gold = f"{root}/gold"
     common = {"mode": mode, "strict": strict, "layout": layout, "fmt": fmt}
-    silver_spend_job(
-        spark, bronze_spend, spend,
-        rejects=f"{root}/rejects/spend", channels=spend_channels, **common,
-    )
-    gold_spend_job(spark, spend, gold, mode=mode, fmt=fmt)
-    silver_bookings_job(
-        spark, bronze_bookings, bookings,
-        rejects=f"{root}/rejects/bookings", channels=channels, **common,
-    )
-    gold_bookings_job(spark, bookings, gold, mode=mode, fmt=fmt)
+
+    def spend_branch() -> None:
+        silver_spend_job(
+            spark, bronze_spend, spend,
+            rejects=f"{root}/rejects/spend", channels=spend_channels, **common,
+        )
+        gold_spend_job(spark, spend, gold, mode=mode, fmt=fmt)
+
+    def booking_branch() -> None:
+        silver_bookings_job(
+            spark, bronze_bookings, bookings,
+            rejects=f"{root}/rejects/bookings", channels=channels, **common,
+        )
+        gold_bookings_job(spark, bookings, gold, mode=mode, fmt=fmt)
+
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(branch)) for branch in (spend_branch, booking_branch)]
+    for branch in running:
+        branch.result()
     gold_combined_job(spark, spend, bookings, gold, mode=mode, fmt=fmt)
     if database:
         register_gold(spark, gold, database=database, fmt=fmt)
@@ -264,8 +327,25 @@ def _parser() -> argparse.ArgumentParser:
     intake.add_argument("--layout", default="lines", help="lines, as our own intake writes, or documents")
     intake.add_argument("--channels", help="JSON object of event type URI to channel")
 
+    session = argparse.ArgumentParser(add_help=False)
+    session.add_argument("--shuffle-partitions", type=int)
+    session.add_argument("--ingested-at", help="ISO timestamp; the time of the run when left out")
+    session.add_argument("--target", required=True)
+
     parser = argparse.ArgumentParser(prog="adlake")
     jobs = parser.add_subparsers(dest="job", required=True)
+    webhooks = jobs.add_parser("intake-webhooks", parents=[session])
+    webhooks.add_argument("--requests", required=True)
+    webhooks.add_argument("--rejects")
+    webhooks.add_argument("--channels", help="JSON object of event type URI to channel")
+    files = jobs.add_parser("intake-spend", parents=[session])
+    files.add_argument("--files", required=True)
+    files.add_argument("--manifests", help="JSON manifests that list the files to take in")
+    files.add_argument("--file-name", action="append", dest="file_names")
+    files.add_argument("--newest", type=int)
+    files.add_argument("--cap", type=int)
+    files.add_argument("--counts", help="where the number of records per file goes")
+    files.add_argument("--source-base-url")
     jobs.add_parser("silver-bookings", parents=[shared, to_silver, intake])
     jobs.add_parser("silver-spend", parents=[shared, to_silver, intake])
     for name in ("gold-bookings", "gold-spend"):
@@ -288,11 +368,24 @@ def _parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = build_session(
-        f"adlake {args.job}", delta=args.delta, shuffle_partitions=args.shuffle_partitions
+        f"adlake {args.job}", delta=getattr(args, "delta", False), shuffle_partitions=args.shuffle_partitions
     )
-    table = {"mode": args.mode, "fmt": args.fmt}
     given = json.loads(args.channels) if getattr(args, "channels", None) else None
     by_type = given or CHANNEL_BY_EVENT_TYPE
+    if args.job == "intake-webhooks":
+        webhook_intake_job(
+            spark, args.requests, args.target,
+            rejects=args.rejects, ingested_at=args.ingested_at, channels=by_type,
+        )
+        return
+    if args.job == "intake-spend":
+        spend_intake_job(
+            spark, args.files, args.target, manifests=args.manifests, file_names=args.file_names,
+            newest=args.newest, cap=args.cap, counts=args.counts,
+            ingested_at=args.ingested_at, source_base_url=args.source_base_url,
+        )
+        return
+    table = {"mode": args.mode, "fmt": args.fmt}
     accepted = tuple(dict.fromkeys(given.values())) if given else SPEND_CHANNELS
     if args.job in ("silver-bookings", "silver-spend"):
         job, known = (

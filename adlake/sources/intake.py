@@ -34,6 +34,9 @@ SPEND_ENVELOPE = [
 
 REPEATED_KEYS = "spark.sql.variant.allowDuplicateKeys"
 
+#: Far below the limit of a VARIANT, so that records of uneven size stay below it too.
+SPLIT_BYTES = 16 << 20
+
 BOOKING_PARTITIONS = ["event_type", "ingest_date"]
 SPEND_PARTITIONS = ["ingest_date"]
 
@@ -80,7 +83,7 @@ def webhook_rules() -> list[Rule]:
         Rule("missing_body", F.col("body").isNotNull()),
         Rule("invalid_encoding", F.col("body").isNull() | text.isNotNull()),
         Rule("invalid_json", text.isNull() | parsed.isNotNull()),
-        Rule("not_an_object", parsed.isNull() | F.ltrim(text).startswith("{")),
+        Rule("not_an_object", parsed.isNull() | c.json_starts_with(text, "{")),
         Rule("unsupported_event", F.col("webhook_event") == WANTED_WEBHOOK_EVENT),
         Rule("missing_payload", payload),
         Rule("missing_scheduled_event", meeting),
@@ -133,6 +136,29 @@ def webhook_intake(
     return checked.select("body", *BOOKING_ENVELOPE, *BOOKING_PARTITIONS, "reject_reasons")
 
 
+def _pieces(files: DataFrame, split_bytes: int) -> DataFrame:
+    """Rows (piece, and all columns but ``value``): the text in ``value``, or, where that is a
+    longer array, several arrays in JSON that together hold its records."""
+    size = F.octet_length("value").cast("long")
+    large = (size > split_bytes) & c.json_starts_with(F.col("value"), "[")
+    records = F.when(large, F.from_json("value", "array<string>"))
+    # parsed once, not once per piece
+    listed = c.settled(files.withColumns({"_size": size, "_records": records}))
+    found = F.size("_records")
+    each = F.greatest(F.lit(1), F.floor(found.cast("long") * split_bytes / F.col("_size"))).cast("int")
+
+    def part(start: Column) -> Column:
+        # a record that is JSON null reads as NULL
+        return F.concat(F.lit("["), F.array_join(F.slice("_records", start, each), ",", "null"), F.lit("]"))
+
+    parts = F.when(found > 1, F.transform(F.sequence(F.lit(1), found, each), part))
+    whole = F.array("value")
+    return listed.select(
+        F.explode(F.coalesce(parts, whole)).alias("piece"),
+        *(name for name in files.columns if name != "value"),
+    )
+
+
 def spend_intake(
     spark: SparkSession,
     path: str | list[str],
@@ -142,9 +168,15 @@ def spend_intake(
     source_system: str = SPEND_SOURCE_SYSTEM,
     glob: str | None = "spend_data_*.json",
     file_names: Collection[str] | DataFrame | None = None,
+    split_bytes: int = SPLIT_BYTES,
 ) -> DataFrame:
     """Raw spend files, one bronze row per file; only those in ``file_names`` when given, a list
-    (then no others are opened) or a frame with a ``file_name`` column, as ``select_names`` gives. ``record_count`` is NULL for a file that holds no array."""
+    (then no others are opened) or a frame with a ``file_name`` column, as ``select_names`` gives.
+
+    An array of more than ``split_bytes`` becomes several rows of the same key, each with some of
+    its records, as a VARIANT has a size limit. ``record_count`` is that of the row, and NULL for
+    a file that holds no array.
+    """
     found = spark.read.text(path, wholetext=True, pathGlobFilter=glob, recursiveFileLookup=True)
     spark.conf.set(REPEATED_KEYS, "true")
     if isinstance(file_names, DataFrame):
@@ -153,11 +185,14 @@ def spend_intake(
         )
     elif file_names is not None:
         found = found.where(F.col("_metadata.file_name").isin(*file_names))
-    files = found.select(
-        F.try_parse_json("value").alias("raw_payload"),
+    texts = found.select(
+        "value",
         F.col("_metadata.file_path").alias("source_file_path"),
         F.col("_metadata.file_name").alias("source_file_name"),
     )
+    files = _pieces(texts, split_bytes).select(
+        F.try_parse_json("piece").alias("raw_payload"), "source_file_path", "source_file_name"
+    )
     return spend_envelopes(
         files,
         ingested_at=ingested_at,

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlake.fixed_values import BOOKING_SOURCE_SYSTEM, WANTED_WEBHOOK_EVENT
+from adlake.functions.columns import json_starts_with
 from adlake.schemas import BARE_EVENT, BRONZE_BOOKING, BRONZE_SPEND, SILVER_BOOKING, SILVER_SPEND
 from adlake.session import table_format
 
@@ -35,7 +36,7 @@ def _bronze(spark, path, schema, layout, glob, streaming, files_per_batch) -> Da
     # the reader takes NaN and infinities, which counting does not
     numeric = F.regexp_replace(value, r":\s*[+-]?(NaN|Infinity|INF)\b", ":0")
     single = F.json_array_length(F.concat(F.lit("["), numeric, F.lit("]"))) == 1
-    listed = F.ltrim(value).startswith("[")
+    listed = json_starts_with(value, "[")
     elements = F.when(listed, F.from_json(value, f"array<{struct}>", options)).otherwise(
         F.array(F.from_json(value, struct, options))
     )

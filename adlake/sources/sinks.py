@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlake.session import checkpointed, table_format
+from adlake.session import staged, table_format
 
 MODES = ("overwrite", "append", "replace_partitions")
 
@@ -69,17 +69,17 @@ def write_bronze(
         write_table(df, path, mode=mode, partition_by=partition_by, fmt="json")
         return
     spark = df.sparkSession
-    new = checkpointed(df)
-    try:
-        old = spark.read.schema(df.schema).json(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        old = spark.createDataFrame([], df.schema)
-    touched = new.select(*partition_by).distinct()
-    others = old.join(touched, list(partition_by), "left_semi").join(new.select(key), key, "left_anti")
-    whole = checkpointed(others.select(*df.columns).unionByName(new))
-    write_table(whole, path, mode="replace_partitions", partition_by=partition_by, fmt="json")
+    with staged(df) as new:
+        try:
+            old = spark.read.schema(df.schema).json(path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            old = spark.createDataFrame([], df.schema)
+        touched = new.select(*partition_by).distinct()
+        others = old.join(touched, list(partition_by), "left_semi").join(new.select(key), key, "left_anti")
+        with staged(others.select(*df.columns).unionByName(new)) as whole:
+            write_table(whole, path, mode="replace_partitions", partition_by=partition_by, fmt="json")
 
 
 def export_json(df: DataFrame, path: str) -> None:

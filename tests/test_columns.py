@@ -132,3 +132,8 @@ def test_settled_keeps_rows_and_types(spark):
     df = spark.range(3).withColumn("s", F.struct("id"))
     assert c.settled(df).schema.simpleString() == df.schema.simpleString()
     assert c.settled(df).collect() == df.collect()
+
+
+def test_json_starts_with(spark):
+    texts = spark.createDataFrame([("[1]",), (" \r\n\t[1]",), ('"["',), ("",), (None,)], "t string")
+    assert [r[0] for r in texts.select(c.json_starts_with(texts.t, "[")).collect()] == [True, True, False, False, None]

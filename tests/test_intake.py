@@ -113,6 +113,23 @@ def test_spend_intake(spark, tmp_path):
         assert rejected_rows(silver_spend.checked_spend(bronze)).count() == 2
 
 
+@pytest.mark.parametrize("limit", [1, 300, 1 << 20])
+def test_long_spend_files_lose_no_record(spark, tmp_path, limit):
+    raw, bronze = tmp_path / "raw", str(tmp_path / "bronze")
+    raw.mkdir()
+    records = [{"date": "2025-06-24", "channel": "facebook_paid_ads", "spend": n + 0.25, "note": "a,\"[é" * (n % 3)} for n in range(50)]
+    (raw / "spend_data_long.json").write_text("\n " + json.dumps([*records, None], indent=2))
+    (raw / "spend_data_object.json").write_text(json.dumps({"records": records}))
+    (raw / "spend_data_broken.json").write_text(json.dumps(records)[:-1])
+    taken = intake.spend_intake(spark, str(raw), ingested_at=AT, split_bytes=limit)
+    counts = {r[0]: r[1] for r in taken.groupBy("source_file_name").agg({"record_count": "sum"}).collect()}
+    assert counts == {"spend_data_long.json": 51, "spend_data_object.json": None, "spend_data_broken.json": None}
+    for _ in range(2):  # all rows of one key stay, and running again adds none
+        write_bronze(taken.drop("record_count"), bronze, intake.SPEND_PARTITIONS)
+    silver = silver_spend.spend(read_bronze_spend(spark, bronze, layout="lines"))
+    assert sorted(r.spend_usd for r in silver.collect()) == [n + 0.25 for n in range(50)]
+
+
 def names(spark, document, **selection):
     frame = spark.createDataFrame([(json.dumps(document),)], "value string")
     selected = manifest.select_names(manifest.manifest_names(frame), **selection)

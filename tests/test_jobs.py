@@ -1,5 +1,6 @@
 import json
 from datetime import date
+from pathlib import Path
 
 import pytest
 
@@ -98,6 +99,40 @@ def test_command_line(bronze, spark, tmp_path):
         jobs.main(["gold-spend"])
 
 
+def test_intake_commands(spark, tmp_path, rows):
+    raw, requests, lake = tmp_path / "raw", tmp_path / "requests", tmp_path / "lake"
+    raw.mkdir(), requests.mkdir()
+    names = [f"spend_data_2025-06-2{n}.json" for n in range(4)]
+    for n, name in enumerate(names):
+        day = [{"date": f"2025-06-2{n}", "channel": "facebook_paid_ads", "spend": 100.0}] * (n + 1)
+        (raw / name).write_text(json.dumps(day))
+    (tmp_path / "index.json").write_text(json.dumps({"files": names}))
+    spend_args = ["intake-spend", "--files", str(raw), "--manifests", str(tmp_path / "index.json"), "--newest", "2",
+                  "--target", str(lake / "spend"), "--counts", str(lake / "counts"), "--ingested-at", "2025-07-01T00:00:00+00:00"]
+    bodies = [json.dumps(webhook("1")), json.dumps(webhook("2")), "{broken"]
+    (requests / "a.json").write_text("\n".join(json.dumps({"body": body}) for body in bodies))
+    hook_args = ["intake-webhooks", "--requests", str(requests), "--target", str(lake / "hooks"), "--rejects", str(lake / "bad")]
+    for _ in range(2):  # running again adds nothing
+        jobs.main(spend_args)
+        jobs.main(hook_args)
+    counted = spark.read.json(str(lake / "counts")).select("source_file_name", "record_count")
+    assert rows(counted) == [(names[2], 3), (names[3], 4)]
+    assert spark.read.json(str(lake / "bad")).count() == 1
+    jobs.main(["silver-spend", "--source", str(lake / "spend"), "--target", str(tmp_path / "s")])
+    jobs.main(["silver-bookings", "--source", str(lake / "hooks"), "--target", str(tmp_path / "b")])
+    assert read_table(spark, str(tmp_path / "s"), "parquet").count() == 7
+    assert read_table(spark, str(tmp_path / "b"), "parquet").count() == 2
+    with pytest.raises(ValueError, match="manifest"):
+        jobs.spend_intake_job(spark, str(raw), str(lake / "x"), newest=1)
+
+
+def test_jobs_leave_nothing_staged(spark, bronze, tmp_path):
+    folder = Path(scratch_dir(spark)) / "adlake"
+    before = set(folder.iterdir()) if folder.exists() else set()
+    jobs.refresh_lakehouse(spark, *bronze, str(tmp_path / "lake"), layout="documents", fmt="parquet")
+    assert set(folder.iterdir()) == before
+
+
 def test_custom_paths(spark, tmp_path):
     write_table(spend(spark), str(tmp_path / "s"), partition_by=["spend_date"], fmt="parquet")
     paths = {"channel_spend_summary": str(tmp_path / "elsewhere")}

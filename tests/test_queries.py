@@ -43,3 +43,13 @@ def test_scans_read_what_they_need(spark, capsys):
     assert "LessThan(l_extendedprice,1.0E16)" in plan and "IsNotNull(o_orderstatus)" in plan
     # two aggregates and the distinct pass: the join adds no exchange
     assert plan.count("hashpartitioning") == 3
+
+
+@pytest.mark.parametrize("name", ["order_booking_cube", "line_cpb_daily_from_cube"])
+def test_grains_multiply_rows_after_the_raw_shuffle(spark, capsys, name):
+    queries()[name](spark, SMALL).explain()
+    plan = capsys.readouterr().out
+    multiplied = next(part for part in plan.split("Generate inline")[1:] if "REPARTITION_BY_COL" in part)
+    # read from the top down: partial counts above, and between them and the rows dealt out by id no exchange
+    assert "hashpartitioning(booking_id" in multiplied.split("Exchange ")[1]
+    assert "Expand" not in plan.split("HashAggregate(keys=[grain")[-1].split("Exchange ")[0]
