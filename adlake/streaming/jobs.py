@@ -3,10 +3,14 @@
 All default to ``availableNow``: take in what is there, then stop, so a scheduler can run them
 like batch jobs. ``every`` turns them into standing queries; ``files_per_batch`` bounds how much
 one micro-batch of a backlog takes on.
+
+Run ``python -m adlake.streaming.jobs --help`` for the command line.
 """
 
 from __future__ import annotations
 
+import argparse
+import json
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +22,7 @@ from adlake.functions import columns as c
 from adlake.operators import gold_bookings, silver_bookings
 from adlake.operators.quality import rejected_rows, valid_rows
 from adlake.plans.jobs import GOLD_STAMP, SILVER_STAMP
-from adlake.session import checkpointed, table_format
+from adlake.session import build_session, staged, table_format
 from adlake.sources.intake import BOOKING_ENVELOPE, BOOKING_PARTITIONS, read_requests, webhook_intake
 from adlake.sources.readers import read_bronze_bookings, read_table
 from adlake.sources.sinks import stamped, write_table
@@ -177,8 +181,9 @@ def gold_refresh_stream(
                 rows, facts, mode="append", partition_by=[FACTS_PARTITION], fmt=fmt, rebalance=False
             )
             # the caller's session recomputes: the one of the batch runs without AQE
-            days = checkpointed(rows.select(FACTS_PARTITION).distinct())
-            refresh_days(spark, facts, gold, spark.read.schema(days.schema).parquet(*days.inputFiles()), fmt=fmt)
+            with staged(rows.select(FACTS_PARTITION).distinct()) as days:
+                touched = spark.read.schema(days.schema).parquet(*days.inputFiles())
+                refresh_days(spark, facts, gold, touched, fmt=fmt)
         finally:
             rows.unpersist()
 
@@ -193,17 +198,67 @@ def refresh_days(
     The dates are staged in the shared folder and prune the partitions of the facts by a
     semi-join. Without dates nothing is replaced.
     """
-    days = checkpointed(touched.distinct())
-    rows = read_table(spark, facts, fmt).join(days, FACTS_PARTITION, "left_semi")
-    tables = {
-        "daily_calls_by_source": gold_bookings.daily_calls_by_source(rows),
-        "booking_trends": gold_bookings.booking_trends(rows),
+    with staged(touched.distinct()) as days:
+        rows = read_table(spark, facts, fmt).join(days, FACTS_PARTITION, "left_semi")
+        tables = {
+            "daily_calls_by_source": gold_bookings.daily_calls_by_source(rows),
+            "booking_trends": gold_bookings.booking_trends(rows),
+        }
+        for name, table in tables.items():
+            write_table(
+                stamped(table, GOLD_STAMP),
+                f"{gold}/{name}",
+                mode="replace_partitions",
+                partition_by=gold_bookings.PARTITIONS[name],
+                fmt=fmt,
+            )
+
+
+def _parser() -> argparse.ArgumentParser:
+    shared = argparse.ArgumentParser(add_help=False)
+    shared.add_argument("--source", required=True)
+    shared.add_argument("--target", required=True)
+    shared.add_argument("--checkpoint", required=True)
+    shared.add_argument("--channels", help="JSON object of event type URI to channel")
+    shared.add_argument("--every", help="keep running, with this interval; else take in what is there")
+    shared.add_argument("--files-per-batch", type=int)
+    shared.add_argument("--shuffle-partitions", type=int)
+    of_bronze = argparse.ArgumentParser(add_help=False)
+    of_bronze.add_argument("--layout", default="lines", help="lines, as our own intake writes, or documents")
+    of_bronze.add_argument("--format", dest="fmt", default="parquet")
+
+    parser = argparse.ArgumentParser(prog="adlake streams")
+    streams = parser.add_subparsers(dest="stream", required=True)
+    streams.add_parser("intake", parents=[shared]).add_argument("--rejects")
+    streams.add_parser("silver", parents=[shared, of_bronze]).add_argument("--once-within")
+    streams.add_parser("closed-days", parents=[shared, of_bronze]).add_argument("--lateness", default="1 day")
+    gold = streams.add_parser("gold", parents=[shared, of_bronze], help="--target is the root of the gold tables")
+    gold.add_argument("--facts", required=True)
+    return parser
+
+
+def main(argv: list[str] | None = None) -> None:
+    args = _parser().parse_args(argv)
+    spark = build_session(f"adlake {args.stream} stream", shuffle_partitions=args.shuffle_partitions)
+    common = {
+        "channels": json.loads(args.channels) if args.channels else CHANNEL_BY_EVENT_TYPE,
+        "every": args.every,
+        "files_per_batch": args.files_per_batch,
     }
-    for name, table in tables.items():
-        write_table(
-            stamped(table, GOLD_STAMP),
-            f"{gold}/{name}",
-            mode="replace_partitions",
-            partition_by=gold_bookings.PARTITIONS[name],
-            fmt=fmt,
-        )
+    if args.stream == "intake":
+        queries = intake_stream(spark, args.source, args.target, args.checkpoint, rejects=args.rejects, **common)
+    else:
+        common |= {"layout": args.layout, "fmt": args.fmt}
+        where = (spark, args.source, args.target, args.checkpoint)
+        if args.stream == "silver":
+            queries = [silver_stream(*where, once_within=args.once_within, **common)]
+        elif args.stream == "closed-days":
+            queries = [closed_days_stream(*where, lateness=args.lateness, **common)]
+        else:
+            queries = [gold_refresh_stream(spark, args.source, args.facts, args.target, args.checkpoint, **common)]
+    for query in queries:
+        query.awaitTermination()
+
+
+if __name__ == "__main__":
+    main()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from adlake.functions import columns as c
@@ -752,10 +752,29 @@ def _gold(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return gold_bookings.booking_tables(views.bookings(spark, sf))[name]
 
 
+def _report_sql(name: str) -> str:
+    """The table, with the place of each row in the order of its report."""
+    sql = (COMBINED_TABLES_SQL | BOOKING_TABLES_SQL)[name]
+    if name not in reports.ORDERINGS:
+        return sql
+    order = [f"{key} {'DESC' if down else 'ASC'} NULLS LAST" for key, down in reports.ORDERINGS[name]]
+    return f"SELECT *, RANK() OVER (ORDER BY {', '.join(order)}) AS place FROM ({sql})"
+
+
+def _report(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """The report with the places that its rows came out in, equal keys sharing the first."""
+    shown = reports.report(_gold(spark, sf, name), name)
+    if name not in reports.ORDERINGS:
+        return shown
+    keys = [key for key, _ in reports.ORDERINGS[name]]
+    at = F.row_number().over(Window.orderBy("_came"))
+    placed = shown.withColumn("_came", F.monotonically_increasing_id()).withColumn("_at", at.cast("long"))
+    first = F.min("_at").over(Window.partitionBy(*keys))
+    return placed.withColumn("place", first).drop("_came", "_at")
+
+
 for _name in reports.COLUMNS:
-    check(f"report_{_name}", (COMBINED_TABLES_SQL | BOOKING_TABLES_SQL)[_name])(
-        lambda spark, sf, name=_name: reports.report(_gold(spark, sf, name), name)
-    )
+    check(f"report_{_name}", _report_sql(_name))(lambda spark, sf, name=_name: _report(spark, sf, name))
 
 
 @check(
@@ -921,6 +940,25 @@ def _refreshed_daily_cpb(spark, sf):
     return gold.select(reports.COLUMNS["daily_cpb_by_channel"])
 
 
+def _spend_gold(spark: SparkSession, sf: str, table: str) -> DataFrame:
+    """A table as the spend job writes it, from rows that carry its stamp."""
+    silver, gold = staging_path(spark, "spend"), staging_path(spark, "gold")
+    sinks.write_table(views.spend(spark, sf), silver, partition_by=["spend_date"], fmt="parquet")
+    jobs.gold_spend_job(spark, silver, gold, fmt="parquet")
+    written = readers.read_table(spark, f"{gold}/{table}", "parquet")
+    return written.where(F.col(jobs.GOLD_STAMP).isNotNull()).drop(jobs.GOLD_STAMP)
+
+
+@check("spend_job_daily", _daily_spend_sql(SPEND_SQL))
+def _spend_job_daily(spark, sf):
+    return _spend_gold(spark, sf, "daily_spend_by_channel")
+
+
+@check("spend_job_summary", _summary_sql(SPEND_SQL))
+def _spend_job_summary(spark, sf):
+    return _spend_gold(spark, sf, "channel_spend_summary")
+
+
 @check("exported_metrics", ORACLES["campaign_cpb"])
 def _exported_metrics(spark, sf):
     spend, booked, root = (staging_path(spark, name) for name in ("spend", "bookings", "metrics"))

@@ -97,3 +97,21 @@ def test_days_are_counted_once_closed(spark, tmp_path):
     assert run() == {}
     deliver(bronze, "2.json", webhook("3"), webhook("4", created_at="2025-10-11T10:00:00Z"))
     assert run() == {("2025-10-08", "facebook_paid_ads"): 3}
+
+
+def test_command_line(spark, tmp_path):
+    source, root = tmp_path / "requests", str(tmp_path)
+    source.mkdir()
+    bodies = [json.dumps(webhook("1")), json.dumps(webhook("2")), "{broken"]
+    (source / "1.json").write_text("\n".join(json.dumps({"body": body}) for body in bodies))
+
+    def run(stream, source, target, *more):
+        streams.main([stream, "--source", f"{root}/{source}", "--target", f"{root}/{target}", "--checkpoint", f"{root}/c-{stream}", *more])
+
+    run("intake", "requests", "bronze", "--rejects", f"{root}/rejects")
+    run("silver", "bronze", "silver", "--files-per-batch", "1")
+    run("gold", "bronze", "gold", "--facts", f"{root}/facts")
+    run("closed-days", "bronze", "days", "--lateness", "1 hour")
+    assert read_table(spark, f"{root}/silver", "parquet").count() == 2
+    calls = read_table(spark, f"{root}/gold/booking_trends", "parquet")
+    assert [r.booked_call_count for r in calls.collect()] == [2]
