@@ -2,8 +2,10 @@
 
 Each document becomes a vector of transformed statistics. Per group a minimum-covariance-
 determinant estimate is fitted: from a robust start, concentration steps refit mean and
-covariance to the ``SHARE`` of documents that lie nearest, which never raises the determinant.
+covariance to the ``SHARE`` of documents that lie nearest, until the determinant no longer falls.
 A document whose Mahalanobis distance from its group is beyond the chi-square cut is rejected.
+As start and steps rest on half of a group, up to about half of it may be outliers, copies of one
+another or not; what more than half of a group have in common is its norm.
 
 All of it is DataFrame built-ins. Groups are only ever aggregated (counts, sums, histograms), so
 a group that holds a third of all rows costs no more than any other.
@@ -21,13 +23,14 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
-#: Share of a group that the determinant is minimised over, and number of concentration steps.
-SHARE = 0.75
-STEPS = 3
+#: Share of a group that the determinant is minimised over, and the fall of its logarithm below
+#: which a group takes no further concentration step.
+SHARE = 0.5
+LEAST_FALL = 1e-3
 #: Smaller groups are pooled by language; a pool still smaller rejects nothing.
 LEAST_GROUP = 50
-#: Chi-square quantiles for five degrees of freedom at 0.75, 0.975 and 0.999999.
-CHI2_SHARE, CHI2_REWEIGHT, CHI2_CUT = 6.6257, 12.8325, 35.888
+#: Chi-square quantiles for five degrees of freedom at 0.5, 0.975 and 0.999999.
+CHI2_SHARE, CHI2_REWEIGHT, CHI2_CUT = 4.3515, 12.8325, 35.888
 #: Variance added to each axis, in units of its robust scale. Shares are counts of rare events:
 #: most documents have none, so that their spread alone would reject the first that has some.
 RIDGE = 1.0
@@ -158,22 +161,26 @@ def _at_share(histogram: DataFrame, keys: list[str], shares: dict[str, float]) -
     )
 
 
-def _start(rows: DataFrame) -> DataFrame:
-    """Per group the median and a robust scale of each axis."""
+def _start(rows: DataFrame, staging: Staging) -> DataFrame:
+    """Per group the median and a robust scale of each axis: the median distance from the median,
+    which outliers of less than half of the group cannot carry along, unlike quartiles."""
     axes = F.explode(
         F.array(*(F.struct(F.lit(i).alias("axis"), F.floor(F.col(a) / AXIS_BIN).alias("bin")) for i, a in enumerate(AXES)))
     )
-    bins = rows.select("grp", axes.alias("v")).groupBy("grp", "v.axis", "v.bin").agg(F.count("*").alias("n"))
-    quartiles = _at_share(bins, ["grp", "axis"], {"q1": 0.25, "q2": 0.5, "q3": 0.75})
+    bins = staging.keep(rows.select("grp", axes.alias("v")).groupBy("grp", "v.axis", "v.bin").agg(F.count("*").alias("n")))
+    middle = _at_share(bins, ["grp", "axis"], {"mid": 0.5})
+    away = F.abs(F.col("bin") - F.col("mid")).alias("bin")
+    off = bins.join(middle, ["grp", "axis"]).groupBy("grp", "axis", "mid", away).agg(F.sum("n").alias("n"))
+    found = _at_share(off, ["grp", "axis", "mid"], {"off": 0.5})
     per_axis = []
     for i, axis in enumerate(AXES):
         of = F.col("axis") == i
-        spread = (F.max(F.when(of, F.col("q3") - F.col("q1"))) + 1) * AXIS_BIN / 1.349
+        spread = (F.max(F.when(of, F.col("off"))) + 0.5) * AXIS_BIN / 0.6745
         per_axis += [
-            ((F.max(F.when(of, F.col("q2"))) + 0.5) * AXIS_BIN).alias(f"mid_{i}"),
+            ((F.max(F.when(of, F.col("mid"))) + 0.5) * AXIS_BIN).alias(f"mid_{i}"),
             F.greatest(spread, F.lit(FLOORS[axis])).alias(f"scale_{i}"),
         ]
-    return quartiles.groupBy("grp").agg(F.max("total").alias("members"), *per_axis)
+    return found.groupBy("grp").agg(F.max("total").alias("members"), *per_axis)
 
 
 def _moments(rows: DataFrame, inside: Column) -> DataFrame:
@@ -221,6 +228,30 @@ def _distance_at_share(rows: DataFrame) -> DataFrame:
     return reached.select("grp", F.exp((F.col("bin_at") + 1) * DISTANCE_BIN).alias("reach"))
 
 
+def _concentrated(fit: DataFrame, staging: Staging) -> DataFrame:
+    """Per group the estimate of the smallest determinant that concentration steps reach.
+
+    A group takes part until a step no longer lowers its determinant. Each round lowers at least
+    one by ``LEAST_FALL``, and the ridge bounds all from below, so the rounds end.
+    """
+    squared = sum((F.col(f"z_{i}") * F.col(f"z_{i}") for i in range(1, D)), F.col("z_0") * F.col("z_0"))
+    log_det = sum((2 * F.log(f"l_{i}_{i}") for i in range(1, D)), 2 * F.log("l_0_0"))
+    measured, best = fit.withColumn("d2", squared), None
+    while True:
+        nearest = measured.join(_distance_at_share(measured), "grp")
+        found = staging.keep(_moments(nearest, F.col("d2") <= F.col("reach")))
+        if best is not None:
+            before = best.select("grp", log_det.alias("before"))
+            lower = found.join(before, "grp").where(log_det < F.col("before") - LEAST_FALL)
+            found = staging.keep(lower.drop("before"))
+            if found.isEmpty():
+                return best
+            best = staging.keep(best.join(found, "grp", "left_anti").unionByName(found))
+        else:
+            best = found
+        measured = _with_distance(fit.join(found.select("grp"), "grp", "left_semi"), found)
+
+
 def quality_rules(
     docs: DataFrame,
     *,
@@ -267,7 +298,7 @@ def quality_rules(
         vectors = placed.select(
             "*", *(F.when(~F.col("base_failed"), x).alias(name) for name, x in _vector().items())
         )
-        start = staging.keep(_start(vectors.where(~F.col("base_failed"))))
+        start = staging.keep(_start(vectors.where(~F.col("base_failed")), staging))
         rows = staging.keep(
             vectors.join(start, "grp", "left").select(
                 *placed.columns,
@@ -276,13 +307,7 @@ def quality_rules(
             )
         )
         fit = rows.where(~F.col("base_failed"))
-        squared = sum((F.col(f"z_{i}") * F.col(f"z_{i}") for i in range(1, D)), F.col("z_0") * F.col("z_0"))
-        measured = fit.withColumn("d2", squared)
-        for _ in range(STEPS):
-            reach = _distance_at_share(measured)
-            nearest = measured.join(reach, "grp")
-            estimate = staging.keep(_moments(nearest, F.col("d2") <= F.col("reach")))
-            measured = _with_distance(fit, estimate)
+        measured = _with_distance(fit, _concentrated(fit, staging))
         # distances of the nearest share are brought to those of a chi-square variate, where they
         # are larger; then everything within its 0.975 quantile refits the estimate once
         scale = F.greatest(F.col("reach") / CHI2_SHARE, F.lit(1.0))
