@@ -1,10 +1,11 @@
 """Secret scans: pattern spans, and candidates judged by how many owners hold them.
 
 Patterns with a name of their own (assignments, access keys, hex digests) are reported wherever
-they stand. Besides them the scan takes every long mixed token as a candidate, hashes it, and
-counts over the whole corpus how many distinct repositories and owners it occurs in. A candidate
-that several owners hold is a copied example; one that a single owner holds looks live and is
-reported as well.
+they stand. Besides them the scan takes every long mixed token as a candidate. The values of all
+of them are hashed and counted over the whole corpus: in how many distinct repositories and owners
+each occurs, in whatever form. A value that several owners hold is a copied example; one that a
+single owner holds looks live. Candidates that look live are reported as well, and the named spans
+are counted by the same verdict.
 
 All of it is DataFrame built-ins. Positions come from cutting a text at the matches: the pieces
 between them and the matches themselves add up to code point offsets.
@@ -127,14 +128,29 @@ def scan(docs: DataFrame, *, id_col: str, text_col: str, owner: Column, reposito
     return found.select(*(name for name in found.columns if name != "tokens"), outside.alias("candidates"))
 
 
+def own_value(span: Column) -> Column:
+    """What a named span holds: of an assignment what is assigned, without the full stops that end
+    a sentence; of others all."""
+    return F.regexp_replace(F.regexp_replace(span["value"], ASSIGN_HEAD, ""), r"\.+$", "")
+
+
+def held_values(named: Column) -> Column:
+    """The values of named spans and, as an assigned value may have parts cut at full stops, the
+    candidates inside them."""
+    values = F.transform(named, own_value)
+    inside = F.flatten(F.transform(values, lambda v: F.regexp_extract_all(v, F.lit(CANDIDATE), F.lit(0))))
+    return F.concat(values, F.filter(inside, lambda v: v.rlike(MIXED)))
+
+
 def ownership(scanned: DataFrame) -> DataFrame:
-    """Per candidate hash: in how many distinct repositories and owners it occurs.
+    """Per hash of a value, of named spans and candidates alike: in how many distinct repositories
+    and owners it occurs.
 
     Repeats are dropped before and after the shuffle by (hash, owner, repository), so that a
     widely copied value reaches its counting task once per repository.
     """
     held = scanned.select(
-        F.explode("candidates.value").alias("value"), "owner", "repository"
+        F.explode(F.concat(held_values(F.concat(*BASE)), F.col("candidates.value"))).alias("value"), "owner", "repository"
     ).select(F.sha2("value", 256).alias("hash"), "owner", "repository")
     return (
         held.distinct()
@@ -145,20 +161,31 @@ def ownership(scanned: DataFrame) -> DataFrame:
     )
 
 
-def live_spans(scanned: DataFrame, *, max_owners: int = MAX_OWNERS) -> DataFrame:
-    """Per (doc_id, doc_key) with candidates: those that ``max_owners`` owners at most hold as
-    ``live``, and the number of the others as ``n_examples``."""
-    per_document = scanned.where(F.size("candidates") > 0).dropDuplicates(["doc_id", "doc_key"])
-    spans = per_document.select("doc_id", "doc_key", F.explode("candidates").alias("s")).select(
-        "doc_id", "doc_key", "s", F.sha2("s.value", 256).alias("hash")
+def live_spans(scanned: DataFrame, *, max_owners: int = MAX_OWNERS, max_repositories: int | None = None) -> DataFrame:
+    """Per (doc_id, doc_key) with spans: the candidates that ``max_owners`` owners and, where given,
+    ``max_repositories`` repositories at most hold as ``live``, and the number of the others as
+    ``n_examples``; the numbers of named spans of either kind as ``n_base_live`` and
+    ``n_base_examples``."""
+    every = F.concat(
+        F.transform(F.concat(*BASE), lambda s: F.struct(s.alias("span"), own_value(s).alias("value"))),
+        F.transform("candidates", lambda s: F.struct(s.alias("span"), s["value"].alias("value"))),
+    )
+    some = F.size(F.concat(*BASE, "candidates")) > 0
+    per_document = scanned.where(some).dropDuplicates(["doc_id", "doc_key"])
+    spans = per_document.select("doc_id", "doc_key", F.explode(every).alias("e")).select(
+        "doc_id", "doc_key", F.col("e.span").alias("s"), F.sha2("e.value", 256).alias("hash")
     )
-    own = F.col("owners") <= max_owners
+    own, bare = F.col("owners") <= max_owners, F.col("s.kind") == LIVE
+    if max_repositories is not None:
+        own &= F.col("repositories") <= max_repositories
     return (
         spans.join(ownership(scanned), "hash")
         .groupBy("doc_id", "doc_key")
         .agg(
-            F.collect_list(F.when(own, F.col("s"))).alias("live"),
-            F.count_if(~own).alias("n_examples"),
+            F.collect_list(F.when(own & bare, F.col("s"))).alias("live"),
+            F.count_if(~own & bare).alias("n_examples"),
+            F.count_if(own & ~bare).alias("n_base_live"),
+            F.count_if(~own & ~bare).alias("n_base_examples"),
         )
     )
 
@@ -171,9 +198,11 @@ def secret_scan(
     owner: Column | None = None,
     repository: Column | None = None,
     max_owners: int = MAX_OWNERS,
+    max_repositories: int | None = None,
 ) -> DataFrame:
     """One row per document: doc_id, spans (array of kind, start, end, value), n_assign,
-    n_access, n_hex, n_live, n_examples (long).
+    n_access, n_hex, n_live, n_examples, n_base_live, n_base_examples (long). The last two count
+    the named spans by the verdict on their values.
 
     The owner is the source of a document and a repository one language of a source, unless
     given. Spans are in code points, ends exclusive.
@@ -191,7 +220,7 @@ def secret_scan(
         scanned = staging.keep(
             scan(docs, id_col=id_col, text_col=text_col, owner=owner, repository=repository)
         )
-        live = staging.keep(live_spans(scanned, max_owners=max_owners))
+        live = staging.keep(live_spans(scanned, max_owners=max_owners, max_repositories=max_repositories))
     joined = scanned.alias("d").join(
         live.alias("l"),
         F.col("d.doc_id").eqNullSafe(F.col("l.doc_id")) & (F.col("d.doc_key") == F.col("l.doc_key")),
@@ -203,7 +232,7 @@ def secret_scan(
         F.concat(*BASE, live_found).alias("spans"),
         *(F.size(kind).cast("long").alias(f"n_{kind}") for kind in BASE),
         F.size(live_found).cast("long").alias("n_live"),
-        F.coalesce("l.n_examples", F.lit(0)).cast("long").alias("n_examples"),
+        *(F.coalesce(f"l.{n}", F.lit(0)).cast("long").alias(n) for n in ("n_examples", "n_base_live", "n_base_examples")),
     )
 
 
