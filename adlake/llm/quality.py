@@ -27,7 +27,8 @@ MAX_REPEAT_PERCENT = 50
 #: which a group takes no further concentration step.
 SHARE = 0.5
 LEAST_FALL = 1e-3
-#: Smaller groups are pooled by language; a pool still smaller rejects nothing.
+#: Smaller groups are judged by all documents of their language; a language still smaller rejects
+#: nothing.
 LEAST_GROUP = 50
 #: Chi-square quantiles for five degrees of freedom at 0.5, 0.975 and 0.999999.
 CHI2_SHARE, CHI2_REWEIGHT, CHI2_CUT = 4.3515, 12.8325, 35.888
@@ -289,24 +290,26 @@ def quality_rules(
             )
         )
         passing = counted.where(~F.col("base_failed"))
-        # groups too small for an estimate of their own share one per language
-        sizes = passing.groupBy("fine").agg(F.count("*").alias("size"))
-        placed = counted.join(sizes, "fine", "left").select(
+        # groups too small for an estimate of their own are judged by that of their language, in
+        # which all of its documents count, those of large groups as well
+        sizes = staging.keep(passing.groupBy("fine", "coarse").agg(F.count("*").alias("size")))
+        pools = sizes.where(F.col("size") < LEAST_GROUP).select("coarse", F.col("coarse").alias("pool")).distinct()
+        groups = sizes.join(pools, "coarse", "left").select("fine", "size", "pool")
+        placed = counted.join(groups, "fine", "left").select(
             *(name for name in counted.columns if name not in ("fine", "coarse")),
-            F.when(F.col("size") >= LEAST_GROUP, F.col("fine")).otherwise(F.col("coarse")).alias("grp"),
+            F.when(F.col("size") >= LEAST_GROUP, F.col("fine")).otherwise(F.col("coarse")).alias("grp"), "pool",
         )
         vectors = placed.select(
             "*", *(F.when(~F.col("base_failed"), x).alias(name) for name, x in _vector().items())
         )
-        start = staging.keep(_start(vectors.where(~F.col("base_failed")), staging))
+        counts_in = F.array_distinct(F.array_compact(F.array("grp", "pool")))
+        members = vectors.where(~F.col("base_failed")).select(F.explode(counts_in).alias("grp"), *AXES)
+        start = staging.keep(_start(members, staging))
+        scaled = [((F.col(a) - F.col(f"mid_{i}")) / F.col(f"scale_{i}")).alias(f"z_{i}") for i, a in enumerate(AXES)]
         rows = staging.keep(
-            vectors.join(start, "grp", "left").select(
-                *placed.columns,
-                "members",
-                *(((F.col(a) - F.col(f"mid_{i}")) / F.col(f"scale_{i}")).alias(f"z_{i}") for i, a in enumerate(AXES)),
-            )
+            vectors.join(start, "grp", "left").select(*(name for name in placed.columns if name != "pool"), "members", *scaled)
         )
-        fit = rows.where(~F.col("base_failed"))
+        fit = staging.keep(members.join(start, "grp").select("grp", *scaled))
         measured = _with_distance(fit, _concentrated(fit, staging))
         # distances of the nearest share are brought to those of a chi-square variate, where they
         # are larger; then everything within its 0.975 quantile refits the estimate once
