@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from adlake.llm import (
     chat,
     langid,
+    merkle,
     mixing,
     neardup,
     quality,
@@ -223,3 +224,61 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, table(spark, sf_dir, "labels").where(~held_out).select("doc_id", "toxic"))
     found = toxicity.score_documents(docs, model)
     return found.select("doc_id", held_out.alias("held_out"), "score", "predicted", F.size("passages").alias("n_passages"))
+
+
+#: crc32 of a short ASCII text, a bit at a time.
+_CRC32 = """xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)],
+    flatten([[CAST(ascii(c) AS BIGINT), 0, 0, 0, 0, 0, 0, 0] for c in string_split({0}, '')])),
+    lambda c, x: xor(xor(c, x) >> 1, 3988292384 * (xor(c, x) & 1))), CAST(4294967295 AS BIGINT))"""
+
+MERKLE_SQL = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS tree, CAST(doc_id AS VARCHAR) AS i, source AS s, lang AS l,
+    CAST(n_chars AS HUGEINT) AS c, text AS t FROM documents
+), f AS (
+  SELECT doc_id, tree, coalesce(strlen(i) || ':' || i, '-') || coalesce(strlen(s) || ':' || s, '-') || coalesce(strlen(l) || ':' || l, '-') AS head,
+    coalesce(strlen(c::VARCHAR) || ':' || c, '-') AS chars, coalesce(strlen((c + 1)::VARCHAR) || ':' || (c + 1), '-') AS more,
+    coalesce(strlen(t) || ':' || t, '-') AS body, i IS NOT NULL AND coalesce({_CRC32.format("coalesce(i, '0')")} % 7 = 0, false) AS hit
+  FROM d
+), leaves AS (
+  SELECT doc_id, tree, sha256(head || chars || body) AS leaf, sha256(head || CASE WHEN hit THEN more ELSE chars END || body) AS held FROM f
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY tree) AS n FROM leaves
+), nodes AS (
+  SELECT tree, 0 AS lvl, idx, n, leaf AS hash FROM placed
+  UNION ALL
+  SELECT tree, lvl + 1, idx // 2, (n + 1) // 2, sha256(string_agg(hash, '' ORDER BY idx)) FROM nodes WHERE n > 1 GROUP BY tree, lvl, idx // 2, n
+), subroots AS (SELECT tree, hash, row_number() OVER (ORDER BY tree) - 1 AS idx, count(*) OVER () AS n FROM nodes WHERE n = 1),
+over_nodes AS (
+  SELECT 0 AS lvl, idx, n, hash FROM subroots
+  UNION ALL
+  SELECT lvl + 1, idx // 2, (n + 1) // 2, sha256(string_agg(hash, '' ORDER BY idx)) FROM over_nodes WHERE n > 1 GROUP BY lvl, idx // 2, n
+), root AS (SELECT hash AS root FROM over_nodes WHERE n = 1),
+heights AS (SELECT tree, max(lvl) AS h FROM nodes GROUP BY tree),
+steps AS (
+  SELECT p.doc_id, p.leaf, p.held, p.tree, p.idx, a.lvl,
+    CASE WHEN b.hash IS NULL THEN 'N' WHEN b.idx < a.idx THEN 'L' || b.hash ELSE 'R' || b.hash END AS step
+  FROM placed p JOIN nodes a ON a.tree = p.tree AND a.n > 1 AND a.idx = p.idx >> a.lvl
+  LEFT JOIN nodes b ON b.tree = a.tree AND b.lvl = a.lvl AND b.idx = xor(a.idx, 1)
+  UNION ALL
+  SELECT p.doc_id, p.leaf, p.held, p.tree, p.idx, 100 + a.lvl,
+    CASE WHEN b.hash IS NULL THEN 'N' WHEN b.idx < a.idx THEN 'L' || b.hash ELSE 'R' || b.hash END
+  FROM placed p JOIN subroots s USING (tree) JOIN over_nodes a ON a.n > 1 AND a.idx = s.idx >> a.lvl
+  LEFT JOIN over_nodes b ON b.lvl = a.lvl AND b.idx = xor(a.idx, 1)
+  UNION ALL
+  SELECT doc_id, leaf, held, tree, idx, 1000, '' FROM placed
+), paths AS (
+  SELECT doc_id, leaf, held, tree, idx, list(step ORDER BY lvl) FILTER (WHERE step <> '') AS path FROM steps GROUP BY doc_id, leaf, held, tree, idx
+), folded AS (
+  SELECT *, list_reduce(list_concat([held], coalesce(path, [])), lambda h, s: CASE WHEN s = 'N' THEN sha256(h)
+    WHEN s[1] = 'L' THEN sha256(s[2:] || h) ELSE sha256(h || s[2:]) END) AS folded_root FROM paths
+)
+SELECT doc_id, leaf, s.hash AS subroot, root, sha256(coalesce(array_to_string([x[2:] for x in path], ''), '')) AS proof_sha256,
+  folded_root, folded_root = root AS verified
+FROM folded JOIN subroots s USING (tree), root
+"""
+
+
+@query("op11_merkle_manifest", MERKLE_SQL)
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
