@@ -108,7 +108,7 @@ def _superblock(bits: int) -> Column:
 def climb(nodes: DataFrame, staging: Staging, bits: int) -> tuple[list[DataFrame], DataFrame]:
     """The layers of nodes from the given ones up, and the root of each tree (tree, hash)."""
 
-    def reduce(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def reduce(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         n = int(frame["n"].iloc[0])
         hashes = list(frame.sort_values("index")["hash"])
         top = reduced(hashes, min(bits, height(n)))[-1]

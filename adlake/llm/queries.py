@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from adlake.llm import (
     chat,
     langid,
+    lexical,
     merkle,
     mixing,
     neardup,
@@ -20,6 +21,7 @@ from adlake.llm import (
     sharding,
     topk,
     toxicity,
+    vector_dups,
 )
 from adlake.llm.common import Staging, hash52_sql, word_count
 
@@ -282,3 +284,53 @@ FROM folded JOIN subroots s USING (tree), root
 @query("op11_merkle_manifest", MERKLE_SQL)
 def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+RANKED_SQL = r"""
+WITH i AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[0-9a-z\x{80}-\x{10FFFF}]+')) AS term FROM benchmark
+), d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[0-9a-z\x{80}-\x{10FFFF}]+') AS terms FROM documents
+), total AS (SELECT count(*) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS length FROM d WHERE len(terms) > 0),
+normed AS (SELECT r, doc_id, terms, CAST(10 + (90 * len(terms)::HUGEINT * n_docs) // length AS BIGINT) AS m FROM d, total WHERE len(terms) > 0),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM normed) GROUP BY r, term),
+w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), total
+), scored AS (
+  SELECT item_id, doc_id, r, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM i JOIN tf USING (term) JOIN w USING (term) JOIN normed USING (r) WHERE doc_id IS NOT NULL GROUP BY item_id, doc_id, r
+), ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+  FROM scored WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
+
+@query("op12_ranked_search", RANKED_SQL)
+def ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+VECTOR_SQL = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS e,
+    vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+      AND len([x for x in embedding if x <> 0]) > 0 AS usable FROM embeddings
+), links AS (
+  SELECT a.r AS a, b.r AS b FROM v a JOIN v b ON a.r <> b.r AND a.usable AND b.usable AND len(a.e) = len(b.e)
+  WHERE CASE WHEN a.usable AND b.usable AND len(a.e) = len(b.e) THEN list_cosine_similarity(a.e, b.e) >= 0.95 ELSE false END
+), reach AS (SELECT r AS a, r AS b FROM v UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+least AS (SELECT a, min(vec_id) AS component_id FROM reach JOIN v ON v.r = b GROUP BY a),
+counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, coalesce(vec_id = component_id, true) AS kept
+FROM v JOIN least ON least.a = r LEFT JOIN counted ON counted.a = r
+"""
+
+
+@query("op13_vector_duplicates", VECTOR_SQL)
+def vector_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dups.near_vectors(table(spark, sf_dir, "embeddings"))
