@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,6 +49,42 @@ def hash52_sql(*parts: str) -> str:
     return f"CAST('0x' || substr(md5({joined}), 1, 13) AS BIGINT)"
 
 
+def scanned(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """Running combination of an array's elements: each with all before it, in order.
+
+    By doubling: after step p every element holds the last 2**p ones. That is n log n, where a
+    fold that appends to its result copies it each time and is quadratic.
+    """
+    last = F.size(values) - 1
+    steps = F.when(last > 0, F.sequence(F.lit(0), F.floor(F.log2(last.cast("double"))).cast("int"))).otherwise(F.array().cast("array<int>"))
+
+    def doubled(found: Column, p: Column) -> Column:
+        back = F.call_function("shiftleft", F.lit(1), p)
+        return F.transform(found, lambda x, i: F.when(i >= back, combine(F.get(found, i - back), x)).otherwise(x))
+
+    return F.aggregate(steps, values, doubled)
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def column(name: str) -> Column:
+    """A column by its plain name, whatever is in it."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def as_row(docs: DataFrame) -> Column:
+    """All columns as one struct ``row``, so that no name of an operator can clash with them."""
+    return F.struct(*(column(name) for name in docs.columns)).alias("row")
+
+
+def out_of_row(names: Sequence[str], renewed: Mapping[str, Column] | None = None) -> list[Column]:
+    """The columns of a struct ``row`` again, those in ``renewed`` replaced."""
+    return [(renewed or {}).get(name, F.col("row")[name]).alias(name) for name in names]
+
+
 @contextmanager
 def shuffles_dropped(spark: SparkSession):
     """Within, Spark deletes the shuffle files of each query when it ends.

@@ -87,7 +87,7 @@ def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_assign", "n_access", "n_hex",
         F.sha2(secrets.rendered(base, secrets.BASE), 256).alias("base_sha256"),
         secrets.rendered(F.col("spans"), [*secrets.BASE, secrets.LIVE]).alias("spans"),
-        "n_live", "n_examples", "n_base_live", "n_base_examples",
+        "n_live", "n_examples", "n_base_live", "n_base_examples", "n_owners", "n_repositories",
     )
 
 

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adlake.llm.common import Staging, shuffles_dropped
+from adlake.llm.common import Staging, as_row, let, out_of_row, scanned, shuffles_dropped
 
 #: Kinds in the order in which spans that start together are listed.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -44,24 +44,48 @@ def _none() -> Column:
 
 def found_spans(text: Column, pattern: str, kind: str) -> Column:
     """Leftmost non-overlapping matches as spans in code points, ends exclusive. The text is cut
-    only where it has a match at all."""
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pieces = F.split(text, pattern, -1)
-    start = F.struct(F.lit(0).alias("at"), _none().alias("spans"))
-
-    def step(state: Column, pair: Column) -> Column:
-        begin = state["at"] + F.length(pair["piece"])
-        end = begin + F.length(pair["match"])
-        span = F.struct(
-            F.lit(kind).alias("kind"), begin.alias("start"), end.alias("end"), pair["match"].alias("value")
+    only where it has a match at all; offsets are running sums of lengths, so that a text with
+    many matches costs little more than in proportion."""
+
+    def spans_of(matches: Column) -> Column:
+        pieces = F.slice(F.split(text, pattern, -1), 1, F.size(matches))
+        lengths = F.zip_with(
+            pieces,
+            matches,
+            lambda piece, match: F.struct(F.length(piece).alias("gap"), F.length(match).alias("length"), match.alias("value")),
         )
-        return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
 
-    pairs = F.zip_with(
-        F.slice(pieces, 1, F.size(matches)), matches, lambda piece, match: F.struct(piece.alias("piece"), match.alias("match"))
-    )
-    spans = F.aggregate(pairs, start, step)["spans"]
-    return F.when(F.size(matches) > 0, spans).otherwise(_none())
+        def placed(parts: Column) -> Column:
+            ends = scanned(F.transform(parts, lambda p: p["gap"] + p["length"]), lambda x, y: x + y)
+            return F.zip_with(
+                parts,
+                ends,
+                lambda p, end: F.struct(
+                    F.lit(kind).alias("kind"), (end - p["length"]).alias("start"), end.alias("end"), p["value"].alias("value")
+                ),
+            )
+
+        return F.when(F.size(matches) > 0, let(lengths, placed)).otherwise(_none())
+
+    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), spans_of)
+
+
+def outside(tokens: Column, spans: Column) -> Column:
+    """The tokens, which do not overlap each other, that overlap no span.
+
+    Starts of spans and ends of tokens are sorted together; a token is free if no span that
+    starts before its end reaches beyond its start.
+    """
+    starts = F.transform(spans, lambda s: F.struct(s["start"].alias("key"), F.lit(1).alias("later"), s["end"].alias("reach"), F.lit(-1).alias("at")))
+    ends = F.transform(tokens, lambda t, i: F.struct(t["end"].alias("key"), F.lit(0).alias("later"), F.lit(-1).alias("reach"), i.alias("at")))
+
+    def free(events: Column) -> Column:
+        reach = scanned(F.transform(events, lambda e: e["reach"]), F.greatest)
+        known = F.zip_with(events, reach, lambda e, r: F.struct(e["at"].alias("at"), r.alias("reach")))
+        kept = F.filter(known, lambda k: F.when(k["at"] >= 0, k["reach"] <= F.get(tokens, k["at"])["start"]).otherwise(F.lit(False)))
+        return F.transform(kept, lambda k: F.get(tokens, k["at"]))
+
+    return F.when(F.size(tokens) > 0, let(F.sort_array(F.concat(starts, ends)), free)).otherwise(_none())
 
 
 def base_spans(text: Column) -> dict[str, Column]:
@@ -119,13 +143,8 @@ def scan(docs: DataFrame, *, id_col: str, text_col: str, owner: Column, reposito
         *(spans.alias(kind) for kind, spans in base_spans(text).items()),
         F.filter(found_spans(text, CANDIDATE, LIVE), lambda s: s["value"].rlike(MIXED)).alias("tokens"),
     )
-    outside = F.filter(
-        "tokens",
-        lambda t: ~F.exists(
-            F.concat(*BASE), lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])
-        ),
-    )
-    return found.select(*(name for name in found.columns if name != "tokens"), outside.alias("candidates"))
+    free = let(F.col("tokens"), lambda tokens: outside(tokens, F.concat(*BASE)))
+    return found.select(*(name for name in found.columns if name != "tokens"), free.alias("candidates"))
 
 
 def own_value(span: Column) -> Column:
@@ -142,14 +161,14 @@ def held_values(named: Column) -> Column:
     return F.concat(values, F.filter(inside, lambda v: v.rlike(MIXED)))
 
 
-def ownership(scanned: DataFrame) -> DataFrame:
+def ownership(found: DataFrame) -> DataFrame:
     """Per hash of a value, of named spans and candidates alike: in how many distinct repositories
     and owners it occurs.
 
     Repeats are dropped before and after the shuffle by (hash, owner, repository), so that a
     widely copied value reaches its counting task once per repository.
     """
-    held = scanned.select(
+    held = found.select(
         F.explode(F.concat(held_values(F.concat(*BASE)), F.col("candidates.value"))).alias("value"), "owner", "repository"
     ).select(F.sha2("value", 256).alias("hash"), "owner", "repository")
     return (
@@ -161,17 +180,17 @@ def ownership(scanned: DataFrame) -> DataFrame:
     )
 
 
-def live_spans(scanned: DataFrame, *, max_owners: int = MAX_OWNERS, max_repositories: int | None = None) -> DataFrame:
+def live_spans(found: DataFrame, *, max_owners: int = MAX_OWNERS, max_repositories: int | None = None) -> DataFrame:
     """Per (doc_id, doc_key) with spans: the candidates that ``max_owners`` owners and, where given,
     ``max_repositories`` repositories at most hold as ``live``, and the number of the others as
     ``n_examples``; the numbers of named spans of either kind as ``n_base_live`` and
-    ``n_base_examples``."""
+    ``n_base_examples``; the most owners and repositories of one value."""
     every = F.concat(
         F.transform(F.concat(*BASE), lambda s: F.struct(s.alias("span"), own_value(s).alias("value"))),
         F.transform("candidates", lambda s: F.struct(s.alias("span"), s["value"].alias("value"))),
     )
     some = F.size(F.concat(*BASE, "candidates")) > 0
-    per_document = scanned.where(some).dropDuplicates(["doc_id", "doc_key"])
+    per_document = found.where(some).dropDuplicates(["doc_id", "doc_key"])
     spans = per_document.select("doc_id", "doc_key", F.explode(every).alias("e")).select(
         "doc_id", "doc_key", F.col("e.span").alias("s"), F.sha2("e.value", 256).alias("hash")
     )
@@ -179,13 +198,15 @@ def live_spans(scanned: DataFrame, *, max_owners: int = MAX_OWNERS, max_reposito
     if max_repositories is not None:
         own &= F.col("repositories") <= max_repositories
     return (
-        spans.join(ownership(scanned), "hash")
+        spans.join(ownership(found), "hash")
         .groupBy("doc_id", "doc_key")
         .agg(
             F.collect_list(F.when(own & bare, F.col("s"))).alias("live"),
             F.count_if(~own & bare).alias("n_examples"),
             F.count_if(own & ~bare).alias("n_base_live"),
             F.count_if(~own & ~bare).alias("n_base_examples"),
+            F.max("owners").alias("n_owners"),
+            F.max("repositories").alias("n_repositories"),
         )
     )
 
@@ -201,15 +222,16 @@ def secret_scan(
     max_repositories: int | None = None,
 ) -> DataFrame:
     """One row per document: doc_id, spans (array of kind, start, end, value), n_assign,
-    n_access, n_hex, n_live, n_examples, n_base_live, n_base_examples (long). The last two count
-    the named spans by the verdict on their values.
+    n_access, n_hex, n_live, n_examples, n_base_live, n_base_examples, n_owners, n_repositories
+    (long). The named spans are counted by the verdict on their values; the last two are the most
+    owners and repositories that any of the document's values has, 0 without any.
 
     The owner is the source of a document and a repository one language of a source, unless
     given. Spans are in code points, ends exclusive.
 
     Defined cases: a NULL text is an empty one and has no spans; a NULL owner or repository
     counts as one more; repeated rows each get a row with the same spans and count once for
-    ownership; texts are scanned whole; an empty table gives an empty result; other columns are
+    ownership; texts are found whole; an empty table gives an empty result; other columns are
     ignored.
     """
     owner = F.col("source") if owner is None else owner
@@ -217,11 +239,11 @@ def secret_scan(
     spark = docs.sparkSession
     with shuffles_dropped(spark):
         staging = Staging(spark, "secrets")
-        scanned = staging.keep(
+        found = staging.keep(
             scan(docs, id_col=id_col, text_col=text_col, owner=owner, repository=repository)
         )
-        live = staging.keep(live_spans(scanned, max_owners=max_owners, max_repositories=max_repositories))
-    joined = scanned.alias("d").join(
+        live = staging.keep(live_spans(found, max_owners=max_owners, max_repositories=max_repositories))
+    joined = found.alias("d").join(
         live.alias("l"),
         F.col("d.doc_id").eqNullSafe(F.col("l.doc_id")) & (F.col("d.doc_key") == F.col("l.doc_key")),
         "left",
@@ -232,64 +254,81 @@ def secret_scan(
         F.concat(*BASE, live_found).alias("spans"),
         *(F.size(kind).cast("long").alias(f"n_{kind}") for kind in BASE),
         F.size(live_found).cast("long").alias("n_live"),
-        *(F.coalesce(f"l.{n}", F.lit(0)).cast("long").alias(n) for n in ("n_examples", "n_base_live", "n_base_examples")),
+        *(F.coalesce(f"l.{n}", F.lit(0)).cast("long").alias(n) for n in ("n_examples", "n_base_live", "n_base_examples", "n_owners", "n_repositories")),
     )
 
 
+#: Text as four bytes a code point, so that a slice is found without reading what is before it.
+#: A byte order mark in front of each slice keeps one of the text from being taken for that.
+_WIDE, _MARK = "UTF-32", "0000FEFF"
+
+
 def redacted(text: Column, spans: Column) -> Column:
     """The text with every span replaced by ``[kind]``; of spans that overlap, all of what they
     cover goes, under the kind that starts first."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("done"))
 
-    def step(state: Column, s: Column) -> Column:
-        gap = F.substring(text, state["at"] + 1, F.greatest(s["start"] - state["at"], F.lit(0)))
-        mark = F.when(s["start"] >= state["at"], F.concat(F.lit("["), s["kind"], F.lit("]"))).otherwise("")
-        return F.struct(
-            F.greatest(state["at"], s["end"]).alias("at"), F.concat(state["done"], gap, mark).alias("done")
+    def cut(wide: Column, start: Column, end: Column) -> Column:
+        return F.decode(F.concat(F.unhex(F.lit(_MARK)), F.substring(wide, start * 4 + 1, (end - start) * 4)), _WIDE)
+
+    def joined(wide: Column, ordered: Column, reach: Column) -> Column:
+        before = F.transform(
+            ordered,
+            lambda s, i: F.struct(
+                F.when(i > 0, F.get(reach, i - 1)).otherwise(F.lit(0)).alias("at"), s["start"].alias("start"), s["kind"].alias("kind")
+            ),
         )
+        heads = F.filter(before, lambda s: s["start"] >= s["at"])
+        parts = F.transform(heads, lambda s: F.concat(cut(wide, s["at"], s["start"]), F.lit("["), s["kind"], F.lit("]")))
+        last = F.element_at(reach, -1)
+        return F.concat(F.array_join(parts, ""), cut(wide, last, F.octet_length(wide).cast("int")))
 
-    ordered = _in_order(spans, [*BASE, LIVE])
-    end = F.aggregate(ordered, start, step)
-    rest = F.substring(text, end["at"] + 1, F.length(text))
-    return F.when(F.size(spans) > 0, F.concat(end["done"], rest)).otherwise(text)
+    def with_reach(ordered: Column) -> Column:
+        reach = scanned(F.transform(ordered, lambda s: s["end"]), F.greatest)
+        return let(F.encode(text, _WIDE), lambda wide: let(reach, lambda r: joined(wide, ordered, r)))
+
+    return F.when(F.size(spans) > 0, let(_in_order(spans, [*BASE, LIVE]), with_reach)).otherwise(text)
 
 
 def without_secrets(docs: DataFrame, **options) -> DataFrame:
     """The documents, all columns, with their secrets redacted and ``n_chars`` renewed where it
-    exists. The verdict on a text is carried by (doc_id, text), so repeated rows change alike."""
+    exists. The verdict on a text is carried by (doc_id, text), so repeated rows change alike.
+
+    Defined cases: a NULL text stays NULL; a NULL source counts as one more owner; rows without
+    an id are redacted like others; texts are read whole; ties do not occur, as every span goes;
+    an empty table gives an empty result; all other columns stay as they are, whatever their name.
+    """
     spark = docs.sparkSession
     with shuffles_dropped(spark):
         staging = Staging(spark, "redact")
-        scanned = staging.keep(
+        found = staging.keep(
             scan(
                 docs, id_col="doc_id", text_col="text", owner=F.col("source"),
                 repository=F.concat_ws("/", F.col("source"), F.col("lang")),
             )
         )
-        live = staging.keep(live_spans(scanned, **options))
-    found = (
-        scanned.alias("d")
+        live = staging.keep(live_spans(found, **options))
+    spans = (
+        found.alias("d")
         .join(
             live.alias("l"),
             F.col("d.doc_id").eqNullSafe(F.col("l.doc_id")) & (F.col("d.doc_key") == F.col("l.doc_key")),
             "left",
         )
         .select(
-            F.col("d.doc_id").alias("_id"),
-            F.col("d.doc_key").alias("_key"),
-            F.concat(*BASE, F.coalesce("l.live", _none())).alias("_spans"),
+            F.col("d.doc_id").alias("of_id"),
+            F.col("d.doc_key").alias("of_key"),
+            F.concat(*BASE, F.coalesce("l.live", _none())).alias("spans"),
         )
-        .where(F.size("_spans") > 0)
-        .dropDuplicates(["_id", "_key"])
-    )
-    key = F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")))
-    joined = docs.withColumn("_doc_key", key).join(
-        found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_doc_key") == F.col("_key")), "left"
+        .where(F.size("spans") > 0)
+        .dropDuplicates(["of_id", "of_key"])
     )
-    text = F.when(F.col("_spans").isNotNull(), redacted(F.col("text"), F.col("_spans"))).otherwise(F.col("text"))
-    changed = joined.withColumn("_new", text)
-    renewed = {"text": F.col("_new")}
+    doc_id = F.col("doc_id").cast("long")
+    keyed = docs.select(as_row(docs), doc_id.alias("id"), F.xxhash64(doc_id, F.coalesce(F.col("text"), F.lit(""))).alias("key"))
+    joined = keyed.join(spans, F.col("id").eqNullSafe(F.col("of_id")) & (F.col("key") == F.col("of_key")), "left")
+    hit, text = F.col("spans").isNotNull(), F.col("row")["text"]
+    changed = joined.select("row", "spans", F.when(hit, redacted(text, F.col("spans"))).otherwise(text).alias("new"))
+    renewed = {"text": F.col("new")}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        renewed["n_chars"] = F.when(F.col("_spans").isNotNull(), F.length("_new").cast(kind)).otherwise(F.col("n_chars"))
-    return changed.select(*(renewed[name].alias(name) if name in renewed else name for name in docs.columns))
+        renewed["n_chars"] = F.when(hit, F.length("new").cast(kind)).otherwise(F.col("row")["n_chars"])
+    return changed.select(*out_of_row(docs.columns, renewed))
