@@ -6,7 +6,9 @@ a document is emitted once per integer boundary that its stretch crosses. Docume
 of size class, so that every class is taken in its share.
 
 Ranks within a source come from counts per (source, class, hash bucket), which are few whatever
-the number of documents, plus a rank within the bucket. No task holds a whole source.
+the number of documents, plus a rank within the bucket. No task holds a whole source. All of this
+is on narrow rows: a document's text is read for its size and digest, and once more when it is
+taken.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from adlake.llm.common import Staging, hash52, word_count
+from adlake.llm.common import Staging, as_row, hash52, out_of_row, shuffles_dropped, word_count
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -80,73 +82,123 @@ def source_key(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit(NO_SOURCE))
 
 
-def sampled_copies(
-    docs: DataFrame,
+def _digest(text: Column) -> Column:
+    return F.md5(F.coalesce(text.cast("string"), F.lit("")))
+
+
+def narrow(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
+    """doc_id, source, size (words) and digest: one small row per document. Reads every text once."""
+    text = F.col(text_col)
+    return docs.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.col(source_col).cast("string").alias("source"),
+        word_count(text).alias("size"),
+        _digest(text).alias("digest"),
+    )
+
+
+def copies_in_mix(
+    rows: DataFrame,
+    identity: Sequence[str] = ("doc_id", "digest"),
     *,
-    size: Column,
-    identity: Sequence[Column],
-    source_col: str = "source",
     weights: Sequence[int] = WEIGHTS,
     share: float = SHARE,
     cap: float = CAP,
     buckets: int = BUCKETS,
     seed: int = SEED,
+) -> DataFrame:
+    """All columns of ``rows`` plus source_size, target and copies, from 0 to ``cap`` rounded up.
+
+    ``rows`` has source, size and the columns in ``identity``, which orders rows of one bucket
+    (rows equal in it are interchangeable); none is named like what this function adds or uses
+    (of, spread, bucket, class, rank, before, before_class, n). It is read four times, so stage it.
+    """
+    spread = hash52(*(F.col(name) for name in identity))
+    keyed = rows.select(
+        "*",
+        source_key(F.col("source")).alias("of"),
+        spread.alias("spread"),
+        F.pmod(spread, F.lit(buckets)).cast("int").alias("bucket"),
+        size_class(F.col("size")).alias("class"),
+    )
+    targets = source_targets(keyed.select(F.col("of").alias("source"), "size"), weights=weights, share=share, cap=cap)
+    targets = targets.withColumnRenamed("source", "of")
+    # ranks before a bucket in two levels: classes of a source, then buckets of a class
+    counts = keyed.groupBy("of", "class", "bucket").agg(F.count("*").alias("n"))
+    of_class = counts.groupBy("of", "class").agg(F.sum("n").alias("n"))
+
+    def before(keys: list[str], order: str) -> Column:
+        earlier = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("n").over(earlier), F.lit(0))
+
+    classes = of_class.select("of", "class", before(["of"], "class").alias("before_class")).join(targets, "of")
+    placing = counts.select("of", "class", "bucket", before(["of", "class"], "bucket").alias("before")).join(classes, ["of", "class"])
+    within = Window.partitionBy("of", "class", "bucket").orderBy("spread", *identity)
+    placed = keyed.withColumn("rank", F.row_number().over(within)).join(placing, ["of", "class", "bucket"])
+    # one offset per source, a multiple of 2**-20 within (0, 1)
+    drawn = (F.pmod(hash52(F.lit(seed), F.col("of")), F.lit(2**20 - 1)) + 1) / float(2**20)
+    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    upto = (F.col("before_class") + F.col("before") + F.col("rank")).cast("double")
+    copies = F.floor(drawn + upto * rate) - F.floor(drawn + (upto - 1) * rate)
+    return placed.select(*rows.columns, "source_size", "target", copies.cast("int").alias("copies"))
+
+
+def sampled_copies(
+    docs: DataFrame, *, size: Column, identity: Sequence[Column], source_col: str = "source", **options
 ) -> DataFrame:
     """All columns of ``docs`` plus ``_size``, ``_source_size``, ``_target`` and ``_copies``: how
-    often the mix takes the document, from 0 to ``cap`` rounded up.
+    often the mix takes the document, from 0 to ``cap`` rounded up. Options are those of
+    ``copies_in_mix``.
 
     ``identity`` orders rows of one bucket; rows equal in it are interchangeable.
 
     Defined cases: a document of size 0 is ranked like any other, and a source whose sizes are
     all 0 has target 0 and is not taken; a NULL source is a source, ordered last; repeated rows
-    are documents of their own; an empty table gives an empty result; reruns agree.
+    are documents of their own; an empty table gives an empty result; reruns agree; a column of
+    ``docs`` named like one that is added is an error.
     """
-    spread = hash52(*identity)
-    keyed = docs.withColumns(
-        {
-            "_size": size.cast("long"),
-            "_source": source_key(F.col(source_col)),
-            "_bucket": F.pmod(spread, F.lit(buckets)).cast("int"),
-            "_spread": spread,
-        }
-    ).withColumn("_class", size_class(F.col("_size")))
-    # read by both targets and counts, so the sizes are taken once
-    narrow = Staging(docs.sparkSession, "mixing").keep(
-        keyed.select(F.col("_source").alias("source"), F.col("_size").alias("size"), "_class", "_bucket")
-    )
-    targets = source_targets(narrow, weights=weights, share=share, cap=cap)
-    counts = narrow.groupBy("source", "_class", "_bucket").agg(F.count("*").alias("n"))
-    earlier = (
-        Window.partitionBy("source").orderBy("_class", "_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = counts.select(
-        "source", "_class", "_bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_before")
-    )
-    placing = offsets.join(targets, "source").select(
-        F.col("source").alias("_source"), "_class", "_bucket", "_before",
-        F.col("source_size").alias("_source_size"), F.col("target").alias("_target"),
-    )
-    within = Window.partitionBy("_source", "_class", "_bucket").orderBy("_spread", *identity)
-    ranked = keyed.withColumn("_rank", F.row_number().over(within))
-    # the join has the keys of the window, so documents are shuffled once
-    placed = ranked.join(placing, ["_source", "_class", "_bucket"])
-    # one offset per source, a multiple of 2**-20 within (0, 1)
-    drawn = (F.pmod(hash52(F.lit(seed), F.col("_source")), F.lit(2**20 - 1)) + 1) / float(2**20)
-    rate = F.when(F.col("_source_size") > 0, F.col("_target") / F.col("_source_size")).otherwise(0.0)
-    upto = (F.col("_before") + F.col("_rank")).cast("double")
-    copies = F.floor(drawn + upto * rate) - F.floor(drawn + (upto - 1) * rate)
-    return placed.withColumn("_copies", copies.cast("int")).select(
-        *docs.columns, "_size", "_source_size", "_target", "_copies"
+    added = {"_size": "size", "_source_size": "source_size", "_target": "target", "_copies": "copies"}
+    if clash := sorted(set(added) & set(docs.columns)):
+        raise ValueError(f"columns {clash} would be overwritten")
+    names = [f"i{k}" for k in range(len(identity))]
+    rows = docs.select(
+        as_row(docs),
+        F.col(source_col).cast("string").alias("source"),
+        size.cast("long").alias("size"),
+        *(value.alias(name) for name, value in zip(names, identity, strict=True)),
     )
+    taken = copies_in_mix(rows, names, **options)
+    return taken.select(*out_of_row(docs.columns), *(F.col(inner).alias(name) for name, inner in added.items()))
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The documents of the mix, all columns, each as often as it is taken."""
-    taken = sampled_copies(
-        docs, size=word_count(F.col("text")), identity=[F.col("doc_id"), F.md5(F.coalesce(F.col("text"), F.lit("")))], **options
-    )
-    return (
-        taken.where(F.col("_copies") > 0)
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-        .select(*docs.columns)
-    )
+    """The documents (doc_id, source, text and any other columns) of the mix, all columns, each
+    as often as it is taken.
+
+    Sizes and digests are staged once and sampled without the texts. The copies are then joined
+    to the documents, which are shuffled once, by themselves and not by their source.
+
+    Defined cases: those of ``sampled_copies``; rows equal in doc_id, source and text that differ
+    in other columns share the copies that fall to them, in an order of their own; an empty table
+    gives an empty result; all columns stay as they are, whatever their name.
+    """
+    spark = docs.sparkSession
+
+    def identity(doc_id: Column, source: Column, digest: Column) -> Column:
+        return F.xxhash64(doc_id, source_key(source), digest)
+
+    with shuffles_dropped(spark):
+        staging = Staging(spark, "mixing")
+        taken = copies_in_mix(staging.keep(narrow(docs)), **options)
+        of = identity(F.col("doc_id"), F.col("source"), F.col("digest")).alias("of")
+        shares = taken.groupBy(of).agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
+        shares = staging.keep(shares.where(F.col("copies") > 0))
+    key = identity(F.col("doc_id").cast("long"), F.col("source").cast("string"), _digest(F.col("text")))
+    joined = docs.select(as_row(docs), key.alias("key")).join(shares, F.col("key") == F.col("of"))
+    # the nth of the rows that share an identity takes its part of their copies
+    nth = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("row")))
+    upto = F.col("copies") * F.col("nth")
+    times = F.floor(upto / F.col("rows")) - F.floor((upto - F.col("copies")) / F.col("rows"))
+    numbered = joined.withColumn("nth", nth).select("row", times.cast("int").alias("times")).where(F.col("times") > 0)
+    each = numbered.select("row", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy"))
+    return each.select(*out_of_row(docs.columns))

@@ -23,7 +23,7 @@ from adlake.llm import (
     toxicity,
     vector_dups,
 )
-from adlake.llm.common import Staging, hash52_sql, word_count
+from adlake.llm.common import Staging, hash52_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -153,19 +153,9 @@ FROM placed
 
 @query("op6_source_mixing", MIX_SQL)
 def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select(
-        "doc_id", "source", word_count(F.col("text")).alias("words"), F.md5(F.coalesce("text", F.lit(""))).alias("digest")
-    )
-    # every text is read once: the rest works on sizes and digests
-    docs = Staging(spark, "sizes").keep(docs)
-    taken = mixing.sampled_copies(docs, size=F.col("words"), identity=[F.col("doc_id"), F.col("digest")])
-    return taken.select(
-        "doc_id",
-        F.col("_size").alias("size"),
-        F.col("_source_size").alias("source_size"),
-        F.col("_target").alias("target"),
-        (F.col("_size") * F.col("_copies")).alias("taken"),
-    )
+    rows = Staging(spark, "sizes").keep(mixing.narrow(table(spark, sf_dir, "documents")))
+    taken = mixing.copies_in_mix(rows)
+    return taken.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 @query("op7_language_id")
