@@ -1,7 +1,7 @@
 """Exact top-k search by inner product, term at a time.
 
 Every query is scored against every candidate. Both sides are cut into blocks by a hash of
-their id, and each pair of blocks is one bounded task group. In it the candidates become
+their row, and each pair of blocks is one bounded task group. In it the candidates become
 postings (per term, the rows that have it and their weights), each query scatters its weighted
 postings into a dense array of scores, and a partition selection keeps its k best. The k best of
 all blocks are then merged per query.
@@ -15,9 +15,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Rows per block: with 64 terms a block is about 12 MB, and a task holds one of either kind.
+from adlake.llm.common import Staging
+
+#: Rows per block, for vectors of up to ``TERMS`` terms (about 12 MB; a task holds one block of
+#: either kind), and fewer in proportion for longer ones.
 CANDIDATE_BLOCK = 8192
 QUERY_BLOCK = 4096
+TERMS = 128
 
 
 def integer_weights(vector: Column, scale: int = 256) -> Column:
@@ -51,28 +55,29 @@ def top_k(
     row is a candidate except for queries of its own id. Returns query_id, rank (from 1), vec_id,
     score; ties go to the smaller id, and a query with fewer candidates gets them all.
 
-    Defined cases: rows with a NULL id or vector take no part; of rows that repeat an id, the one
-    with the smallest vector counts; vectors of different lengths meet in the terms they share;
-    an empty vector scores 0 with everyone; scores are 64-bit and wrap beyond that, as longs do;
+    Defined cases: rows with a NULL id or vector take no part; rows that repeat an id are
+    candidates and queries of their own, equal or not, but none for queries of that id, and the
+    ranks of a query id go over all its rows; vectors of different lengths meet in the terms they
+    share; an empty vector scores 0 with everyone; scores are 64-bit and wrap beyond that, as longs do;
     an empty table gives an empty result; other columns are ignored.
     """
-    spark = vectors.sparkSession
-    rows = (
+    # staged with a number per row, which deals out rows that share an id
+    rows = Staging(vectors.sparkSession, "topk").keep(
         vectors.select(
             F.col(id_col).cast("long").alias("id"),
             F.col(vector_col).alias("vector"),
             F.coalesce(is_query, F.lit(False)).alias("asks"),
         )
         .where(F.col("id").isNotNull() & F.col("vector").isNotNull())
-        .groupBy("id")
-        .agg(F.min("vector").alias("vector"), F.max("asks").alias("asks"))
+        .withColumn("row", F.monotonically_increasing_id())
     )
-    sizes = rows.agg(F.count("*").alias("n"), F.count_if("asks").alias("q")).first()
-    candidate_blocks = max(1, -(-sizes["n"] // candidate_block))
-    query_blocks = max(1, -(-sizes["q"] // query_block))
+    sizes = rows.agg(F.count("*").alias("n"), F.count_if("asks").alias("q"), F.max(F.size("vector")).alias("terms")).first()
+    shorter = max(1, -(-(sizes["terms"] or 0) // TERMS))
+    candidate_blocks = max(1, -(-sizes["n"] * shorter // candidate_block))
+    query_blocks = max(1, -(-sizes["q"] * shorter // query_block))
 
     def block(n: int) -> Column:
-        return F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
+        return F.pmod(F.xxhash64("row"), F.lit(n)).cast("int")
 
     def everywhere(n: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
@@ -138,9 +143,9 @@ def _scorer(k: int):
                         scores += weight * weights
                     else:
                         scores[rows] += weight * weights
-            # one more than k, as the query itself may be among them
-            best = select_best(scores, k + 1)
-            best = best[ids[best] != query]
+            own = np.searchsorted(ids, [query, query + 1])
+            others = np.r_[0 : own[0], own[1] : len(ids)] if own[0] < own[1] else np.arange(len(ids))
+            best = others[select_best(scores[others], k)]
             found.append((query, ids[best], scores[best]))
         return pd.DataFrame(
             {
