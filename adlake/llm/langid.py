@@ -8,6 +8,7 @@ temperature. The model has a fixed size and is sent to the tasks that predict.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -22,10 +23,10 @@ from adlake.llm.common import hash52
 
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
-#: Bounds of the fit: expected number of sampled rows in all, and number of languages learned
-#: (the most frequent ones).
+#: Bounds of the fit: expected number of sampled rows in all, but at least so many per language.
+#: Every language is learned. While it is fitted the model takes 0.8 MB per language on the driver.
 SAMPLE_ROWS = 2000
-MAX_LANGUAGES = 200
+LEAST_ROWS = 20
 EPOCHS = 4
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.5
 CALIBRATION_SHARE = 0.25
@@ -166,9 +167,13 @@ def train(labelled: DataFrame, *, sample_rows: int = SAMPLE_ROWS) -> LanguageMod
 
     Document frequencies cover all rows; the regression sees about ``sample_rows`` of them, the
     same number per language as far as there are, chosen by a hash of row_id.
+
+    Defined cases: a text that is empty or has no letter counts for the document frequencies and
+    is learned as any other; rows that repeat a row_id are drawn together; an empty table gives
+    a model without languages; other columns are ignored.
     """
     rows = labelled.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).collect()
     languages = sorted(row["lang"] for row in sizes)
     if not languages:
         return LanguageModel([], np.zeros(BUCKETS), np.zeros((BUCKETS + 1, 0)), 1.0)
@@ -179,8 +184,10 @@ def train(labelled: DataFrame, *, sample_rows: int = SAMPLE_ROWS) -> LanguageMod
     idf[seen["bucket"]] = np.log((documents + 1.0) / (seen["n"] + 1.0)) + 1
 
     draw = hash52(F.col("row_id"), F.lit("langid")).cast("double") / float(2**52)
-    each = sample_rows / len(languages)
-    chance = F.create_map(*(F.lit(v) for row in sizes for v in (row["lang"], min(1.0, each / row["n"]))))
+    each = max(sample_rows / len(languages), LEAST_ROWS)
+    # one literal, since an expression per language would not compile for many
+    chances = json.dumps({row["lang"]: min(1.0, each / row["n"]) for row in sizes})
+    chance = F.from_json(F.lit(chances), "map<string,double>")
     sampled = rows.select("lang", "text", draw.alias("draw"), chance[F.col("lang")].alias("chance")).where(F.col("draw") < F.col("chance"))
     # scaled to its language's chance, the draw of a sampled row is uniform again
     taken = (
