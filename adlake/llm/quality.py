@@ -27,9 +27,12 @@ MAX_REPEAT_PERCENT = 50
 #: which a group takes no further concentration step.
 SHARE = 0.5
 LEAST_FALL = 1e-3
-#: Smaller groups are judged by all documents of their language; a language still smaller rejects
-#: nothing.
+#: A group takes at most so many concentration steps; most need three to ten.
+MAX_STEPS = 50
+#: Smaller groups are judged by all documents of their language, and those of a language that is
+#: still smaller by all documents there are.
 LEAST_GROUP = 50
+EVERYTHING = "all"
 #: Chi-square quantiles for five degrees of freedom at 0.5, 0.975 and 0.999999.
 CHI2_SHARE, CHI2_REWEIGHT, CHI2_CUT = 4.3515, 12.8325, 35.888
 #: Variance added to each axis, in units of its robust scale. Shares are counts of rare events:
@@ -232,13 +235,13 @@ def _distance_at_share(rows: DataFrame) -> DataFrame:
 def _concentrated(fit: DataFrame, staging: Staging) -> DataFrame:
     """Per group the estimate of the smallest determinant that concentration steps reach.
 
-    A group takes part until a step no longer lowers its determinant. Each round lowers at least
-    one by ``LEAST_FALL``, and the ridge bounds all from below, so the rounds end.
+    A group takes part until a step no longer lowers its determinant, and for ``MAX_STEPS`` steps
+    at most. All groups take their steps together, so that is the number of rounds as well.
     """
     squared = sum((F.col(f"z_{i}") * F.col(f"z_{i}") for i in range(1, D)), F.col("z_0") * F.col("z_0"))
     log_det = sum((2 * F.log(f"l_{i}_{i}") for i in range(1, D)), 2 * F.log("l_0_0"))
     measured, best = fit.withColumn("d2", squared), None
-    while True:
+    for _ in range(MAX_STEPS):
         nearest = measured.join(_distance_at_share(measured), "grp")
         found = staging.keep(_moments(nearest, F.col("d2") <= F.col("reach")))
         if best is not None:
@@ -251,6 +254,7 @@ def _concentrated(fit: DataFrame, staging: Staging) -> DataFrame:
         else:
             best = found
         measured = _with_distance(fit.join(found.select("grp"), "grp", "left_semi"), found)
+    return best
 
 
 def quality_rules(
@@ -265,8 +269,8 @@ def quality_rules(
     n_repeat_words, base_failed, kept, outlier_distance (double).
 
     Estimates cover all documents that pass the base rules. ``kept`` is false for those that
-    fail them and for outliers; ``outlier_distance`` is the squared robust distance, NULL where
-    none applies.
+    fail them and for outliers; ``outlier_distance`` is the squared robust distance, NULL for
+    those that fail them.
 
     Defined cases: a NULL or empty text has no words and fails; a NULL language or source is a
     group value of its own; repeated rows each count and get the same verdict; texts are counted
@@ -291,23 +295,28 @@ def quality_rules(
         )
         passing = counted.where(~F.col("base_failed"))
         # groups too small for an estimate of their own are judged by that of their language, in
-        # which all of its documents count, those of large groups as well
+        # which all of its documents count, those of large groups as well; so are languages by all
         sizes = staging.keep(passing.groupBy("fine", "coarse").agg(F.count("*").alias("size")))
-        pools = sizes.where(F.col("size") < LEAST_GROUP).select("coarse", F.col("coarse").alias("pool")).distinct()
-        groups = sizes.join(pools, "coarse", "left").select("fine", "size", "pool")
+        few = F.col("size") < LEAST_GROUP
+        langs = sizes.groupBy("coarse").agg(F.sum("size").alias("of_lang"), F.max(few).alias("asks"))
+        langs = staging.keep(langs.select("coarse", (F.col("of_lang") < LEAST_GROUP).alias("rare"), "asks"))
+        asks_all = langs.where("asks AND rare").limit(1).count() > 0
+        pool = F.when(F.col("asks") & ~F.col("rare"), F.col("coarse"))
+        judge = F.when(~few, F.col("fine")).when(F.col("rare"), F.lit(EVERYTHING)).otherwise(F.col("coarse"))
+        groups = sizes.join(langs, "coarse").select("fine", judge.alias("grp"), pool.alias("pool"))
         placed = counted.join(groups, "fine", "left").select(
-            *(name for name in counted.columns if name not in ("fine", "coarse")),
-            F.when(F.col("size") >= LEAST_GROUP, F.col("fine")).otherwise(F.col("coarse")).alias("grp"), "pool",
+            *(name for name in counted.columns if name not in ("fine", "coarse")), "grp", "pool"
         )
         vectors = placed.select(
             "*", *(F.when(~F.col("base_failed"), x).alias(name) for name, x in _vector().items())
         )
-        counts_in = F.array_distinct(F.array_compact(F.array("grp", "pool")))
+        everything = F.lit(EVERYTHING if asks_all else None).cast("string")
+        counts_in = F.array_distinct(F.array_compact(F.array("grp", "pool", everything)))
         members = vectors.where(~F.col("base_failed")).select(F.explode(counts_in).alias("grp"), *AXES)
         start = staging.keep(_start(members, staging))
         scaled = [((F.col(a) - F.col(f"mid_{i}")) / F.col(f"scale_{i}")).alias(f"z_{i}") for i, a in enumerate(AXES)]
         rows = staging.keep(
-            vectors.join(start, "grp", "left").select(*(name for name in placed.columns if name != "pool"), "members", *scaled)
+            vectors.join(start, "grp", "left").select(*(name for name in placed.columns if name != "pool"), *scaled)
         )
         fit = staging.keep(members.join(start, "grp").select("grp", *scaled))
         measured = _with_distance(fit, _concentrated(fit, staging))
@@ -319,9 +328,7 @@ def quality_rules(
         estimate = staging.keep(_moments(inner, F.col("d2") <= CHI2_REWEIGHT * scale))
         reach = staging.keep(_distance_at_share(_with_distance(fit, estimate)))
     judged = _with_distance(rows, estimate).join(reach, "grp", "left")
-    distance = F.when(
-        ~F.col("base_failed") & (F.col("members") >= LEAST_GROUP), F.col("d2") / scale
-    )
+    distance = F.when(~F.col("base_failed"), F.col("d2") / scale)
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & F.coalesce(distance <= CHI2_CUT, F.lit(True))).alias("kept"),
