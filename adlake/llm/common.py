@@ -102,6 +102,30 @@ def shuffles_dropped(spark: SparkSession):
             spark.conf.set(CLEANUP, before)
 
 
+#: Folders staged within the open ``staging_deleted`` blocks, innermost last.
+_open_blocks: list[list[str]] = []
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def staging_deleted(spark: SparkSession):
+    """At its end, deletes all tables that operators have staged within.
+
+    For a caller who has written what they returned: a frame that is still to be computed reads
+    those tables.
+    """
+    _open_blocks.append([])
+    try:
+        yield
+    finally:
+        for path in _open_blocks.pop():
+            _delete(spark, path)
+
+
 class Staging:
     """Tables of one run in the folder that the cluster shares, so that no lost executor takes
     them along and no later step repeats the work behind them."""
@@ -110,6 +134,8 @@ class Staging:
         self.spark = spark
         self.root = staging_path(spark, name)
         self.count = 0
+        if _open_blocks:
+            _open_blocks[-1].append(self.root)
 
     def keep(self, df: DataFrame) -> DataFrame:
         """Write a frame and read it back."""
@@ -120,8 +146,6 @@ class Staging:
 
     def drop(self, *frames: DataFrame) -> None:
         """Delete tables that no later step reads."""
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
         for frame in frames:
             for file in frame.inputFiles()[:1]:
-                folder = hadoop.Path(file).getParent()
-                folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+                _delete(self.spark, file.rpartition("/")[0])

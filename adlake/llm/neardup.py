@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlake.llm.common import Staging, shuffles_dropped
+from adlake.llm.common import Staging, as_row, out_of_row, shuffles_dropped
 
 SHINGLE = 5
 #: Linked when 100 * intersection >= PERCENT * union.
@@ -335,3 +335,27 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
     )
+
+
+def without_near_duplicates(docs: DataFrame) -> DataFrame:
+    """The documents (doc_id, text and any other columns), all columns, less those of which a
+    near copy with a smaller id is there. Of rows that repeat an id one stays.
+
+    Defined cases: rows without an id stay, all of them; so do documents without a text or
+    without words, one row per id; of rows that repeat an id the one with the longest text stays
+    (a NULL text is the shortest), then that of the smallest hash of the whole row, so that a
+    rerun keeps the same; an empty table gives an empty result; all columns stay as they are,
+    whatever their name.
+    """
+    staging = Staging(docs.sparkSession, "kept")
+    found = near_duplicates(docs.select("doc_id", "text")).where(F.col("kept") & F.col("doc_id").isNotNull())
+    kept = found.select(F.col("doc_id").alias("id")).distinct()
+    doc_id = F.col("doc_id").cast("long")
+    keyed = docs.where(doc_id.isNotNull()).select(as_row(docs), doc_id.alias("id"), F.octet_length("text").alias("length"))
+    keyed = keyed.withColumn("hash", F.xxhash64("row"))
+    # which row of an id stays is settled without the texts; what is left to drop are equal rows
+    order = F.struct((-F.coalesce("length", F.lit(-1))).alias("shorter"), "hash")
+    best = keyed.groupBy("id").agg(F.min(order).alias("best")).select("id", F.col("best.hash").alias("hash"))
+    best = staging.keep(best.join(kept, "id", "left_semi"))
+    single = keyed.select("row", "id", "hash").dropDuplicates(["id", "hash"]).join(best, ["id", "hash"], "left_semi")
+    return single.select(*out_of_row(docs.columns)).unionByName(docs.where(doc_id.isNull()))

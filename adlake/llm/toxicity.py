@@ -224,6 +224,9 @@ def train(docs: DataFrame, labelled: DataFrame) -> ToxicityModel:
     the id, are read with their texts. That sample is bounded, so it is broadcast and the
     documents are not shuffled. Without documents of both classes every score is the share of
     toxic labels, 0 without any.
+
+    Defined cases: an id that repeats among the labels is toxic if any of its rows is; documents
+    that repeat an id are each an example; a NULL or empty text is an example without tokens.
     """
     labels = (
         labelled.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
@@ -321,7 +324,11 @@ def score_documents(docs: DataFrame, model: ToxicityModel, *, id_col: str = "doc
 
 def without_toxic(docs: DataFrame, model: ToxicityModel, *, text_col: str = "text") -> DataFrame:
     """The documents, all columns, that score below 0.5. Each goes by its own text, so nothing is
-    joined or shuffled."""
+    joined or shuffled.
+
+    Defined cases: a NULL text is scored like an empty one; rows that repeat a text go or stay
+    alike; texts are read whole; an empty table gives an empty result; columns of any name stay.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))
     place = docs.columns.index(text_col)
 
