@@ -39,8 +39,8 @@ SPILL = 0.1
 LEAF, OVERSIZE, DEPTH, MAX_LEVELS = 256, 8192, 8, 48
 #: Rows that the splits of one tree node are fitted on, in rows and in bytes.
 SAMPLE, SAMPLE_BYTES = 8192, 1 << 24
-#: Rows of the sample that caps are searched on, and the least a cap must hold of them.
-CAP_SAMPLE, CAP_LEAST = 2048, 16
+#: The least that a cap must hold of the sample's rows, so that caps are at most SAMPLE / CAP_LEAST.
+CAP_LEAST = 8
 #: Largest leaf that one task compares at once; larger ones are compared in blocks.
 BLOCK = 1024
 SEED = 20240531
@@ -127,18 +127,23 @@ class Forest:
 
 def caps(x: np.ndarray, linked: float, least: int = CAP_LEAST) -> np.ndarray:
     """Centres of caps that hold at least ``least`` of the rows, densest first."""
-    near = x @ x.T >= linked
+    degree = np.concatenate([(x[i : i + 512] @ x.T >= linked).sum(axis=1) for i in range(0, len(x), 512)]) if len(x) else np.zeros(0)
     free = np.ones(len(x), dtype=bool)
     centres = []
-    for i in np.argsort(-near.sum(axis=1), kind="stable"):
-        around = near[i] & free
-        if not free[i] or around.sum() < least:
+    for i in np.argsort(-degree, kind="stable"):
+        if degree[i] < least:
+            break
+        if not free[i]:
+            continue
+        free[i] = False
+        around = (x @ x[i] >= linked) & free
+        around[i] = True
+        if around.sum() < least:
             continue
         centre = x[around].mean(axis=0)
         centre /= np.linalg.norm(centre)
         inside = (x @ centre >= cap_cosine(linked)) & free
-        free[i] = False
-        if inside.sum() >= least:
+        if inside.sum() >= least - 1:
             centres.append(centre)
             free &= ~inside
     return np.array(centres).reshape(len(centres), x.shape[1])
@@ -304,7 +309,7 @@ def _links(nodes: DataFrame, staging: Staging, dims: int, linked: float, trees:
     rows = max(64, min(sizes["sample"], SAMPLE_BYTES // (8 * dims)))
     drawn = nodes.orderBy(F.xxhash64("node"), "node").limit(rows).select("vector").collect()
     sample = normalized(unpacked([bytes(row["vector"]) for row in drawn]))
-    centres = caps(sample[:CAP_SAMPLE], linked)
+    centres = caps(sample, linked)
     if len(centres):
         capped = staging.keep(nodes.select("node", "vector").mapInArrow(_into_caps(centres, linked), "node long, cap int"))
     else:
