@@ -116,7 +116,7 @@ def test_most_copies_are_not_listed_as_pairs(spark):
     draw = np.random.default_rng(2)
     base = draw.standard_normal(16)
     base /= np.linalg.norm(base)
-    rows = [(i, list(base + 0.02 * draw.standard_normal(16))) for i in range(300)]
+    rows = [(i, [float(x) for x in base + 0.02 * draw.standard_normal(16)]) for i in range(300)]
     from adlake.llm.common import Staging
 
     df = spark.createDataFrame(rows, "node long, v array<double>")
