@@ -12,9 +12,10 @@ from __future__ import annotations
 
 import argparse
 import json
-from collections.abc import Collection, Mapping
+from collections.abc import Collection, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import nullcontext
+from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -40,13 +41,57 @@ from adlake.sources.readers import (
     read_silver_bookings,
     read_silver_spend,
 )
-from adlake.sources.sinks import export_json, register_table, stamped, write_bronze, write_table
+from adlake.sources.sinks import export_json, pending_table, register_table, stamped, write_bronze, write_table
+from adlake.sources.versions import (
+    INPUT_FILES,
+    Pending,
+    append,
+    current,
+    is_written_in_place,
+    new_inputs,
+    run_folder,
+    taken_in,
+    write_run,
+)
 
 SILVER_STAMP = "silver_processed_at"
 GOLD_STAMP = "gold_processed_at"
 REJECT_PARTITION = "ingest_date"
 
 
+@dataclass(frozen=True)
+class Written:
+    """A table that a job writes."""
+
+    df: DataFrame
+    path: str
+    mode: str
+    partition_by: Sequence[str]
+    fmt: str | None
+
+
+def _write_all(spark: SparkSession, tables: list[Written]) -> None:
+    """Write a job's tables. In the publishing modes all are written first and then committed one
+    right after the other, so that a job which dies while writing has changed none of them."""
+    pending: list[Pending] = []
+    for table in tables:
+        if table.mode.startswith("publish"):
+            pending.append(
+                pending_table(table.df, table.path, mode=table.mode, partition_by=table.partition_by, fmt=table.fmt)
+            )
+        else:
+            write_table(table.df, table.path, mode=table.mode, partition_by=table.partition_by, fmt=table.fmt)
+    for version in pending:
+        version.commit()
+
+
+def _dated_rejects(bad: DataFrame) -> DataFrame:
+    """Rejects carry no reliable date of their own, so they are laid out by that of their intake,
+    and a day taken in again replaces its own rejects only."""
+    day = F.coalesce(F.left("bronze_ingestion_timestamp", F.lit(10)), F.lit("unknown"))
+    return bad.withColumn(REJECT_PARTITION, day)
+
+
 def _publish_silver(
     checked: DataFrame, accepted, partition: str, target: str, rejects: str | None, *, mode, strict, fmt
 ) -> None:
@@ -54,18 +99,46 @@ def _publish_silver(
         if strict:
             raise_on_rejects(rows)
         silver = stamped(accepted(rows), SILVER_STAMP)
-        write_table(silver, target, mode=mode, partition_by=[partition], fmt=fmt)
-        if not rejects:
-            return
-        bad = stamped(rejected_rows(rows), SILVER_STAMP)
-        if mode != "replace_partitions":
-            write_table(bad, rejects, mode=mode, fmt=fmt)
+        tables = [Written(silver, target, mode, [partition], fmt)]
+        if rejects:
+            bad = stamped(rejected_rows(rows), SILVER_STAMP)
+            if mode.endswith("partitions"):
+                tables.append(Written(_dated_rejects(bad), rejects, mode, [REJECT_PARTITION], fmt))
+            else:
+                tables.append(Written(bad, rejects, mode, [], fmt))
+        _write_all(checked.sparkSession, tables)
+
+
+def _append_silver(spark, read, check, accepted, partition, source, target, rejects, *, strict, fmt) -> None:
+    """Add what the files under ``source`` hold that the table has not taken in yet. Which files
+    those are is committed with their rows: run again, or after dying anywhere, the job adds
+    nothing twice and leaves nothing out."""
+    if is_written_in_place(spark, target):
+        raise ValueError(f"{target} was written in place and has no record of its input files: publish it first")
+    with staged(new_inputs(spark, source, target)) as inputs:
+        # file names only: as many as the planner lists for any scan of them
+        paths = [row["path"] for row in inputs.select("path").collect()]
+        if not paths:
             return
-        # rejects carry no reliable date of their own, so they are laid out by that of their intake,
-        # and a day taken in again replaces its own rejects only
-        day = F.coalesce(F.left("bronze_ingestion_timestamp", F.lit(10)), F.lit("unknown"))
-        dated = bad.withColumn(REJECT_PARTITION, day)
-        write_table(dated, rejects, mode=mode, partition_by=[REJECT_PARTITION], fmt=fmt)
+        checked = check(read(paths))
+        with staged(checked) if strict or rejects else nullcontext(checked) as rows:
+            if strict:
+                raise_on_rejects(rows)
+            if rejects:
+                _append_rejects(spark, stamped(rejected_rows(rows), SILVER_STAMP), inputs, target, rejects, fmt)
+            append(stamped(accepted(rows), SILVER_STAMP), target, inputs=inputs, partition_by=[partition], fmt=fmt).commit()
+
+
+def _append_rejects(spark, bad: DataFrame, inputs: DataFrame, target: str, rejects: str, fmt: str | None) -> None:
+    """Rejects are committed first. Those of files that the table itself has not taken in are left
+    from a job that died in between, and give way to the new ones."""
+    known, now = taken_in(spark, target), current(spark, rejects)
+    onto = []
+    for run in now.runs if now else ():
+        of_run = spark.read.parquet(f"{run_folder(rejects, run)}/_inputs")
+        if known is not None and of_run.join(known, INPUT_FILES, "left_anti").isEmpty():
+            onto.append(run)
+    write_run(bad, rejects, onto=onto, fmt=fmt, inputs=inputs).commit()
 
 
 def webhook_intake_job(
@@ -132,6 +205,16 @@ def silver_bookings_job(
     channels: Mapping[str, str] = CHANNEL_BY_EVENT_TYPE,
     fmt: str | None = None,
 ) -> None:
+    """Bronze events to silver. ``append`` adds the events of files not taken in yet; the other
+    modes make the table, or its partitions, from all of ``source``."""
+    if mode == "append":
+        _append_silver(
+            spark,
+            lambda paths: read_bronze_bookings(spark, paths, layout=layout),
+            lambda bronze: silver_bookings.checked_bookings(bronze, channels),
+            silver_bookings.accepted, silver_bookings.PARTITION, source, target, rejects, strict=strict, fmt=fmt,
+        )
+        return
     bronze = read_bronze_bookings(spark, source, layout=layout)
     _publish_silver(
         silver_bookings.checked_bookings(bronze, channels),
@@ -157,6 +240,15 @@ def silver_spend_job(
     channels: Collection[str] = SPEND_CHANNELS,
     fmt: str | None = None,
 ) -> None:
+    """Spend files to silver, in the modes of ``silver_bookings_job``."""
+    if mode == "append":
+        _append_silver(
+            spark,
+            lambda paths: read_bronze_spend(spark, paths, layout=layout),
+            lambda bronze: silver_spend.checked_spend(bronze, channels),
+            silver_spend.accepted, silver_spend.PARTITION, source, target, rejects, strict=strict, fmt=fmt,
+        )
+        return
     bronze = read_bronze_spend(spark, source, layout=layout)
     _publish_silver(
         silver_spend.checked_spend(bronze, channels),
@@ -171,6 +263,7 @@ def silver_spend_job(
 
 
 def _write_gold(
+    spark: SparkSession,
     tables: Mapping[str, DataFrame],
     root: str,
     partitions: Mapping[str, list[str]],
@@ -178,14 +271,23 @@ def _write_gold(
     fmt: str | None,
     paths: Mapping[str, str] | None,
 ) -> None:
-    for name, table in tables.items():
-        write_table(
-            stamped(table, GOLD_STAMP),
-            (paths or {}).get(name, f"{root}/{name}"),
-            mode=mode if name in partitions or mode != "replace_partitions" else "overwrite",
-            partition_by=partitions.get(name, ()),
-            fmt=fmt,
-        )
+    # a table without partitions is replaced whole
+    whole = {"replace_partitions": "overwrite", "publish_partitions": "publish"}
+    # the gold tables are made from all of silver, so an append of them would repeat every row
+    mode = "publish" if mode == "append" else mode
+    _write_all(
+        spark,
+        [
+            Written(
+                stamped(table, GOLD_STAMP),
+                (paths or {}).get(name, f"{root}/{name}"),
+                mode if name in partitions else whole.get(mode, mode),
+                partitions.get(name, ()),
+                fmt,
+            )
+            for name, table in tables.items()
+        ],
+    )
 
 
 def gold_bookings_job(
@@ -200,7 +302,7 @@ def gold_bookings_job(
     """Six booking tables under ``root`` (or at ``paths`` by table name)."""
     with staged(gold_bookings.booking_cube(read_silver_bookings(spark, silver, fmt))) as cube:
         tables = gold_bookings.tables_from_cube(cube)
-        _write_gold(tables, root, gold_bookings.PARTITIONS, mode, fmt, paths)
+        _write_gold(spark, tables, root, gold_bookings.PARTITIONS, mode, fmt, paths)
 
 
 def gold_spend_job(
@@ -214,7 +316,7 @@ def gold_spend_job(
 ) -> None:
     with staged(gold_spend.daily_totals(read_silver_spend(spark, silver, fmt))) as totals:
         tables = gold_spend.tables_from_totals(totals)
-        _write_gold(tables, root, gold_spend.PARTITIONS, mode, fmt, paths)
+        _write_gold(spark, tables, root, gold_spend.PARTITIONS, mode, fmt, paths)
 
 
 def gold_combined_job(
@@ -231,7 +333,7 @@ def gold_combined_job(
     bookings = read_silver_bookings(spark, silver_bookings_path, fmt)
     with staged(gold_combined.combined_cube(spend, bookings)) as cube:
         tables = gold_combined.tables_from_cube(cube)
-        _write_gold(tables, root, gold_combined.PARTITIONS, mode, fmt, paths)
+        _write_gold(spark, tables, root, gold_combined.PARTITIONS, mode, fmt, paths)
 
 
 def metrics_job(
@@ -284,7 +386,10 @@ def refresh_lakehouse(
 ) -> None:
     """Everything: both silver tables, their rejects, all gold tables, and, when a database is
     named, their registration. Spend and bookings need nothing of each other until they are
-    combined, so their jobs run side by side."""
+    combined, so their jobs run side by side.
+
+    With ``publish`` a reader never sees a table half written: silver is committed per job, the
+    gold tables of a job together, and names move to the new versions at the end."""
     bookings, spend = f"{root}/silver/bookings", f"{root}/silver/spend"
     gold = f"{root}/gold"
     common = {"mode": mode, "strict": strict, "layout": layout, "fmt": fmt}
@@ -314,7 +419,8 @@ def refresh_lakehouse(
 
 def _parser() -> argparse.ArgumentParser:
     shared = argparse.ArgumentParser(add_help=False)
-    shared.add_argument("--mode", default="overwrite", help="overwrite, append, replace_partitions")
+    shared.add_argument("--mode", default="overwrite", help="overwrite or replace_partitions in place; publish or publish_partitions, "
+                        "seen at once when complete; append, of files not taken in yet")
     shared.add_argument("--format", dest="fmt", help="table format; delta when enabled, else parquet")
     shared.add_argument("--delta", action="store_true", help="build the session with Delta")
     shared.add_argument("--shuffle-partitions", type=int)

@@ -10,6 +10,7 @@ from adlake.fixed_values import BOOKING_SOURCE_SYSTEM, WANTED_WEBHOOK_EVENT
 from adlake.functions.columns import json_starts_with
 from adlake.schemas import BARE_EVENT, BRONZE_BOOKING, BRONZE_SPEND, SILVER_BOOKING, SILVER_SPEND
 from adlake.session import table_format
+from adlake.sources.versions import current, read_version
 
 LAYOUTS = ("lines", "documents")
 
@@ -55,7 +56,7 @@ def _bronze(spark, path, schema, layout, glob, streaming, files_per_batch) -> Da
 
 def read_bronze_bookings(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     *,
     layout: str = "lines",
     glob: str | None = None,
@@ -85,7 +86,7 @@ def with_bare_events(bronze: DataFrame) -> DataFrame:
 
 def read_bronze_spend(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     *,
     layout: str = "lines",
     glob: str | None = None,
@@ -97,7 +98,10 @@ def read_bronze_spend(
 
 
 def read_table(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
-    """A silver or gold table."""
+    """A silver or gold table: its committed version, or the files of one written in place."""
+    version = current(spark, path)
+    if version is not None:
+        return read_version(spark, path, version, fmt)
     return spark.read.format(fmt or table_format(spark)).load(path)
 
 

@@ -3,14 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlake.session import staged, table_format
+from adlake.sources.versions import (
+    Pending,
+    current,
+    is_written_in_place,
+    location,
+    publish,
+    publish_partitions,
+    shape_of,
+)
 
-MODES = ("overwrite", "append", "replace_partitions")
+MODES = ("overwrite", "append", "replace_partitions", "publish", "publish_partitions")
 
 
 def stamped(df: DataFrame, column: str) -> DataFrame:
@@ -31,7 +41,9 @@ def write_table(
 
     ``overwrite`` rebuilds it, ``replace_partitions`` replaces only the partitions present in
     ``df``, ``append`` adds rows (and doubles them when a job is run again, so it is for bronze
-    or for input known to be new).
+    or for input known to be new). These three write in place, so that a job which dies leaves
+    the table half done. ``publish`` and ``publish_partitions`` do the first two as a version
+    that readers see at once, when it is complete (see ``versions``).
 
     A partitioned write is rebalanced by its partition columns first: a date goes to few
     files instead of one per task, while AQE splits a date too big for one task. Turn that off
@@ -40,6 +52,11 @@ def write_table(
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
     fmt = fmt or table_format(df.sparkSession)
+    if mode.startswith("publish"):
+        pending_table(df, path, mode=mode, partition_by=partition_by, fmt=fmt).commit()
+        return
+    if current(df.sparkSession, path) is not None:
+        raise ValueError(f"{path} has versions: {mode} in place would bypass them")
     if partition_by and rebalance:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.format(fmt).mode("append" if mode == "append" else "overwrite")
@@ -55,6 +72,17 @@ def write_table(
     writer.save(path)
 
 
+def pending_table(
+    df: DataFrame, path: str, *, mode: str, partition_by: Sequence[str] = (), fmt: str | None = None
+) -> Pending:
+    """A version by ``publish`` or ``publish_partitions`` that is written and not yet committed."""
+    if is_written_in_place(df.sparkSession, path):
+        raise ValueError(f"{path} was written in place: publish to another path, or delete it first")
+    if mode == "publish_partitions" and partition_by:
+        return publish_partitions(df, path, partition_by=partition_by, fmt=fmt)
+    return publish(df, path, partition_by=partition_by, fmt=fmt)
+
+
 def write_bronze(
     df: DataFrame, path: str, partition_by: Sequence[str], *, mode: str = "replace_keys", key: str = "raw_s3_key"
 ) -> None:
@@ -86,17 +114,57 @@ def export_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+#: Off, a table finds its partitions in its folder, so that a new location brings them along.
+TRACKED = "spark.sql.hive.manageFilesourcePartitions"
+
+
 def register_table(spark: SparkSession, name: str, path: str, fmt: str | None = None) -> None:
-    """Make the table at ``path`` known to SQL readers as ``name``, with its partitions."""
+    """Make the table at ``path``, its committed version if it has any, known to SQL readers.
+
+    A name that is known already is moved to the new location by one statement: readers see the
+    old files or the new ones, and never no table. Only a change of columns (or a table whose
+    partitions the catalog has tracked) needs the name to be dropped and made again.
+    """
     fmt = fmt or table_format(spark)
+    folder, version = location(spark, path), current(spark, path)
+    shape = shape_of(spark, path, version.runs[0]) if version else None
     if spark.catalog.tableExists(name):
         if spark.catalog.getTable(name).tableType == "MANAGED":
             raise ValueError(f"{name} is a managed table, and dropping it would delete its data")
+        schema = shape.schema if shape else spark.read.format(fmt).load(folder).schema
+        known = [(field.name, field.dataType) for field in spark.table(name).schema.fields]
+        same = fmt != "delta" and known == [(field.name, field.dataType) for field in schema.fields]
+        if same and not _tracked(spark, name):
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{_quoted(folder)}'")
+            spark.catalog.refreshTable(name)
+            return
         spark.sql(f"DROP TABLE {name}")
-    spark.catalog.createTable(name, path=path, source=fmt)
-    if fmt != "delta" and _is_partitioned(spark, name):
-        spark.catalog.recoverPartitions(name)
-
-
-def _is_partitioned(spark: SparkSession, name: str) -> bool:
-    return any(column.isPartition for column in spark.catalog.listColumns(name))
+    with _untracked(spark):
+        if shape is None:
+            spark.catalog.createTable(name, path=folder, source=fmt)
+            return
+        by = ", ".join(f"`{column}`" for column in shape.partition_by)
+        layout = f"PARTITIONED BY ({by}) " if by else ""
+        spark.sql(f"CREATE TABLE {name} ({shape.schema.toDDL()}) USING {fmt} {layout}LOCATION '{_quoted(folder)}'")
+
+
+@contextmanager
+def _untracked(spark: SparkSession):
+    before = spark.conf.get(TRACKED, None)
+    spark.conf.set(TRACKED, "false")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(TRACKED)
+        else:
+            spark.conf.set(TRACKED, before)
+
+
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def _tracked(spark: SparkSession, name: str) -> bool:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Partition Provider'").collect()
+    return any(row["data_type"] == "Catalog" for row in rows)
