@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
-from contextlib import contextmanager
+from contextlib import ExitStack, contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlake.session import staged, table_format
+from adlake.session import staged, staging_path, table_format
+from adlake.sources.files import Folder, delete_file, replace_file
 from adlake.sources.versions import (
     Pending,
     current,
@@ -89,25 +91,66 @@ def write_bronze(
     """Bronze envelopes as JSON lines in ``key=value`` folders.
 
     ``replace_keys`` makes intake rerunnable: rows stored earlier go where ``df`` has rows of
-    their key, as an object store keeps one object per key. Rows of ``df`` itself all stay, even
-    where files of different folders share a name and so a key. Only the folders that ``df``
-    touches are read and rewritten; the new content is staged in the shared folder first.
+    their key in the same folder, as an object store keeps one object per key. Rows of ``df``
+    itself all stay, even where files of different folders share a name and so a key.
+
+    Only the folders that ``df`` touches are read, and in them only files that hold a replaced
+    key are rewritten, each under its own name by one rename. Every other line, readable or not,
+    stays as it is, byte for byte. New rows are written first, so that a job which dies loses
+    nothing; run again, it replaces what it had written. A rewritten file passes through one
+    task, as the intake's own files are of the size of one.
     """
     if mode != "replace_keys":
         write_table(df, path, mode=mode, partition_by=partition_by, fmt="json")
         return
     spark = df.sparkSession
     with staged(df) as new:
-        try:
-            old = spark.read.schema(df.schema).json(path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            old = spark.createDataFrame([], df.schema)
-        touched = new.select(*partition_by).distinct()
-        others = old.join(touched, list(partition_by), "left_semi").join(new.select(key), key, "left_anti")
-        with staged(others.select(*df.columns).unionByName(new)) as whole:
-            write_table(whole, path, mode="replace_partitions", partition_by=partition_by, fmt="json")
+        keys = new.select(*partition_by, key).distinct()
+        with ExitStack() as kept:
+            rest = _lines_that_stay(spark, path, keys, partition_by, key, kept)
+            write_table(new, path, mode="append", partition_by=partition_by, fmt="json")
+            for old, content in rest.items():
+                if content is None:
+                    delete_file(spark, old)
+                else:
+                    replace_file(spark, old, content)
+
+
+def _lines_that_stay(
+    spark: SparkSession, path: str, keys: DataFrame, partition_by: Sequence[str], key: str, kept: ExitStack
+) -> dict[str, str | None]:
+    """Per file that holds one of the keys, a staged file with its other lines (None without any)."""
+    columns = ", ".join(f"`{name}` string" for name in partition_by)
+    try:
+        # no line end but this: a carriage return belongs to its line
+        lines = spark.read.schema(f"value string, {columns}").option("lineSep", "\n").text(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
+    of_line = F.get_json_object("value", f"$.{key}").alias(key)
+    named = lines.select(*partition_by, "value", of_line, F.col("_metadata.file_path").alias("file"))
+    named = named.join(keys.select(*partition_by).distinct(), list(partition_by), "left_semi")
+    hit = kept.enter_context(staged(named.join(keys, [*partition_by, key], "left_semi").select("file").distinct()))
+    # names of the files to rewrite, which the driver renames one by one
+    files = [row["file"] for row in hit.collect()]
+    packed = [name for name in files if not name.endswith(".json")]
+    if packed:
+        raise ValueError(f"{packed[0]} and {len(packed) - 1} others hold keys to replace and are not plain .json files")
+    if not files:
+        return {}
+    others = named.join(hit, "file", "left_semi").join(keys, [*partition_by, key], "left_anti")
+    folder = staging_path(spark, "bronze-lines")
+    kept.callback(Folder(spark, folder).delete, "")
+    by_file = others.select("value", F.sha2("file", 256).alias("of")).repartition("of")
+    by_file.write.option("lineSep", "\n").partitionBy("of").text(folder)
+    staged_files = Folder(spark, folder)
+    content = {}
+    for name in files:
+        inside = f"of={hashlib.sha256(name.encode()).hexdigest()}"
+        parts = [part for part in staged_files.names(inside) if part.startswith("part-")]
+        content[name] = f"{folder}/{inside}/{parts[0]}" if parts else None
+    return content
 
 
 def export_json(df: DataFrame, path: str) -> None:

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 from adlake.session import table_format
+from adlake.sources.files import Folder
 
 RUN = "_run"
 #: File in a run's folder that tells its columns.
@@ -31,44 +32,6 @@ KEEP = 2
 INPUT_FILES = ["path", "length", "modificationTime"]
 
 
-class _Folder:
-    """The files of one path, whatever store it is in."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.jvm = spark._jvm
-        self.path = path.rstrip("/")
-        self.fs = self._at("").getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def _at(self, name: str):
-        return self.jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
-
-    def names(self, folder: str) -> list[str]:
-        at = self._at(folder)
-        return sorted(status.getPath().getName() for status in self.fs.listStatus(at)) if self.fs.exists(at) else []
-
-    def text(self, name: str) -> str:
-        stream = self.fs.open(self._at(name))
-        try:
-            return self.jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-
-    def put(self, name: str, text: str) -> None:
-        """A whole file at once: written under another name, then renamed."""
-        if self.fs.exists(self._at(name)):
-            raise FileExistsError(f"{self.path}/{name}")
-        folder, _, last = name.rpartition("/")
-        aside = f"{folder}/.{last}-{uuid.uuid4().hex}"
-        stream = self.fs.create(self._at(aside), False)
-        stream.write(bytearray(text.encode()))
-        stream.close()
-        if not self.fs.rename(self._at(aside), self._at(name)):
-            raise FileExistsError(f"{self.path}/{name}")
-
-    def delete(self, name: str) -> None:
-        self.fs.delete(self._at(name), True)
-
-
 @dataclass(frozen=True)
 class Version:
     """A committed state of a table: its number and the runs it consists of."""
@@ -79,13 +42,13 @@ class Version:
 
 def versions(spark: SparkSession, path: str) -> list[Version]:
     """Every committed version that is kept, oldest first; none for a path written in place."""
-    folder = _Folder(spark, path)
+    folder = Folder(spark, path)
     numbers = [name for name in folder.names("_commits") if name.isdigit()]
     return [Version(int(name), tuple(json.loads(folder.text(f"_commits/{name}")))) for name in numbers]
 
 
 def current(spark: SparkSession, path: str) -> Version | None:
-    folder = _Folder(spark, path)
+    folder = Folder(spark, path)
     numbers = [name for name in folder.names("_commits") if name.isdigit()]
     return Version(int(numbers[-1]), tuple(json.loads(folder.text(f"_commits/{numbers[-1]}")))) if numbers else None
 
@@ -103,7 +66,7 @@ class Shape:
 
 
 def shape_of(spark: SparkSession, path: str, run: str) -> Shape:
-    known = json.loads(_Folder(spark, path).text(f"_runs/{RUN}={run}/{SHAPE}"))
+    known = json.loads(Folder(spark, path).text(f"_runs/{RUN}={run}/{SHAPE}"))
     return Shape(StructType.fromJson(known["schema"]), tuple(known["partition_by"]))
 
 
@@ -132,13 +95,13 @@ class Pending:
         with them: a table has one writer at a time.
         """
         number = self.base + 1
-        _Folder(self.spark, self.path).put(f"_commits/{number:010d}", json.dumps(self.runs))
+        Folder(self.spark, self.path).put(f"_commits/{number:010d}", json.dumps(self.runs))
         _clear(self.spark, self.path, keep)
         return Version(number, self.runs)
 
 
 def _clear(spark: SparkSession, path: str, keep: int) -> None:
-    folder = _Folder(spark, path)
+    folder = Folder(spark, path)
     kept = versions(spark, path)[-keep:]
     used = {f"{RUN}={run}" for version in kept for run in version.runs}
     for name in folder.names("_commits"):
@@ -174,7 +137,7 @@ def write_run(
     fields = sorted(df.schema.fields, key=lambda field: field.name in partition_by)
     fields = [StructField(field.name, field.dataType, True) for field in fields]
     shape = {"schema": StructType(fields).jsonValue(), "partition_by": list(partition_by)}
-    _Folder(spark, path).put(f"_runs/{RUN}={run}/{SHAPE}", json.dumps(shape))
+    Folder(spark, path).put(f"_runs/{RUN}={run}/{SHAPE}", json.dumps(shape))
     if inputs is not None:
         inputs.select(*INPUT_FILES).write.parquet(f"{target}/_inputs")
     return Pending(spark, path, now.number if now else 0, (*onto, run))
@@ -215,7 +178,7 @@ def input_files(spark: SparkSession, source: str | Iterable[str]) -> DataFrame:
 
 def taken_in(spark: SparkSession, path: str) -> DataFrame | None:
     """The input files of all committed runs, or None where none is recorded."""
-    now, folder = current(spark, path), _Folder(spark, path)
+    now, folder = current(spark, path), Folder(spark, path)
     recorded = [run for run in (now.runs if now else ()) if folder.names(f"_runs/{RUN}={run}/_inputs")]
     return spark.read.parquet(*(f"{run_folder(path, run)}/_inputs" for run in recorded)) if recorded else None
 
@@ -247,7 +210,7 @@ def location(spark: SparkSession, path: str) -> str:
 
 def is_written_in_place(spark: SparkSession, path: str) -> bool:
     """Whether a path holds files but no version."""
-    return current(spark, path) is None and any(not name.startswith(("_", ".")) for name in _Folder(spark, path).names(""))
+    return current(spark, path) is None and any(not name.startswith(("_", ".")) for name in Folder(spark, path).names(""))
 
 
 def merged(spark: SparkSession, path: str, *, partition_by: Sequence[str] = (), fmt: str | None = None) -> Pending:
