@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlake.fixed_values import CHANNEL_TITLES, COLUMN_TITLES
 from adlake.functions import columns as c
+from adlake.operators.places import ranked, with_places
 
 CPB = "cost_per_booking_usd"
 CALLS = "booked_call_count"
@@ -44,11 +45,24 @@ ORDERINGS = {
 def report(gold: DataFrame, table: str) -> DataFrame:
     """The gold table as readers see it: its report columns in its report order."""
     shown = gold.select([name for name in COLUMNS[table] if name in gold.columns])
-    order = [
+    order = _order(table)
+    return shown.orderBy(*order) if order else shown
+
+
+def _order(table: str) -> list[Column]:
+    return [
         F.desc_nulls_last(name) if descending else F.asc_nulls_last(name)
         for name, descending in ORDERINGS.get(table, [])
     ]
-    return shown.orderBy(*order) if order else shown
+
+
+def report_with_places(gold: DataFrame, table: str) -> DataFrame:
+    """The report's rows with the place of each in the report's order, equal keys sharing the
+    first, for readers that page through it. No task sees all rows."""
+    shown = gold.select([name for name in COLUMNS[table] if name in gold.columns])
+    if table not in ORDERINGS:
+        return shown
+    return ranked(with_places(shown, *_order(table)), *(key for key, _ in ORDERINGS[table]))
 
 
 def by_keys(gold: DataFrame, *keys: str) -> DataFrame:

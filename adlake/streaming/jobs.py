@@ -20,6 +20,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from adlake.fixed_values import CHANNEL_BY_EVENT_TYPE
 from adlake.functions import columns as c
 from adlake.operators import gold_bookings, silver_bookings
+from adlake.operators.bitmaps import added_bookings, daily_counts
 from adlake.operators.quality import rejected_rows, valid_rows
 from adlake.plans.jobs import GOLD_STAMP, SILVER_STAMP
 from adlake.session import build_session, staged, table_format
@@ -28,6 +29,8 @@ from adlake.sources.readers import read_bronze_bookings, read_table
 from adlake.sources.sinks import stamped, write_table
 
 FACTS_PARTITION = "booking_date"
+#: Columns of silver, beside the required ones, that booking tables count by.
+OPTIONAL = ["utm_campaign", "employee_id", "employee_name", "employee_email"]
 
 
 def _started(writer: DataStreamWriter, checkpoint: str, every: str | None) -> StreamingQuery:
@@ -214,6 +217,52 @@ def refresh_days(
             )
 
 
+def take_in_bookings(spark: SparkSession, silver: DataFrame, bitmaps: str, gold: str, *, fmt: str | None = None) -> None:
+    """Add a batch of silver bookings to the bitmaps and bring the per-day tables of the dates it
+    touches up to date. Neither earlier bookings nor earlier facts are read."""
+    with added_bookings(silver, bitmaps) as days:
+        for name, table in daily_counts(spark, bitmaps, days).items():
+            write_table(
+                stamped(table, GOLD_STAMP),
+                f"{gold}/{name}",
+                mode="replace_partitions",
+                partition_by=gold_bookings.PARTITIONS[name],
+                fmt=fmt,
+            )
+
+
+def bitmap_stream(
+    spark: SparkSession,
+    bronze: str,
+    bitmaps: str,
+    gold: str,
+    checkpoint: str,
+    *,
+    channels: Mapping[str, str] = CHANNEL_BY_EVENT_TYPE,
+    layout: str = "lines",
+    fmt: str | None = None,
+    every: str | None = None,
+    files_per_batch: int | None = None,
+) -> StreamingQuery:
+    """The per-day booking tables kept current by merging bitmaps (see ``operators.bitmaps``).
+
+    Unlike ``gold_refresh_stream`` it keeps no copy of the facts and reads none again, and the
+    other booking tables can be cut from the same bitmaps at any time. A batch that is replayed
+    changes nothing.
+    """
+    events = read_bronze_bookings(spark, bronze, layout=layout, streaming=True, files_per_batch=files_per_batch)
+    silver = silver_bookings.bookings(events, channels)
+
+    def take_in(batch: DataFrame, _: int) -> None:
+        # staged by the batch's session, which runs without AQE; the caller's does the rest
+        with staged(batch.select(*gold_bookings.REQUIRED, *OPTIONAL)) as rows:
+            own = spark.read.schema(rows.schema).parquet(*rows.inputFiles()) if rows.inputFiles() else None
+            if own is not None and not own.isEmpty():
+                take_in_bookings(spark, own, bitmaps, gold, fmt=fmt)
+
+    return _started(silver.writeStream.foreachBatch(take_in), checkpoint, every)
+
+
 def _parser() -> argparse.ArgumentParser:
     shared = argparse.ArgumentParser(add_help=False)
     shared.add_argument("--source", required=True)
@@ -234,6 +283,8 @@ def _parser() -> argparse.ArgumentParser:
     streams.add_parser("closed-days", parents=[shared, of_bronze]).add_argument("--lateness", default="1 day")
     gold = streams.add_parser("gold", parents=[shared, of_bronze], help="--target is the root of the gold tables")
     gold.add_argument("--facts", required=True)
+    merging = streams.add_parser("bitmaps", parents=[shared, of_bronze], help="--target is the root of the gold tables")
+    merging.add_argument("--bitmaps", required=True)
     return parser
 
 
@@ -254,6 +305,8 @@ def main(argv: list[str] | None = None) -> None:
             queries = [silver_stream(*where, once_within=args.once_within, **common)]
         elif args.stream == "closed-days":
             queries = [closed_days_stream(*where, lateness=args.lateness, **common)]
+        elif args.stream == "bitmaps":
+            queries = [bitmap_stream(spark, args.source, args.bitmaps, args.target, args.checkpoint, **common)]
         else:
             queries = [gold_refresh_stream(spark, args.source, args.facts, args.target, args.checkpoint, **common)]
     for query in queries:

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlake.functions import columns as c
 from adlake.operators import (
+    bitmaps,
     gold_bookings,
     gold_combined,
     gold_extra,
@@ -743,6 +744,30 @@ def _registered_table(spark, sf):
     return spark.sql("SELECT booking_date, channel, booked_call_count FROM checked_daily_calls")
 
 
+# --- bitmaps ----------------------------------------------------------------------------
+
+
+def _bitmaps(spark: SparkSession, sf: str) -> str:
+    """Bookings taken into bitmaps in three deliveries: a part, all but a part (most of the first
+    again, with days that were complete before), and the rest with some of either."""
+    root = staging_path(spark, "bitmaps")
+    booked = views.bookings(spark, sf)
+    part = F.pmod(F.xxhash64("booking_id"), F.lit(10))
+    for delivery in (booked.where(part < 4), booked.where(part != 7), booked.where(part.isin(1, 7))):
+        with bitmaps.added_bookings(delivery, root):
+            pass
+    return root
+
+
+for _name in BOOKING_TABLES_SQL:
+    if _name in ("daily_calls_by_source", "channel_attribution", "employee_meeting_load", "booking_dashboard_kpis"):
+
+        @check(f"bitmap_{_name}", BOOKING_TABLES_SQL[_name])
+        def _from_bitmaps(spark, sf, name=_name):
+            cube = bitmaps.cube_of(bitmaps.kept_bitmaps(spark, _bitmaps(spark, sf)))
+            return gold_bookings.tables_from_cube(cube)[name]
+
+
 # --- reports --------------------------------------------------------------------------
 
 
@@ -762,21 +787,23 @@ def _report_sql(name: str) -> str:
 
 
 def _report(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """The report with the places that its rows came out in, equal keys sharing the first."""
-    shown = reports.report(_gold(spark, sf, name), name)
-    if name not in reports.ORDERINGS:
-        return shown
-    keys = [key for key, _ in reports.ORDERINGS[name]]
-    at = F.row_number().over(Window.orderBy("_came"))
-    placed = shown.withColumn("_came", F.monotonically_increasing_id()).withColumn("_at", at.cast("long"))
-    first = F.min("_at").over(Window.partitionBy(*keys))
-    return placed.withColumn("place", first).drop("_came", "_at")
+    """The report with the places of its rows, equal keys sharing the first."""
+    return reports.report_with_places(_gold(spark, sf, name), name)
 
 
 for _name in reports.COLUMNS:
     check(f"report_{_name}", _report_sql(_name))(lambda spark, sf, name=_name: _report(spark, sf, name))
 
 
+@check(
+    "first_by_keys",
+    f"SELECT * FROM ({BOOKING_TABLES_SQL['daily_calls_by_source']}) ORDER BY booking_date, channel LIMIT 25",
+)
+def _first_by_keys(spark, sf):
+    """The head of a table in key order."""
+    return reports.by_keys(_gold(spark, sf, "daily_calls_by_source"), "booking_date", "channel").limit(25)
+
+
 @check(
     "calls_pivot",
     f"""WITH {BOOKINGS_SQL} SELECT booking_date,
