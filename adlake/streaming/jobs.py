@@ -27,6 +27,7 @@ from adlake.session import build_session, staged, table_format
 from adlake.sources.intake import BOOKING_ENVELOPE, BOOKING_PARTITIONS, read_requests, webhook_intake
 from adlake.sources.readers import read_bronze_bookings, read_table
 from adlake.sources.sinks import stamped, write_table
+from adlake.streaming.settled import settled_stream
 
 FACTS_PARTITION = "booking_date"
 #: Columns of silver, beside the required ones, that booking tables count by.
@@ -281,6 +282,8 @@ def _parser() -> argparse.ArgumentParser:
     streams.add_parser("intake", parents=[shared]).add_argument("--rejects")
     streams.add_parser("silver", parents=[shared, of_bronze]).add_argument("--once-within")
     streams.add_parser("closed-days", parents=[shared, of_bronze]).add_argument("--lateness", default="1 day")
+    settled = streams.add_parser("settled", parents=[shared, of_bronze], help="closed days, late and repeated rows reported")
+    settled.add_argument("--lateness", default="1 day")
     gold = streams.add_parser("gold", parents=[shared, of_bronze], help="--target is the root of the gold tables")
     gold.add_argument("--facts", required=True)
     merging = streams.add_parser("bitmaps", parents=[shared, of_bronze], help="--target is the root of the gold tables")
@@ -305,6 +308,9 @@ def main(argv: list[str] | None = None) -> None:
             queries = [silver_stream(*where, once_within=args.once_within, **common)]
         elif args.stream == "closed-days":
             queries = [closed_days_stream(*where, lateness=args.lateness, **common)]
+        elif args.stream == "settled":
+            options = {key: value for key, value in common.items() if key != "fmt"}
+            queries = [settled_stream(*where, lateness=args.lateness, **options)]
         elif args.stream == "bitmaps":
             queries = [bitmap_stream(spark, args.source, args.bitmaps, args.target, args.checkpoint, **common)]
         else:

@@ -942,6 +942,39 @@ def _stream_daily_counts(spark, sf):
     return readers.read_table(spark, target, "parquet")
 
 
+SETTLED_SQL = f"""WITH {WEBHOOKS_SQL}, v AS (SELECT * FROM w WHERE {VALID_WEBHOOK_SQL})"""
+
+
+def _settled(spark: SparkSession, sf: str) -> str:
+    """Every event delivered twice, and taken in by several batches."""
+    root = staging_path(spark, "settled")
+    _run(
+        streams.settled_stream(
+            spark, _twice_on_disk(spark, sf), root, staging_path(spark, "stream"),
+            channels=views.CHANNELS, lateness="1 day", files_per_batch=6,
+        )
+    )
+    return root
+
+
+@check(
+    "settled_days",
+    f"""{SETTLED_SQL} SELECT booking_date, channel, COUNT(*) AS booked_call_count FROM v
+      WHERE booking_date + INTERVAL 2 DAY <= (SELECT MAX(ts) FROM v) GROUP BY ALL""",
+)
+def _settled_days(spark, sf):
+    return readers.read_table(spark, f"{_settled(spark, sf)}/closed_days", "parquet")
+
+
+@check(
+    "repeated_deliveries",
+    f"{SETTLED_SQL} SELECT booking_date, channel, COUNT(*) AS repeated FROM v WHERE ts IS NOT NULL GROUP BY ALL",
+)
+def _repeated_deliveries(spark, sf):
+    reported = readers.read_table(spark, f"{_settled(spark, sf)}/reported", "parquet").where("kind = 'repeated'")
+    return reported.groupBy("booking_date", "channel").agg(F.count("*").alias("repeated"))
+
+
 # --- whole jobs -------------------------------------------------------------------------
 
 
