@@ -16,7 +16,7 @@ def test_agrees_with_sql(spark, name):
 
 
 def test_all_are_registered():
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(queries())
 
 
