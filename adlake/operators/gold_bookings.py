@@ -6,6 +6,7 @@ neither a channel holding most rows nor an id delivered millions of times loads
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from itertools import chain
 
 from pyspark.sql import Column, DataFrame
@@ -131,13 +132,14 @@ def booking_dashboard_kpis(silver: DataFrame) -> DataFrame:
 CUBE = {**GRAINS, "meeting_dates": ["meeting_date"], "everything": []}
 
 
-def booking_cube(silver: DataFrame) -> DataFrame:
+def booking_cube(silver: DataFrame, heavy: Sequence[str] = ()) -> DataFrame:
     """Distinct bookings at every gold grain from one scan.
 
     Rows carry ``grain``, the name of the table they belong to. The result is as small as the
-    gold tables together, so a job stages it once and derives each table from it.
+    gold tables together, so a job stages it once and derives each table from it. ``heavy`` are
+    ids with very many different rows (see ``grains.heavy_ids``).
     """
-    return counts_at_grains(valid_bookings(silver), "booking_id", CUBE, CALLS)
+    return counts_at_grains(valid_bookings(silver), "booking_id", CUBE, CALLS, heavy)
 
 
 def tables_from_cube(cube: DataFrame) -> dict[str, DataFrame]:

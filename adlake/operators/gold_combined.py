@@ -8,6 +8,8 @@ booking and a booking row no money, so one aggregation serves both, without cros
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -142,11 +144,11 @@ def dashboard_kpis(silver_spend: DataFrame, silver_bookings: DataFrame) -> DataF
     )
 
 
-def combined_cube(silver_spend: DataFrame, silver_bookings: DataFrame) -> DataFrame:
+def combined_cube(silver_spend: DataFrame, silver_bookings: DataFrame, heavy: Sequence[str] = ()) -> DataFrame:
     """Spend and distinct bookings per day and channel, per channel and overall, reading each
     input once. As small as the three tables that come out of it."""
     bookings = countable_bookings(silver_bookings).withColumnRenamed("booking_date", "metric_date")
-    booked = counts_at_grains(bookings, "booking_id", CUBE, CALLS).withColumn("usd", F.lit(None).cast(c.MONEY_SUM))
+    booked = counts_at_grains(bookings, "booking_id", CUBE, CALLS, heavy).withColumn("usd", F.lit(None).cast(c.MONEY_SUM))
     days = daily_totals(silver_spend).select(
         F.col("spend_date").alias("metric_date"), "channel", F.col("total").cast(c.MONEY_SUM).alias("usd")
     )

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,8 +12,9 @@ from adlake.fixed_values import UNKNOWN_CAMPAIGN
 from adlake.functions import columns as c
 from adlake.operators.gold_bookings import as_date, booking_trends, daily_calls_by_source
 from adlake.operators.gold_combined import cpb_by_channel, dashboard_kpis
-from adlake.operators.gold_spend import valid_spend
+from adlake.operators.gold_spend import daily_totals, valid_spend
 from adlake.operators.quality import keep_valid, require_columns, required
+from adlake.session import staged
 
 
 def campaign_cpb(silver_spend: DataFrame, silver_bookings: DataFrame) -> DataFrame:
@@ -104,6 +108,23 @@ def employee_weekly_load(silver_bookings: DataFrame) -> DataFrame:
     )
 
 
+#: Columns of silver bookings that the metrics count by, where they are there.
+COUNTED = [
+    "booking_id", "channel", "booking_date", "meeting_date", "meeting_day_of_week", "meeting_hour",
+    "meeting_week_start_date", "utm_campaign", "employee_id", "employee_name", "employee_email",
+]
+
+
+@contextmanager
+def metric_inputs(silver_spend: DataFrame, silver_bookings: DataFrame) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """Within, what the metrics need of spend and bookings, from one scan of each: totals per day
+    and channel, and every different booking row once, without the columns no metric reads."""
+    totals = daily_totals(silver_spend).select("spend_date", "channel", F.col("total").alias("spend_usd"))
+    rows = silver_bookings.select(*(name for name in COUNTED if name in silver_bookings.columns)).distinct()
+    with staged(totals) as spend, staged(rows) as bookings:
+        yield spend, bookings
+
+
 def metric_tables(silver_spend: DataFrame, silver_bookings: DataFrame) -> dict[str, DataFrame]:
     """The metrics bundle that is exported as JSON."""
     return {

@@ -32,13 +32,38 @@ def at_grains(rows: DataFrame, grains: Grains, *carried: str) -> DataFrame:
     return rows.select(*carried, F.inline(F.array(*(placed(name, keys) for name, keys in grains.items()))))
 
 
-def counts_at_grains(rows: DataFrame, id_column: str, grains: Grains, count: str) -> DataFrame:
+#: An id is heavy that holds more than this share of the rows; the sketch that finds such ids
+#: keeps so many counters and never misses one.
+HEAVY_SHARE, COUNTERS = 0.005, 4096
+
+
+def heavy_ids(rows: DataFrame, id_column: str) -> list[str]:
+    """The ids that hold more than ``HEAVY_SHARE`` of the rows, so 200 at most. Reads one column."""
+    most = int(1 / HEAVY_SHARE)
+    found = rows.where(F.col(id_column).isNotNull()).agg(
+        F.call_function("approx_top_k", F.col(id_column), F.lit(most), F.lit(COUNTERS)).alias("top"), F.count("*").alias("n")
+    )
+    row = found.first()
+    return [top["item"] for top in row["top"] or [] if top["count"] > HEAVY_SHARE * row["n"]]
+
+
+def counts_at_grains(rows: DataFrame, id_column: str, grains: Grains, count: str, heavy: Sequence[str] = ()) -> DataFrame:
     """Distinct ids per key of each grain. No row for a grain that nothing falls into.
 
     Equal tuples are dropped first, map-side too, so that an id delivered any number of times
     moves as one row per task. The rest is dealt out by id: all tuples of an id lie together, the
     grains multiply them in place, and only partial counts are shuffled after that.
+
+    Ids in ``heavy`` may have so many different tuples that one task should not get them all.
+    Theirs are multiplied where they are and dealt out by id and keys.
     """
-    once = rows.select(id_column, *grain_columns(grains)).distinct()
-    each = at_grains(once.repartition(id_column), grains, id_column).distinct()
-    return each.groupBy(GRAIN, *grain_columns(grains)).agg(F.count("*").alias(count))
+    columns = grain_columns(grains)
+    once = rows.select(id_column, *columns).distinct()
+    few, many = once, None
+    if heavy:
+        listed = F.coalesce(F.col(id_column).isin(*heavy), F.lit(False))
+        few, many = once.where(~listed), once.where(listed)
+    each = at_grains(few.repartition(id_column), grains, id_column).distinct()
+    if many is not None:
+        each = each.unionByName(at_grains(many, grains, id_column).distinct())
+    return each.groupBy(GRAIN, *columns).agg(F.count("*").alias(count))

@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 
 from adlake.fixed_values import CHANNEL_BY_EVENT_TYPE, SPEND_CHANNELS
 from adlake.operators import gold_bookings, gold_combined, gold_spend, silver_bookings, silver_spend
-from adlake.operators.gold_extra import metric_tables
+from adlake.operators.gold_extra import metric_inputs, metric_tables
+from adlake.operators.grains import heavy_ids
 from adlake.operators.quality import raise_on_rejects, rejected_rows, valid_rows
 from adlake.session import build_session, staged
 from adlake.sources.intake import (
@@ -300,7 +301,8 @@ def gold_bookings_job(
     paths: Mapping[str, str] | None = None,
 ) -> None:
     """Six booking tables under ``root`` (or at ``paths`` by table name)."""
-    with staged(gold_bookings.booking_cube(read_silver_bookings(spark, silver, fmt))) as cube:
+    rows = read_silver_bookings(spark, silver, fmt)
+    with staged(gold_bookings.booking_cube(rows, heavy_ids(rows, "booking_id"))) as cube:
         tables = gold_bookings.tables_from_cube(cube)
         _write_gold(spark, tables, root, gold_bookings.PARTITIONS, mode, fmt, paths)
 
@@ -331,7 +333,7 @@ def gold_combined_job(
 ) -> None:
     spend = read_silver_spend(spark, silver_spend_path, fmt)
     bookings = read_silver_bookings(spark, silver_bookings_path, fmt)
-    with staged(gold_combined.combined_cube(spend, bookings)) as cube:
+    with staged(gold_combined.combined_cube(spend, bookings, heavy_ids(bookings, "booking_id"))) as cube:
         tables = gold_combined.tables_from_cube(cube)
         _write_gold(spark, tables, root, gold_combined.PARTITIONS, mode, fmt, paths)
 
@@ -344,11 +346,12 @@ def metrics_job(
     *,
     fmt: str | None = None,
 ) -> None:
-    """The metrics bundle as JSON, one folder per metric under ``root``."""
-    spend = read_silver_spend(spark, silver_spend_path, fmt)
-    bookings = read_silver_bookings(spark, silver_bookings_path, fmt)
-    for name, table in metric_tables(spend, bookings).items():
-        export_json(table, f"{root}/{name}")
+    """The metrics bundle as JSON, one folder per metric under ``root``. Silver is scanned once."""
+    with metric_inputs(
+        read_silver_spend(spark, silver_spend_path, fmt), read_silver_bookings(spark, silver_bookings_path, fmt)
+    ) as inputs:
+        for name, table in metric_tables(*inputs).items():
+            export_json(table, f"{root}/{name}")
 
 
 GOLD_TABLES = [

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from adlake.functions import columns as c
 from adlake.operators import (
     bitmaps,
+    channel_history,
     gold_bookings,
     gold_combined,
     gold_extra,
@@ -744,6 +745,35 @@ def _registered_table(spark, sf):
     return spark.sql("SELECT booking_date, channel, booked_call_count FROM checked_daily_calls")
 
 
+# --- channels that change -----------------------------------------------------------------
+
+
+def _named_events(spark: SparkSession, sf: str, few: int) -> DataFrame:
+    """Events by the name their type had on their day. Every type changes its name after four
+    days; one has none for a while, and one loses it in the end."""
+    events = views.table(spark, sf, "events").select("event_id", "event_type", F.to_date("ts").alias("day"))
+    first = events.groupBy("event_type").agg(F.min("day").alias("first"))
+
+    def entry(name: str, begins: int, ends=None):
+        until = F.date_add("first", ends) if ends is not None else F.lit(None).cast("date")
+        named = F.concat("event_type", F.lit(name)).alias("channel")
+        return first.select(F.col("event_type").alias("event_type_uri"), named, F.date_add("first", begins).alias("valid_from"), until.alias("valid_to"))
+
+    late = F.col("event_type_uri") == "click"
+    history = entry("/old", 0).unionByName(entry("/new", 4, 12).where(~late)).unionByName(entry("/late", 6).where(late))
+    named = channel_history.with_channel_at(events, history, at="day", key="event_type", few=few)
+    return named.groupBy("day", "channel").agg(F.count("*").alias("events"))
+
+
+NAMED_EVENTS_SQL = """WITH e AS (SELECT event_type AS t, CAST(ts AS DATE) AS day, MIN(CAST(ts AS DATE)) OVER (PARTITION BY event_type) AS first FROM events)
+  SELECT day, CASE WHEN t = 'click' THEN CASE WHEN day < first + 6 THEN t || '/old' ELSE t || '/late' END
+      WHEN day < first + 4 THEN t || '/old' WHEN day < first + 12 THEN t || '/new' END AS channel, COUNT(*) AS events
+  FROM e GROUP BY ALL"""
+
+check("channel_as_of", NAMED_EVENTS_SQL)(lambda spark, sf: _named_events(spark, sf, channel_history.FEW))
+check("channel_as_of_sorted", NAMED_EVENTS_SQL)(lambda spark, sf: _named_events(spark, sf, 0))
+
+
 # --- bitmaps ----------------------------------------------------------------------------
 
 
@@ -994,6 +1024,69 @@ JOB_SOURCES_SQL = f"""{WEBHOOKS_SQL}, b AS (SELECT * FROM w WHERE {VALID_WEBHOOK
   s AS (SELECT spend_date, channel, CAST(spend_usd AS DECIMAL(18,2)) AS usd FROM x WHERE reasons = '')"""
 
 
+@check("published_daily_cpb", _cpb_sql("metric_date, channel", JOB_SOURCES_SQL))
+def _published_daily_cpb(spark, sf):
+    """The sequence published twice, first over a part of the spend, and read by its registered name."""
+    root, spend = staging_path(spark, "lake"), staging_path(spark, "bronze-spend")
+    records = views.bronze_spend(spark, sf)
+    bookings = views.bronze_bookings_on_disk(spark, sf)
+    for part in (records.where(F.pmod(F.xxhash64("source_file_name"), F.lit(2)) == 0), records):
+        part.write.mode("overwrite").json(spend)
+        jobs.refresh_lakehouse(
+            spark, bookings, spend, root, mode="publish", database="published_checks",
+            channels=views.CHANNELS, spend_channels=views.SPEND_CHANNELS, fmt="parquet",
+        )
+    return spark.table("published_checks.daily_cpb_by_channel").select(reports.COLUMNS["daily_cpb_by_channel"])
+
+
+@check(
+    "appended_spend",
+    f"WITH {SPEND_RECORDS_SQL} SELECT spend_date, channel, spend_usd FROM x WHERE reasons = ''",
+)
+def _appended_spend(spark, sf):
+    """Spend files appended to silver in two runs, each of which is run again with nothing new."""
+    target, bronze = staging_path(spark, "silver"), staging_path(spark, "bronze-spend")
+    part = F.pmod(F.xxhash64("source_file_name"), F.lit(2))
+    for number in (0, 1):
+        views.bronze_spend(spark, sf).where(part == number).write.mode("append").json(bronze)
+        for _ in range(2):
+            jobs.silver_spend_job(spark, bronze, target, mode="append", channels=views.SPEND_CHANNELS, fmt="parquet")
+    return readers.read_silver_spend(spark, target, "parquet").select("spend_date", "channel", "spend_usd")
+
+
+@check(
+    "documents_to_silver",
+    f"WITH {WEBHOOKS_SQL} SELECT {SILVER_SELECT_SQL} FROM w WHERE {VALID_WEBHOOK_SQL}",
+)
+def _documents_to_silver(spark, sf):
+    """Folders of whole JSON documents, each an array of events, beside files that the glob leaves out."""
+    root = staging_path(spark, "documents")
+    events = views.bronze_bookings(spark, sf)
+    part = F.pmod(F.xxhash64(F.to_json(F.struct("raw_event"))), F.lit(16)).alias("part")
+    rows = events.select(part, F.struct(*events.columns).alias("row"))
+    rows.groupBy("part").agg(F.to_json(F.collect_list("row")).alias("value")).write.partitionBy("part").text(f"{root}/a")
+    events.write.json(f"{root}/a/part=0/skipped")
+    read = readers.read_bronze_bookings(spark, root, layout="documents", glob="*.txt")
+    return silver_bookings.bookings(read, views.CHANNELS).select(SILVER_FIELDS)
+
+
+@check(
+    "webhook_intake_job",
+    f"""WITH {REQUESTS_SQL} SELECT {SILVER_SELECT_SQL} FROM q
+      WHERE broken IS NULL AND {VALID_WEBHOOK_SQL}""",
+)
+def _webhook_intake_job(spark, sf):
+    """Logged requests taken in by the job, twice, and read into silver."""
+    requests, bronze = staging_path(spark, "requests"), staging_path(spark, "bronze")
+    views.webhook_requests(spark, sf).select("body", "isBase64Encoded").write.json(requests)
+    for _ in range(2):
+        jobs.webhook_intake_job(
+            spark, requests, bronze, rejects=staging_path(spark, "rejects"), ingested_at=INTAKE_AT, channels=views.CHANNELS
+        )
+    read = readers.read_bronze_bookings(spark, bronze, layout="lines")
+    return silver_bookings.bookings(read, views.CHANNELS).select(SILVER_FIELDS)
+
+
 @check("refreshed_daily_cpb", _cpb_sql("metric_date, channel", JOB_SOURCES_SQL))
 def _refreshed_daily_cpb(spark, sf):
     gold = readers.read_table(spark, f"{_refreshed(spark, sf)}/gold/daily_cpb_by_channel", "parquet")
