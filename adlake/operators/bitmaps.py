@@ -21,7 +21,7 @@ from adlake.operators.gold_bookings import CALLS, CUBE, valid_bookings
 from adlake.operators.grains import GRAIN, at_grains, grain_columns
 from adlake.operators.places import placed
 from adlake.session import staged
-from adlake.sources.versions import current, merged, read_version, write_run
+from adlake.sources.versions import compacted, current, read_version, write_run
 
 ID, NUMBER = "booking_id", "number"
 
@@ -29,16 +29,15 @@ ID, NUMBER = "booking_id", "number"
 DAILY = "daily_calls_by_source"
 KEPT = {name: keys for name, keys in CUBE.items() if name not in ("booking_trends", "everything")}
 LAYOUT = [GRAIN, "booking_date"]
-#: Runs of a table after which they are made one.
-MOST_RUNS = 32
+#: Runs of a table beyond which the small ones are merged.
+MOST_RUNS = 16
 
 
 def _added(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     spark, by = df.sparkSession, partition_by or []
     now = current(spark, path)
     write_run(df, path, onto=now.runs if now else (), partition_by=by, fmt="parquet").commit()
-    if len(current(spark, path).runs) > MOST_RUNS:
-        merged(spark, path, partition_by=by, fmt="parquet").commit()
+    compacted(spark, path, most=MOST_RUNS, partition_by=by, fmt="parquet")
 
 
 def booking_numbers(ids: DataFrame, path: str) -> DataFrame:

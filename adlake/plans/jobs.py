@@ -11,6 +11,7 @@ Run ``python -m adlake.plans.jobs --help`` for the command line.
 from __future__ import annotations
 
 import argparse
+import hashlib
 import json
 from collections.abc import Collection, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -48,7 +49,9 @@ from adlake.sources.versions import (
     Pending,
     append,
     current,
+    fingerprint,
     is_written_in_place,
+    marks,
     new_inputs,
     run_folder,
     taken_in,
@@ -71,14 +74,39 @@ class Written:
     fmt: str | None
 
 
-def _write_all(spark: SparkSession, tables: list[Written]) -> None:
+#: Mark of a published table: what it was made of.
+MADE_OF = "made of"
+
+
+class Progress:
+    """Which steps of a sequence are done already: those whose tables are marked with what their
+    inputs amount to now. Inputs are told by paths, sizes and times of files, or by runs."""
+
+    def __init__(self, spark: SparkSession, resume: bool):
+        self.spark, self.resume = spark, resume
+
+    def of(self, inputs: Collection[str], **parameters) -> str | None:
+        """The fingerprint of a step; None where steps are not to be skipped."""
+        if not self.resume:
+            return None
+        found = {path: fingerprint(self.spark, path) for path in inputs}
+        return hashlib.sha256(json.dumps([found, parameters], sort_keys=True, default=str).encode()).hexdigest()
+
+    def done(self, made_of: str | None, targets: Collection[str]) -> bool:
+        return made_of is not None and all(marks(self.spark, path).get(MADE_OF) == made_of for path in targets)
+
+
+def _write_all(spark: SparkSession, tables: list[Written], made_of: str | None = None) -> None:
     """Write a job's tables. In the publishing modes all are written first and then committed one
     right after the other, so that a job which dies while writing has changed none of them."""
     pending: list[Pending] = []
     for table in tables:
         if table.mode.startswith("publish"):
             pending.append(
-                pending_table(table.df, table.path, mode=table.mode, partition_by=table.partition_by, fmt=table.fmt)
+                pending_table(
+                    table.df, table.path, mode=table.mode, partition_by=table.partition_by, fmt=table.fmt,
+                    noted={MADE_OF: made_of} if made_of else None,
+                )
             )
         else:
             write_table(table.df, table.path, mode=table.mode, partition_by=table.partition_by, fmt=table.fmt)
@@ -94,7 +122,7 @@ def _dated_rejects(bad: DataFrame) -> DataFrame:
 
 
 def _publish_silver(
-    checked: DataFrame, accepted, partition: str, target: str, rejects: str | None, *, mode, strict, fmt
+    checked: DataFrame, accepted, partition: str, target: str, rejects: str | None, *, mode, strict, fmt, made_of=None
 ) -> None:
     with staged(checked) if strict or rejects else nullcontext(checked) as rows:
         if strict:
@@ -107,7 +135,7 @@ def _publish_silver(
                 tables.append(Written(_dated_rejects(bad), rejects, mode, [REJECT_PARTITION], fmt))
             else:
                 tables.append(Written(bad, rejects, mode, [], fmt))
-        _write_all(checked.sparkSession, tables)
+        _write_all(checked.sparkSession, tables, made_of)
 
 
 def _append_silver(spark, read, check, accepted, partition, source, target, rejects, *, strict, fmt) -> None:
@@ -205,6 +233,7 @@ def silver_bookings_job(
     layout: str = "lines",
     channels: Mapping[str, str] = CHANNEL_BY_EVENT_TYPE,
     fmt: str | None = None,
+    made_of: str | None = None,
 ) -> None:
     """Bronze events to silver. ``append`` adds the events of files not taken in yet; the other
     modes make the table, or its partitions, from all of ``source``."""
@@ -226,6 +255,7 @@ def silver_bookings_job(
         mode=mode,
         strict=strict,
         fmt=fmt,
+        made_of=made_of,
     )
 
 
@@ -240,6 +270,7 @@ def silver_spend_job(
     layout: str = "lines",
     channels: Collection[str] = SPEND_CHANNELS,
     fmt: str | None = None,
+    made_of: str | None = None,
 ) -> None:
     """Spend files to silver, in the modes of ``silver_bookings_job``."""
     if mode == "append":
@@ -260,6 +291,7 @@ def silver_spend_job(
         mode=mode,
         strict=strict,
         fmt=fmt,
+        made_of=made_of,
     )
 
 
@@ -271,6 +303,7 @@ def _write_gold(
     mode: str,
     fmt: str | None,
     paths: Mapping[str, str] | None,
+    made_of: str | None = None,
 ) -> None:
     # a table without partitions is replaced whole
     whole = {"replace_partitions": "overwrite", "publish_partitions": "publish"}
@@ -288,6 +321,7 @@ def _write_gold(
             )
             for name, table in tables.items()
         ],
+        made_of,
     )
 
 
@@ -299,12 +333,13 @@ def gold_bookings_job(
     mode: str = "overwrite",
     fmt: str | None = None,
     paths: Mapping[str, str] | None = None,
+    made_of: str | None = None,
 ) -> None:
     """Six booking tables under ``root`` (or at ``paths`` by table name)."""
     rows = read_silver_bookings(spark, silver, fmt)
     with staged(gold_bookings.booking_cube(rows, heavy_ids(rows, "booking_id"))) as cube:
         tables = gold_bookings.tables_from_cube(cube)
-        _write_gold(spark, tables, root, gold_bookings.PARTITIONS, mode, fmt, paths)
+        _write_gold(spark, tables, root, gold_bookings.PARTITIONS, mode, fmt, paths, made_of)
 
 
 def gold_spend_job(
@@ -315,10 +350,11 @@ def gold_spend_job(
     mode: str = "overwrite",
     fmt: str | None = None,
     paths: Mapping[str, str] | None = None,
+    made_of: str | None = None,
 ) -> None:
     with staged(gold_spend.daily_totals(read_silver_spend(spark, silver, fmt))) as totals:
         tables = gold_spend.tables_from_totals(totals)
-        _write_gold(spark, tables, root, gold_spend.PARTITIONS, mode, fmt, paths)
+        _write_gold(spark, tables, root, gold_spend.PARTITIONS, mode, fmt, paths, made_of)
 
 
 def gold_combined_job(
@@ -330,12 +366,13 @@ def gold_combined_job(
     mode: str = "overwrite",
     fmt: str | None = None,
     paths: Mapping[str, str] | None = None,
+    made_of: str | None = None,
 ) -> None:
     spend = read_silver_spend(spark, silver_spend_path, fmt)
     bookings = read_silver_bookings(spark, silver_bookings_path, fmt)
     with staged(gold_combined.combined_cube(spend, bookings, heavy_ids(bookings, "booking_id"))) as cube:
         tables = gold_combined.tables_from_cube(cube)
-        _write_gold(spark, tables, root, gold_combined.PARTITIONS, mode, fmt, paths)
+        _write_gold(spark, tables, root, gold_combined.PARTITIONS, mode, fmt, paths, made_of)
 
 
 def metrics_job(
@@ -354,15 +391,10 @@ def metrics_job(
             export_json(table, f"{root}/{name}")
 
 
-GOLD_TABLES = [
-    *gold_bookings.GRAINS,
-    "booking_dashboard_kpis",
-    "daily_spend_by_channel",
-    "channel_spend_summary",
-    "cpb_by_channel",
-    "daily_cpb_by_channel",
-    "combined_dashboard_kpis",
-]
+BOOKING_TABLES = [*gold_bookings.GRAINS, "booking_dashboard_kpis"]
+SPEND_TABLES = ["daily_spend_by_channel", "channel_spend_summary"]
+COMBINED_TABLES = ["cpb_by_channel", "daily_cpb_by_channel", "combined_dashboard_kpis"]
+GOLD_TABLES = [*BOOKING_TABLES, *SPEND_TABLES, *COMBINED_TABLES]
 
 
 def register_gold(
@@ -386,36 +418,46 @@ def refresh_lakehouse(
     spend_channels: Collection[str] = SPEND_CHANNELS,
     database: str | None = None,
     fmt: str | None = None,
+    resume: bool = False,
 ) -> None:
     """Everything: both silver tables, their rejects, all gold tables, and, when a database is
     named, their registration. Spend and bookings need nothing of each other until they are
     combined, so their jobs run side by side.
 
     With ``publish`` a reader never sees a table half written: silver is committed per job, the
-    gold tables of a job together, and names move to the new versions at the end."""
+    gold tables of a job together, and names move to the new versions at the end. ``resume`` then
+    leaves out the steps whose tables were made of what their inputs are now: a sequence that died
+    goes on where it was, and a changed file repeats only what depends on it."""
+    if resume and mode != "publish":
+        raise ValueError("only published tables know what they were made of: resume needs mode publish")
     bookings, spend = f"{root}/silver/bookings", f"{root}/silver/spend"
     gold = f"{root}/gold"
     common = {"mode": mode, "strict": strict, "layout": layout, "fmt": fmt}
+    progress = Progress(spark, resume)
+
+    def silver_step(job, source: str, target: str, rejects: str, known) -> None:
+        made_of = progress.of([source], step=job.__name__, known=known, strict=strict, layout=layout, fmt=fmt)
+        if not progress.done(made_of, [target, rejects]):
+            job(spark, source, target, rejects=rejects, channels=known, made_of=made_of, **common)
+
+    def gold_step(job, inputs: list[str], names: Collection[str]) -> None:
+        made_of = progress.of(inputs, step=job.__name__, fmt=fmt)
+        if not progress.done(made_of, [f"{gold}/{name}" for name in names]):
+            job(spark, *inputs, gold, mode=mode, fmt=fmt, made_of=made_of)
 
     def spend_branch() -> None:
-        silver_spend_job(
-            spark, bronze_spend, spend,
-            rejects=f"{root}/rejects/spend", channels=spend_channels, **common,
-        )
-        gold_spend_job(spark, spend, gold, mode=mode, fmt=fmt)
+        silver_step(silver_spend_job, bronze_spend, spend, f"{root}/rejects/spend", spend_channels)
+        gold_step(gold_spend_job, [spend], SPEND_TABLES)
 
     def booking_branch() -> None:
-        silver_bookings_job(
-            spark, bronze_bookings, bookings,
-            rejects=f"{root}/rejects/bookings", channels=channels, **common,
-        )
-        gold_bookings_job(spark, bookings, gold, mode=mode, fmt=fmt)
+        silver_step(silver_bookings_job, bronze_bookings, bookings, f"{root}/rejects/bookings", channels)
+        gold_step(gold_bookings_job, [bookings], BOOKING_TABLES)
 
     with ThreadPoolExecutor(max_workers=2) as pool:
         running = [pool.submit(inheritable_thread_target(spark)(branch)) for branch in (spend_branch, booking_branch)]
     for branch in running:
         branch.result()
-    gold_combined_job(spark, spend, bookings, gold, mode=mode, fmt=fmt)
+    gold_step(gold_combined_job, [spend, bookings], COMBINED_TABLES)
     if database:
         register_gold(spark, gold, database=database, fmt=fmt)
 
@@ -471,6 +513,7 @@ def _parser() -> argparse.ArgumentParser:
     everything.add_argument("--bronze-spend", required=True)
     everything.add_argument("--root", required=True)
     everything.add_argument("--database")
+    everything.add_argument("--resume", action="store_true", help="with publish: leave out steps that are done")
     return parser
 
 
@@ -514,7 +557,7 @@ def main(argv: list[str] | None = None) -> None:
         refresh_lakehouse(
             spark, args.bronze_bookings, args.bronze_spend, args.root,
             strict=args.strict, layout=args.layout, channels=by_type,
-            spend_channels=accepted, database=args.database, **table,
+            spend_channels=accepted, database=args.database, resume=args.resume, **table,
         )
     else:
         job = gold_bookings_job if args.job == "gold-bookings" else gold_spend_job

@@ -41,6 +41,10 @@ class Folder:
         if not self.fs.rename(self._at(aside), self._at(name)):
             raise FileExistsError(f"{self.path}/{name}")
 
+    def size(self, name: str) -> int:
+        """Bytes of all files under a name."""
+        return self.fs.getContentSummary(self._at(name)).getLength()
+
     def delete(self, name: str) -> None:
         self.fs.delete(self._at(name), True)
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from contextlib import ExitStack, contextmanager
 
 from pyspark.errors import AnalysisException
@@ -75,14 +75,21 @@ def write_table(
 
 
 def pending_table(
-    df: DataFrame, path: str, *, mode: str, partition_by: Sequence[str] = (), fmt: str | None = None
+    df: DataFrame,
+    path: str,
+    *,
+    mode: str,
+    partition_by: Sequence[str] = (),
+    fmt: str | None = None,
+    noted: Mapping[str, str | int] | None = None,
 ) -> Pending:
-    """A version by ``publish`` or ``publish_partitions`` that is written and not yet committed."""
+    """A version by ``publish`` or ``publish_partitions`` that is written and not yet committed;
+    a published one with the marks in ``noted``."""
     if is_written_in_place(df.sparkSession, path):
         raise ValueError(f"{path} was written in place: publish to another path, or delete it first")
     if mode == "publish_partitions" and partition_by:
         return publish_partitions(df, path, partition_by=partition_by, fmt=fmt)
-    return publish(df, path, partition_by=partition_by, fmt=fmt)
+    return publish(df, path, partition_by=partition_by, fmt=fmt, noted=noted)
 
 
 def write_bronze(

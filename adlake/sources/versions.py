@@ -13,11 +13,12 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from adlake.session import table_format
@@ -59,15 +60,23 @@ def run_folder(path: str, run: str) -> str:
 
 @dataclass(frozen=True)
 class Shape:
-    """The columns of a run and those it is laid out by, which come last."""
+    """The columns of a run and those it is laid out by, which come last, and what its writer
+    noted about the table as of this run."""
 
     schema: StructType
     partition_by: tuple[str, ...]
+    marks: Mapping[str, str | int]
 
 
 def shape_of(spark: SparkSession, path: str, run: str) -> Shape:
     known = json.loads(Folder(spark, path).text(f"_runs/{RUN}={run}/{SHAPE}"))
-    return Shape(StructType.fromJson(known["schema"]), tuple(known["partition_by"]))
+    return Shape(StructType.fromJson(known["schema"]), tuple(known["partition_by"]), known["marks"])
+
+
+def marks(spark: SparkSession, path: str) -> dict[str, str | int]:
+    """What has been noted about the current version; empty without one."""
+    now = current(spark, path)
+    return dict(shape_of(spark, path, now.runs[-1]).marks) if now else {}
 
 
 def read_version(spark: SparkSession, path: str, version: Version, fmt: str | None = None) -> DataFrame:
@@ -120,11 +129,13 @@ def write_run(
     partition_by: Sequence[str] = (),
     fmt: str | None = None,
     inputs: DataFrame | None = None,
+    noted: Mapping[str, str | int] | None = None,
 ) -> Pending:
     """Write a frame aside. Committed, the table consists of it and of the runs in ``onto``.
 
-    ``inputs`` (path, length, modificationTime) are the files it was made from. A partitioned
-    write is rebalanced as by ``write_table``.
+    ``inputs`` (path, length, modificationTime) are the files it was made from; ``noted`` are
+    marks of the version it makes, committed with it. A partitioned write is rebalanced as by
+    ``write_table``.
     """
     spark = df.sparkSession
     now = current(spark, path)
@@ -136,16 +147,23 @@ def write_run(
     (writer.partitionBy(*partition_by) if partition_by else writer).save(target)
     fields = sorted(df.schema.fields, key=lambda field: field.name in partition_by)
     fields = [StructField(field.name, field.dataType, True) for field in fields]
-    shape = {"schema": StructType(fields).jsonValue(), "partition_by": list(partition_by)}
+    shape = {"schema": StructType(fields).jsonValue(), "partition_by": list(partition_by), "marks": dict(noted or {})}
     Folder(spark, path).put(f"_runs/{RUN}={run}/{SHAPE}", json.dumps(shape))
     if inputs is not None:
         inputs.select(*INPUT_FILES).write.parquet(f"{target}/_inputs")
     return Pending(spark, path, now.number if now else 0, (*onto, run))
 
 
-def publish(df: DataFrame, path: str, *, partition_by: Sequence[str] = (), fmt: str | None = None) -> Pending:
+def publish(
+    df: DataFrame,
+    path: str,
+    *,
+    partition_by: Sequence[str] = (),
+    fmt: str | None = None,
+    noted: Mapping[str, str | int] | None = None,
+) -> Pending:
     """A new version that replaces all there is, still to be committed."""
-    return write_run(df, path, partition_by=partition_by, fmt=fmt)
+    return write_run(df, path, partition_by=partition_by, fmt=fmt, noted=noted)
 
 
 def publish_partitions(df: DataFrame, path: str, *, partition_by: Sequence[str], fmt: str | None = None) -> Pending:
@@ -176,10 +194,11 @@ def input_files(spark: SparkSession, source: str | Iterable[str]) -> DataFrame:
     return files.load(source if isinstance(source, str) else list(source)).select(*INPUT_FILES)
 
 
-def taken_in(spark: SparkSession, path: str) -> DataFrame | None:
-    """The input files of all committed runs, or None where none is recorded."""
+def taken_in(spark: SparkSession, path: str, runs: Sequence[str] | None = None) -> DataFrame | None:
+    """The input files of the given committed runs, or all; None where none is recorded."""
     now, folder = current(spark, path), Folder(spark, path)
-    recorded = [run for run in (now.runs if now else ()) if folder.names(f"_runs/{RUN}={run}/_inputs")]
+    asked = runs if runs is not None else now.runs if now else ()
+    recorded = [run for run in asked if folder.names(f"_runs/{RUN}={run}/_inputs")]
     return spark.read.parquet(*(f"{run_folder(path, run)}/_inputs" for run in recorded)) if recorded else None
 
 
@@ -190,6 +209,16 @@ def new_inputs(spark: SparkSession, source: str, path: str) -> DataFrame:
     return found if known is None else found.join(known, INPUT_FILES, "left_anti")
 
 
+def fingerprint(spark: SparkSession, source: str) -> str:
+    """What the files under a path, or the version there, amount to: changes when one of them does."""
+    now = current(spark, source)
+    if now is not None:
+        return f"runs {','.join(sorted(now.runs))}"
+    each = F.xxhash64(*INPUT_FILES).cast("decimal(38,0)")
+    row = input_files(spark, source).agg(F.count("*").alias("n"), F.sum(each).alias("digest"), F.sum("length").alias("bytes")).first()
+    return f"files {row['n']} {row['digest']} {row['bytes']}"
+
+
 def append(
     df: DataFrame, path: str, *, inputs: DataFrame, partition_by: Sequence[str] = (), fmt: str | None = None
 ) -> Pending:
@@ -213,10 +242,33 @@ def is_written_in_place(spark: SparkSession, path: str) -> bool:
     return current(spark, path) is None and any(not name.startswith(("_", ".")) for name in Folder(spark, path).names(""))
 
 
-def merged(spark: SparkSession, path: str, *, partition_by: Sequence[str] = (), fmt: str | None = None) -> Pending:
-    """All runs of a table as one, which keeps the record of their inputs: compaction."""
+def merged(
+    spark: SparkSession, path: str, *, runs: Sequence[str] | None = None, partition_by: Sequence[str] = (), fmt: str | None = None
+) -> Pending:
+    """The given runs of a table, or all, as one, which keeps the record of their inputs."""
     now = current(spark, path)
     if now is None:
         raise ValueError(f"{path} has no version")
-    return write_run(read_version(spark, path, now, fmt), path, partition_by=partition_by, fmt=fmt, inputs=taken_in(spark, path))
+    chosen = [run for run in now.runs if runs is None or run in runs]
+    last = shape_of(spark, path, now.runs[-1])
+    rows = read_version(spark, path, Version(now.number, tuple(chosen)), fmt)
+    others = [run for run in now.runs if run not in chosen]
+    inputs = taken_in(spark, path, chosen)
+    return write_run(rows, path, onto=others, partition_by=partition_by, fmt=fmt, inputs=inputs, noted=last.marks)
+
 
+def compacted(
+    spark: SparkSession, path: str, *, most: int, partition_by: Sequence[str] = (), fmt: str | None = None
+) -> Version | None:
+    """Where a table has more than ``most`` runs, makes one of all but the largest ``most // 2``.
+
+    Small runs are merged often and large ones seldom, so that a row is rewritten a number of
+    times that grows with the logarithm of the table, and a date has a few files per run left.
+    """
+    now = current(spark, path)
+    if now is None or len(now.runs) <= most:
+        return None
+    folder = Folder(spark, path)
+    by_size = sorted(now.runs, key=lambda run: (folder.size(f"_runs/{RUN}={run}"), run))
+    small = by_size[: len(by_size) - most // 2]
+    return merged(spark, path, runs=small, partition_by=partition_by, fmt=fmt).commit()

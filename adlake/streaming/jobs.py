@@ -27,6 +27,7 @@ from adlake.session import build_session, staged, table_format
 from adlake.sources.intake import BOOKING_ENVELOPE, BOOKING_PARTITIONS, read_requests, webhook_intake
 from adlake.sources.readers import read_bronze_bookings, read_table
 from adlake.sources.sinks import stamped, write_table
+from adlake.sources.versions import compacted, current, marks, write_run
 from adlake.streaming.settled import settled_stream
 
 FACTS_PARTITION = "booking_date"
@@ -100,6 +101,50 @@ def silver_stream(
     return _started(sink, checkpoint, every)
 
 
+#: Runs of a streamed table beyond which the small ones are merged.
+MOST_RUNS = 8
+
+
+def silver_version_stream(
+    spark: SparkSession,
+    bronze: str,
+    target: str,
+    checkpoint: str,
+    *,
+    name: str = "silver",
+    channels: Mapping[str, str] = CHANNEL_BY_EVENT_TYPE,
+    layout: str = "lines",
+    most_runs: int = MOST_RUNS,
+    fmt: str | None = None,
+    every: str | None = None,
+    files_per_batch: int | None = None,
+) -> StreamingQuery:
+    """Bronze to silver as a table with versions, kept compact while the stream goes on.
+
+    A batch is one run, committed together with its number under the stream's ``name``: a batch that
+    is replayed is told by that and left out. Readers see whole batches. Small runs are merged as
+    they add up, so a date ends in a few files; the stream's own log knows nothing of files and stays valid.
+    """
+    events = read_bronze_bookings(spark, bronze, layout=layout, streaming=True, files_per_batch=files_per_batch)
+    silver = silver_bookings.bookings(events, channels)
+    by, mark = [silver_bookings.PARTITION], f"batch of {name}"
+
+    def add(batch: DataFrame, number: int) -> None:
+        known = marks(spark, target)
+        if known.get(mark, -1) >= number:
+            return
+        now = current(spark, target)
+        # staged by the batch's session, which runs without AQE; the caller's does the rest
+        with staged(batch) as rows:
+            own = stamped(spark.read.schema(rows.schema).parquet(*rows.inputFiles()), SILVER_STAMP)
+            write_run(
+                own, target, onto=now.runs if now else (), partition_by=by, fmt=fmt, noted=known | {mark: number}
+            ).commit()
+        compacted(spark, target, most=most_runs, partition_by=by, fmt=fmt)
+
+    return _started(silver.writeStream.foreachBatch(add), checkpoint, every)
+
+
 def first_deliveries(silver: DataFrame, within: str) -> DataFrame:
     """One row per booking id among rows taken in ``within`` of each other.
 
@@ -280,7 +325,9 @@ def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="adlake streams")
     streams = parser.add_subparsers(dest="stream", required=True)
     streams.add_parser("intake", parents=[shared]).add_argument("--rejects")
-    streams.add_parser("silver", parents=[shared, of_bronze]).add_argument("--once-within")
+    silver = streams.add_parser("silver", parents=[shared, of_bronze])
+    silver.add_argument("--once-within")
+    silver.add_argument("--versions", action="store_true", help="a table with versions, kept compact")
     streams.add_parser("closed-days", parents=[shared, of_bronze]).add_argument("--lateness", default="1 day")
     settled = streams.add_parser("settled", parents=[shared, of_bronze], help="closed days, late and repeated rows reported")
     settled.add_argument("--lateness", default="1 day")
@@ -304,7 +351,11 @@ def main(argv: list[str] | None = None) -> None:
     else:
         common |= {"layout": args.layout, "fmt": args.fmt}
         where = (spark, args.source, args.target, args.checkpoint)
-        if args.stream == "silver":
+        if args.stream == "silver" and args.versions:
+            if args.once_within:
+                raise SystemExit("--once-within is for the stream without versions")
+            queries = [silver_version_stream(*where, **common)]
+        elif args.stream == "silver":
             queries = [silver_stream(*where, once_within=args.once_within, **common)]
         elif args.stream == "closed-days":
             queries = [closed_days_stream(*where, lateness=args.lateness, **common)]
