@@ -13,9 +13,9 @@ What meets is not expanded into pairs at once:
 1. Equal sets are one node, the smallest id.
 2. Each node is compared with one node: the smallest of a key, of those it shares most keys with.
    That joins large groups of near copies by as many comparisons as they have members.
-3. Under keys where more than one component is left, all members of different components are
-   compared in blocks of bounded size: by signature, then by a parity sketch of the whole sets.
-   What is near is confirmed.
+3. Under keys where more than one component is left, members of different components are
+   compared in blocks of bounded size, those of the key's largest component not among themselves:
+   by signature, then by a parity sketch of the whole sets. What is near is confirmed.
 
 The parity sketch toggles one of ``PARITY_BITS`` bits per element. Where two sketches differ, the
 sets differ, so their number of differing bits never exceeds that of differing elements: a pair
@@ -249,6 +249,38 @@ def _relabelled(ids: DataFrame, column: str, labels: DataFrame) -> DataFrame:
     return ids.join(found, column, "left").withColumn(column, F.coalesce("_to", column)).drop("_to")
 
 
+def _groups_to_compare(left: DataFrame, staging: Staging) -> DataFrame:
+    """The members (key, id, component, n of the key) with the groups (key, low, high) they are
+    compared in, and their block there.
+
+    Up to ``BLOCK`` members of a key are one group. Of more, those outside the key's largest
+    component are cut into blocks that meet each other, and the blocks of the largest one, whose
+    members need no comparison among themselves. With n members, m of them outside, that is m * n
+    comparisons and not n * n.
+    """
+    names = ["key", "id", "component", "block", "low", "high"]
+    nothing = [F.lit(0).alias(name) for name in ("block", "low", "high")]
+    whole = left.where(F.col("n") <= BLOCK).select("key", "id", "component", *nothing)
+    large = left.where(F.col("n") > BLOCK)
+    sizes = large.groupBy("key", "component").agg(F.count("*").alias("of"), F.max("n").alias("n"))
+    largest = F.max(F.struct("of", "component"))
+    parts = sizes.groupBy("key").agg(largest.alias("top"), F.max("n").alias("n")).select(
+        "key",
+        F.col("top.component").alias("largest"),
+        F.ceil(F.col("top.of") / BLOCK).cast("int").alias("inner"),
+        F.ceil((F.col("n") - F.col("top.of")) / BLOCK).cast("int").alias("outer"),
+    )
+    cut = large.join(staging.keep(parts), "key")
+    outside = F.col("component") != F.col("largest")
+    number = F.pmod(F.xxhash64("id"), F.when(outside, F.col("outer")).otherwise(F.col("inner"))).cast("int")
+    # blocks of the largest component are numbered on from the others
+    cut = cut.withColumn("block", F.when(outside, number).otherwise(F.col("outer") + number))
+    every = F.when(outside, F.sequence(F.lit(0), F.col("outer") + F.col("inner") - 1)).otherwise(F.sequence(F.lit(0), F.col("outer") - 1))
+    met = cut.withColumn("other", F.explode(every))
+    met = met.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+    return whole.unionByName(met.select(*names))
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the smallest id that links lead
     to, its own included), kept (whether that is its own).
@@ -296,16 +328,9 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
             labelled.groupBy("key")
             .agg(F.min("component").alias("m"), F.max("component").alias("x"), F.count("*").alias("n"))
             .where(F.col("m") < F.col("x"))
-            .select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-        )
-        left = labelled.join(open_keys, "key").select(
-            "key", "id", "component", "blocks", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block")
+            .select("key", "n")
         )
-        other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-        placed = left.withColumn("other", other).select(
-            "key", "id", "component", "block",
-            F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-        )
+        placed = _groups_to_compare(labelled.join(open_keys, "key"), staging)
         grouped = (
             staging.keep(placed)
             .join(signed, "id")
