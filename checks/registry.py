@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from adlake import schemas
 from adlake.functions import columns as c
 from adlake.operators import (
     bitmaps,
     channel_history,
+    drift,
     gold_bookings,
     gold_combined,
     gold_extra,
@@ -699,6 +702,28 @@ def _manifest_names(spark, sf):
     return manifest.manifest_names(_page_files(spark, sf).select(text.alias("value")))
 
 
+# --- drift of payloads -------------------------------------------------------------------
+
+
+@check(
+    "payload_drift",
+    f"""WITH {WEBHOOKS_SQL}
+      SELECT CAST(ts AS DATE) AS day, 'payload.surprise' AS path, 'unlisted' AS change, 'OBJECT' AS kind, COUNT(*) AS events
+      FROM w WHERE k % 13 = 0 GROUP BY ALL
+      UNION ALL SELECT CAST(ts AS DATE), 'payload.scheduled_event.name', 'type', 'BIGINT', COUNT(*) FROM w WHERE k % 29 = 0 GROUP BY ALL""",
+)
+def _payload_drift(spark, sf):
+    """Events with a field that no schema lists, and with one that has another type."""
+    events, k = views.webhook_events(spark, sf), F.col("k")
+    text = F.to_json("raw_event")
+    text = F.when(k % 13 == 0, F.replace(text, F.lit('"payload":{'), F.lit('"payload":{"surprise":{"a":[1]},'))).otherwise(text)
+    text = F.when(k % 29 == 0, F.replace(text, F.lit('"name":"Intro call"'), F.lit('"name":7'))).otherwise(text)
+    rows = c.settled(events.select(F.to_date("ts").alias("day"), F.parse_json(text).alias("payload")))
+    declared = StructType.fromDDL(f"e {schemas.WEBHOOK_EVENT}")["e"].dataType
+    found = drift.drift(drift.fields_seen(rows, day="day", payload="payload"), declared)
+    return found.where("change <> 'absent'")
+
+
 # --- sinks and registration --------------------------------------------------------------
 
 
