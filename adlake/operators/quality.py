@@ -7,10 +7,10 @@ always agree; a condition that is NULL counts as not met in either.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from adlake.functions.columns import all_of
@@ -72,6 +72,27 @@ def raise_on_rejects(checked: DataFrame) -> None:
         raise InvalidRows(f"invalid rows in strict mode, for instance: {list(found[0][0])}")
 
 
+#: Names of what ``watched`` counts beside the reasons.
+ROWS, BROKEN = "rows", "broken_rows"
+
+
+def watched(checked: DataFrame, reasons: Iterable[str]) -> tuple[DataFrame, Observation]:
+    """The checked rows, and the numbers of rows, of rows that break a rule, and of rows per
+    reason. They are counted while the rows are written for whatever purpose, without a pass of
+    their own, and are there when that is done."""
+    seen = Observation()
+    per_reason = [F.count_if(F.array_contains(REASONS, reason)).alias(reason) for reason in dict.fromkeys(reasons)]
+    broken = F.count_if(F.size(REASONS) > 0).alias(BROKEN)
+    return checked.observe(seen, F.count("*").alias(ROWS), broken, *per_reason), seen
+
+
+def raise_on_counts(counts: Mapping[str, int]) -> None:
+    """Strict mode, from what ``watched`` has counted."""
+    if counts[BROKEN]:
+        found = {name: n for name, n in counts.items() if n and name not in (ROWS, BROKEN)}
+        raise InvalidRows(f"invalid rows in strict mode: {counts[BROKEN]} of {counts[ROWS]}, by reason {found}")
+
+
 def reason_counts(checked: DataFrame) -> DataFrame:
     return (
         rejected_rows(checked)

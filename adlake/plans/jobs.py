@@ -26,7 +26,7 @@ from adlake.fixed_values import CHANNEL_BY_EVENT_TYPE, SPEND_CHANNELS
 from adlake.operators import gold_bookings, gold_combined, gold_spend, silver_bookings, silver_spend
 from adlake.operators.gold_extra import metric_inputs, metric_tables
 from adlake.operators.grains import heavy_ids
-from adlake.operators.quality import raise_on_rejects, rejected_rows, valid_rows
+from adlake.operators.quality import BROKEN, ROWS, raise_on_counts, rejected_rows, valid_rows, watched
 from adlake.session import build_session, staged
 from adlake.sources.intake import (
     BOOKING_ENVELOPE,
@@ -122,11 +122,26 @@ def _dated_rejects(bad: DataFrame) -> DataFrame:
 
 
 def _publish_silver(
-    checked: DataFrame, accepted, partition: str, target: str, rejects: str | None, *, mode, strict, fmt, made_of=None
-) -> None:
-    with staged(checked) if strict or rejects else nullcontext(checked) as rows:
+    checked: DataFrame, reasons, accepted, partition: str, target: str, rejects: str | None, *, mode, strict, fmt, made_of=None
+) -> dict[str, int]:
+    """Write good rows and, where wanted, rejects; returns what ``watched`` counts on the way.
+
+    Without rejects, a published table needs no second look at its rows: in strict mode the version
+    that is written is not committed if one of them broke a rule.
+    """
+    spark = checked.sparkSession
+    seen, counts = watched(checked, reasons)
+    if mode == "publish" and not rejects:
+        noted = {MADE_OF: made_of} if made_of else None
+        silver = stamped(accepted(seen), SILVER_STAMP)
+        version = pending_table(silver, target, mode=mode, partition_by=[partition], fmt=fmt, noted=noted)
+        if strict:
+            raise_on_counts(counts.get)
+        version.commit()
+        return dict(counts.get)
+    with staged(seen) if strict or rejects else nullcontext(seen) as rows:
         if strict:
-            raise_on_rejects(rows)
+            raise_on_counts(counts.get)
         silver = stamped(accepted(rows), SILVER_STAMP)
         tables = [Written(silver, target, mode, [partition], fmt)]
         if rejects:
@@ -135,10 +150,13 @@ def _publish_silver(
                 tables.append(Written(_dated_rejects(bad), rejects, mode, [REJECT_PARTITION], fmt))
             else:
                 tables.append(Written(bad, rejects, mode, [], fmt))
-        _write_all(checked.sparkSession, tables, made_of)
+        _write_all(spark, tables, made_of)
+        return dict(counts.get)
 
 
-def _append_silver(spark, read, check, accepted, partition, source, target, rejects, *, strict, fmt) -> None:
+def _append_silver(
+    spark, read, check, reasons, accepted, partition, source, target, rejects, *, strict, fmt
+) -> dict[str, int]:
     """Add what the files under ``source`` hold that the table has not taken in yet. Which files
     those are is committed with their rows: run again, or after dying anywhere, the job adds
     nothing twice and leaves nothing out."""
@@ -148,14 +166,18 @@ def _append_silver(spark, read, check, accepted, partition, source, target, reje
         # file names only: as many as the planner lists for any scan of them
         paths = [row["path"] for row in inputs.select("path").collect()]
         if not paths:
-            return
-        checked = check(read(paths))
-        with staged(checked) if strict or rejects else nullcontext(checked) as rows:
-            if strict:
-                raise_on_rejects(rows)
+            return {ROWS: 0, BROKEN: 0}
+        seen, counts = watched(check(read(paths)), reasons)
+        with staged(seen) if rejects else nullcontext(seen) as rows:
             if rejects:
+                if strict:
+                    raise_on_counts(counts.get)
                 _append_rejects(spark, stamped(rejected_rows(rows), SILVER_STAMP), inputs, target, rejects, fmt)
-            append(stamped(accepted(rows), SILVER_STAMP), target, inputs=inputs, partition_by=[partition], fmt=fmt).commit()
+            more = append(stamped(accepted(rows), SILVER_STAMP), target, inputs=inputs, partition_by=[partition], fmt=fmt)
+            if strict:
+                raise_on_counts(counts.get)
+            more.commit()
+        return dict(counts.get)
 
 
 def _append_rejects(spark, bad: DataFrame, inputs: DataFrame, target: str, rejects: str, fmt: str | None) -> None:
@@ -234,20 +256,22 @@ def silver_bookings_job(
     channels: Mapping[str, str] = CHANNEL_BY_EVENT_TYPE,
     fmt: str | None = None,
     made_of: str | None = None,
-) -> None:
+) -> dict[str, int]:
     """Bronze events to silver. ``append`` adds the events of files not taken in yet; the other
-    modes make the table, or its partitions, from all of ``source``."""
+    modes make the table, or its partitions, from all of ``source``. Returns the number of rows
+    read, of those that break a rule, and per reason, counted as the rows are written."""
+    reasons = [rule.reason for rule in silver_bookings.rules()]
     if mode == "append":
-        _append_silver(
+        return _append_silver(
             spark,
             lambda paths: read_bronze_bookings(spark, paths, layout=layout),
             lambda bronze: silver_bookings.checked_bookings(bronze, channels),
-            silver_bookings.accepted, silver_bookings.PARTITION, source, target, rejects, strict=strict, fmt=fmt,
+            reasons, silver_bookings.accepted, silver_bookings.PARTITION, source, target, rejects, strict=strict, fmt=fmt,
         )
-        return
     bronze = read_bronze_bookings(spark, source, layout=layout)
-    _publish_silver(
+    return _publish_silver(
         silver_bookings.checked_bookings(bronze, channels),
+        reasons,
         silver_bookings.accepted,
         silver_bookings.PARTITION,
         target,
@@ -271,19 +295,20 @@ def silver_spend_job(
     channels: Collection[str] = SPEND_CHANNELS,
     fmt: str | None = None,
     made_of: str | None = None,
-) -> None:
-    """Spend files to silver, in the modes of ``silver_bookings_job``."""
+) -> dict[str, int]:
+    """Spend files to silver, as ``silver_bookings_job`` does."""
+    reasons = [rule.reason for rule in silver_spend.rules(channels)]
     if mode == "append":
-        _append_silver(
+        return _append_silver(
             spark,
             lambda paths: read_bronze_spend(spark, paths, layout=layout),
             lambda bronze: silver_spend.checked_spend(bronze, channels),
-            silver_spend.accepted, silver_spend.PARTITION, source, target, rejects, strict=strict, fmt=fmt,
+            reasons, silver_spend.accepted, silver_spend.PARTITION, source, target, rejects, strict=strict, fmt=fmt,
         )
-        return
     bronze = read_bronze_spend(spark, source, layout=layout)
-    _publish_silver(
+    return _publish_silver(
         silver_spend.checked_spend(bronze, channels),
+        reasons,
         silver_spend.accepted,
         silver_spend.PARTITION,
         target,
