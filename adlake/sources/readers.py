@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlake.fixed_values import BOOKING_SOURCE_SYSTEM, WANTED_WEBHOOK_EVENT
-from adlake.functions.columns import json_starts_with
+from adlake.functions.columns import json_starts_with, settled
 from adlake.schemas import BARE_EVENT, BRONZE_BOOKING, BRONZE_SPEND, SILVER_BOOKING, SILVER_SPEND
 from adlake.session import table_format
 from adlake.sources.versions import current, read_version
@@ -31,21 +31,26 @@ def _bronze(spark, path, schema, layout, glob, streaming, files_per_batch) -> Da
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
     if layout == "lines":
         return reader.schema(schema).options(**options).json(path).select("*", origin)
-    files = reader.text(path, wholetext=True).select("value", origin)
+    texts = reader.text(path, wholetext=True).select("value", origin)
     struct = f"struct<{schema}>"
     value = F.col("value")
     # the reader takes NaN and infinities, which counting does not
     numeric = F.regexp_replace(value, r":\s*[+-]?(NaN|Infinity|INF)\b", ":0")
     single = F.json_array_length(F.concat(F.lit("["), numeric, F.lit("]"))) == 1
+    # each step computed once a file: beside a generator, expressions run once for every row it makes
+    files = settled(texts.select("value", "source_file_path", F.coalesce(single, F.lit(False)).alias("single")))
     listed = json_starts_with(value, "[")
     elements = F.when(listed, F.from_json(value, f"array<{struct}>", options)).otherwise(
         F.array(F.from_json(value, struct, options))
     )
-    rows = files.select(
-        "source_file_path",
-        F.when(~F.coalesce(single, F.lit(False)), value).alias("_unread"),
-        F.explode_outer(F.when(single, elements)).alias("row"),
+    found = settled(
+        files.select(
+            "source_file_path",
+            F.when(~F.col("single"), value).alias("_unread"),
+            F.when(F.col("single"), elements).alias("elements"),
+        )
     )
+    rows = found.select("source_file_path", "_unread", F.explode_outer("elements").alias("row"))
     names = [field.name for field in rows.schema["row"].dataType.fields]
     return rows.select(
         *(F.col(f"row.{name}").alias(name) for name in names if name != "_corrupt_record"),
