@@ -1,8 +1,10 @@
 """Closed days with nothing lost: late and repeated deliveries come out as rows of their own.
 
-Per booking id the stream keeps how often it was delivered (state in RocksDB, so that it is
-bounded by disk and not by memory). Every delivery gets its number; none is dropped for being
-late or repeated. Each micro-batch then writes, under its own number,
+Beside the checkpoint's own folders, ``deliveries`` keeps how often each batch brought a booking id:
+a table with versions, so that a batch numbers its deliveries by one join instead of a call per id.
+Every delivery gets its number; none is dropped for being late or repeated. A batch reads the ids
+and counts of all batches before, and nothing else of them. Each micro-batch then writes, under its
+own number,
 
 * ``increments``: first deliveries per booking date and channel,
 * ``progress``: the latest booking time it has seen, which closes the days before,
@@ -15,13 +17,12 @@ the same; only which rows count as late depends on the cut.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
-from contextlib import contextmanager
+from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
 from adlake.fixed_values import CHANNEL_BY_EVENT_TYPE
 from adlake.functions import columns as c
@@ -29,46 +30,48 @@ from adlake.operators import gold_bookings, silver_bookings
 from adlake.session import staged
 from adlake.sources.readers import read_bronze_bookings
 from adlake.sources.sinks import write_table
+from adlake.sources.versions import compacted, current, marks, read_version, write_run
 
 CALLS = gold_bookings.CALLS
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: Runs of ``deliveries`` beyond which the small ones are merged.
+MOST_RUNS = 8
 
 COLUMNS = ["booking_id", "channel", "booking_date", "booked_at", "delivered_at", "raw_s3_key"]
-DELIVERY = "booking_id string, channel string, booking_date date, booked_at timestamp, delivered_at string, raw_s3_key string, delivery long"
 INCREMENT = f"channel string, {CALLS} long, booking_date date, batch long"
 PROGRESS = "latest timestamp, batch long"
 
 
-class Deliveries(StatefulProcessor):
-    """Numbers the deliveries of each booking id, from 1, over the whole life of the stream."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.count = handle.getValueState("deliveries", "n long")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803
-        n = self.count.get()[0] if self.count.exists() else 0
-        for row in sorted(rows, key=lambda r: (r.delivered_at or "", r.raw_s3_key or "", r.channel or "")):
-            n += 1
-            yield Row(
-                booking_id=row.booking_id, channel=row.channel, booking_date=row.booking_date, booked_at=row.booked_at,
-                delivered_at=row.delivered_at, raw_s3_key=row.raw_s3_key, delivery=n,
-            )
-        self.count.update((n,))
-
-    def close(self) -> None:
-        pass
-
-
-def numbered_deliveries(silver: DataFrame) -> DataFrame:
-    """The streamed bookings that have a time, each with the number of its delivery."""
-    booked = silver.select(
+def booked_deliveries(silver: DataFrame) -> DataFrame:
+    """The streamed bookings that have a time, with what settling needs of them."""
+    return silver.select(
         "booking_id", "channel", "booking_date", c.instant(F.col("booking_created_at")).alias("booked_at"),
         F.col("bronze_ingestion_timestamp").alias("delivered_at"), F.col("bronze_raw_s3_key").alias("raw_s3_key"),
     ).where(F.col("booked_at").isNotNull())
-    return booked.groupBy("booking_id").transformWithState(
-        statefulProcessor=Deliveries(), outputStructType=DELIVERY, outputMode="Append", timeMode="None"
-    )
+
+
+def numbered_deliveries(spark: SparkSession, rows: DataFrame, batch: int, kept: str) -> DataFrame:
+    """The rows of a batch, each with the number of its delivery, from 1, over the whole life of
+    the stream. Replayed, a batch counts on from the same: only those before it are read."""
+    known = current(spark, kept)
+    order = [F.coalesce(name, F.lit("")) for name in ("delivered_at", "raw_s3_key", "channel")]
+    here = F.row_number().over(Window.partitionBy("booking_id").orderBy(*order)).cast("long")
+    if known is None:
+        return rows.withColumn("delivery", here)
+    before = read_version(spark, kept, known, "parquet").where(F.col("batch") < batch)
+    before = before.join(rows.select("booking_id").distinct(), "booking_id", "left_semi")
+    counted = before.groupBy("booking_id").agg(F.sum("n").alias("_before"))
+    joined = rows.withColumn("delivery", here).join(counted, "booking_id", "left")
+    return joined.withColumn("delivery", F.col("delivery") + F.coalesce("_before", F.lit(0))).drop("_before").select(*COLUMNS, "delivery")
+
+
+def _keep_counts(spark: SparkSession, rows: DataFrame, batch: int, kept: str) -> None:
+    """Add how often a batch brought each id; nothing where it has been added before."""
+    if marks(spark, kept).get("batch", -1) >= batch:
+        return
+    now = current(spark, kept)
+    counts = rows.groupBy("booking_id").agg(F.count("*").alias("n")).withColumn("batch", F.lit(batch).cast("long"))
+    write_run(counts, kept, onto=now.runs if now else (), fmt="parquet", noted={"batch": batch}).commit()
+    compacted(spark, kept, most=MOST_RUNS, fmt="parquet")
 
 
 def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -119,20 +122,6 @@ def _late_days(reported: DataFrame) -> list:
     return [row[0] for row in reported.where("kind = 'late'").select("booking_date").distinct().collect()]
 
 
-@contextmanager
-def _rocksdb(spark: SparkSession):
-    """State in RocksDB for the queries started within; a running query keeps what it began with."""
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(PROVIDER)
-        else:
-            spark.conf.set(PROVIDER, before)
-
-
 def settled_stream(
     spark: SparkSession,
     bronze: str,
@@ -153,15 +142,17 @@ def settled_stream(
     day or channel, the first counts: of those in one batch the one taken in first.
     """
     events = read_bronze_bookings(spark, bronze, layout=layout, streaming=True, files_per_batch=files_per_batch)
-    numbered = numbered_deliveries(silver_bookings.bookings(events, channels))
+    booked, kept = booked_deliveries(silver_bookings.bookings(events, channels)), f"{checkpoint.rstrip('/')}/deliveries"
 
     def take(batch: DataFrame, number: int) -> None:
         # staged by the batch's session, which runs without AQE; the caller's does the rest
         with staged(batch) as rows:
             own = spark.read.schema(rows.schema).parquet(*rows.inputFiles())
-            if not own.isEmpty():
-                settle(spark, own, number, root, lateness)
-
-    writer = numbered.writeStream.outputMode("append").foreachBatch(take).option("checkpointLocation", checkpoint)
-    with _rocksdb(spark):
-        return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
+            if own.isEmpty():
+                return
+            with staged(numbered_deliveries(spark, own, number, kept)) as numbered:
+                settle(spark, numbered, number, root, lateness)
+                _keep_counts(spark, numbered, number, kept)
+
+    writer = booked.writeStream.outputMode("append").foreachBatch(take).option("checkpointLocation", checkpoint)
+    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()

@@ -94,6 +94,38 @@ def test_a_replayed_batch_changes_nothing(spark, tmp_path, monkeypatch):
     assert first != run(spark, tmp_path, "s", files_per_batch=2) == run(spark, tmp_path, "t", files_per_batch=2)
 
 
+def test_deliveries_are_numbered_through_without_python(spark, tmp_path, monkeypatch):
+    """Numbers go on over batches, over merged runs of the counts and over a replay, and the stream
+    calls no Python per id."""
+    _, delivered, parts = files()
+    monkeypatch.setattr(settled, "MOST_RUNS", 2)
+    for number, batch in enumerate(parts):
+        deliver(tmp_path / "bronze", number, batch)
+    keep, left = settled._keep_counts, [4]
+
+    def dies(*args):
+        keep(*args)
+        left[0] -= 1
+        if left[0] == 0:
+            raise OSError("gone")
+
+    monkeypatch.setattr(settled, "_keep_counts", dies)
+    query = streams.settled_stream(spark, str(tmp_path / "bronze"), str(tmp_path / "s"), str(tmp_path / "c-s"), files_per_batch=1)
+    with pytest.raises(Exception, match="gone"):
+        query.awaitTermination(300)
+    query = streams.settled_stream(spark, str(tmp_path / "bronze"), str(tmp_path / "s"), str(tmp_path / "c-s"), files_per_batch=1)
+    query.awaitTermination(300)
+    assert query.exception() is None
+    assert "TransformWithState" not in query._jsq.explainInternal(True)
+    again = read_table(spark, str(tmp_path / "s" / "reported"), "parquet").where("kind = 'repeated'").collect()
+    seen, want = collections.Counter(), set()
+    for name, _, _ in delivered:
+        seen[name] += 1
+        if seen[name] > 1:
+            want.add((name, seen[name]))
+    assert {(r.booking_id.removeprefix("book-"), r.delivery) for r in again} == want
+
+
 def test_bitmap_stream(spark, tmp_path):
     """Batches of one file, deliveries repeated: the tables are those of all bookings."""
     events, _, parts = files()
