@@ -205,9 +205,11 @@ def webhook_intake_job(
     received = webhook_intake(read_requests(spark, requests), ingested_at=ingested_at, channels=channels)
     with staged(received) as rows:
         good = valid_rows(rows).select(*BOOKING_ENVELOPE, *BOOKING_PARTITIONS)
-        write_bronze(good, target, BOOKING_PARTITIONS)
+        write_bronze(good, target, BOOKING_PARTITIONS, repeatable=True)
         if rejects:
-            write_bronze(rejected_rows(rows).drop("raw_event"), rejects, BOOKING_PARTITIONS)
+            # rejects may name any event type, each a folder
+            bad = rejected_rows(rows).drop("raw_event")
+            write_bronze(bad, rejects, BOOKING_PARTITIONS, rebalance=True, repeatable=True)
 
 
 def spend_intake_job(
@@ -236,7 +238,7 @@ def spend_intake_job(
         spark, files, file_names=chosen, ingested_at=ingested_at, source_base_url=source_base_url
     )
     with staged(taken) as rows:
-        write_bronze(rows.drop("record_count"), target, SPEND_PARTITIONS)
+        write_bronze(rows.drop("record_count"), target, SPEND_PARTITIONS, repeatable=True)
         if counts:
             per_file = rows.groupBy("raw_s3_key", "source_file_name", *SPEND_PARTITIONS).agg(
                 F.sum("record_count").alias("record_count")

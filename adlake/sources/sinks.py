@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Mapping, Sequence
-from contextlib import ExitStack, contextmanager
+from contextlib import ExitStack, contextmanager, nullcontext
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -38,6 +38,7 @@ def write_table(
     partition_by: Sequence[str] = (),
     fmt: str | None = None,
     rebalance: bool = True,
+    most_rows: int | None = None,
 ) -> None:
     """Write a table.
 
@@ -50,6 +51,7 @@ def write_table(
     A partitioned write is rebalanced by its partition columns first: a date goes to few
     files instead of one per task, while AQE splits a date too big for one task. Turn that off
     where AQE is (inside a stream), as a big date would then go to a single task.
+    ``most_rows`` bounds the rows of a file written in place.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
@@ -71,6 +73,8 @@ def write_table(
         writer = writer.option("overwriteSchema", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if most_rows:
+        writer = writer.option("maxRecordsPerFile", most_rows)
     writer.save(path)
 
 
@@ -92,8 +96,21 @@ def pending_table(
     return publish(df, path, partition_by=partition_by, fmt=fmt, noted=noted)
 
 
+#: So many files of a task are open at once; only rows of more folders are sorted first.
+OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
+#: Rows of a bronze file at most, as a rewritten one passes through one task.
+BRONZE_ROWS = 100_000
+
+
 def write_bronze(
-    df: DataFrame, path: str, partition_by: Sequence[str], *, mode: str = "replace_keys", key: str = "raw_s3_key"
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str],
+    *,
+    mode: str = "replace_keys",
+    key: str = "raw_s3_key",
+    rebalance: bool = False,
+    repeatable: bool = False,
 ) -> None:
     """Bronze envelopes as JSON lines in ``key=value`` folders.
 
@@ -105,17 +122,32 @@ def write_bronze(
     key are rewritten, each under its own name by one rename. Every other line, readable or not,
     stays as it is, byte for byte. New rows are written first, so that a job which dies loses
     nothing; run again, it replaces what it had written. A rewritten file passes through one
-    task, as the intake's own files are of the size of one.
+    task, so files hold ``BRONZE_ROWS`` rows at most.
+
+    An intake has rows of few folders, so each task writes its own files, without sorting its rows
+    by folder; ``rebalance`` brings the rows of a folder together first, for rows of many. Where nothing is stored yet, rows are
+    written as they come. Otherwise they are staged, unless ``repeatable`` says that ``df`` is
+    cheap to read several times and gives the same rows each time, as one staged already is.
     """
+    spark = df.sparkSession
+
+    def write(rows: DataFrame, mode: str) -> None:
+        with nullcontext() if rebalance else _setting(spark, OPEN_FILES, "8"):
+            write_table(
+                rows, path, mode=mode, partition_by=partition_by, fmt="json", rebalance=rebalance, most_rows=BRONZE_ROWS
+            )
+
     if mode != "replace_keys":
-        write_table(df, path, mode=mode, partition_by=partition_by, fmt="json")
+        write(df, mode)
         return
-    spark = df.sparkSession
-    with staged(df) as new:
+    if not Folder(spark, path).names(""):
+        write(df, "append")
+        return
+    with nullcontext(df) if repeatable else staged(df) as new:
         keys = new.select(*partition_by, key).distinct()
         with ExitStack() as kept:
             rest = _lines_that_stay(spark, path, keys, partition_by, key, kept)
-            write_table(new, path, mode="append", partition_by=partition_by, fmt="json")
+            write(new, "append")
             for old, content in rest.items():
                 if content is None:
                     delete_file(spark, old)
@@ -137,7 +169,9 @@ def _lines_that_stay(
         return {}
     of_line = F.get_json_object("value", f"$.{key}").alias(key)
     named = lines.select(*partition_by, "value", of_line, F.col("_metadata.file_path").alias("file"))
-    named = named.join(keys.select(*partition_by).distinct(), list(partition_by), "left_semi")
+    # broadcast whatever is estimated: dealt out by folder, all lines of one would land in one task
+    touched = F.broadcast(keys.select(*partition_by).distinct())
+    named = named.join(touched, list(partition_by), "left_semi")
     hit = kept.enter_context(staged(named.join(keys, [*partition_by, key], "left_semi").select("file").distinct()))
     # names of the files to rewrite, which the driver renames one by one
     files = [row["file"] for row in hit.collect()]
@@ -146,7 +180,7 @@ def _lines_that_stay(
         raise ValueError(f"{packed[0]} and {len(packed) - 1} others hold keys to replace and are not plain .json files")
     if not files:
         return {}
-    others = named.join(hit, "file", "left_semi").join(keys, [*partition_by, key], "left_anti")
+    others = named.join(F.broadcast(hit), "file", "left_semi").join(keys, [*partition_by, key], "left_anti")
     folder = staging_path(spark, "bronze-lines")
     kept.callback(Folder(spark, folder).delete, "")
     by_file = others.select("value", F.sha2("file", 256).alias("of")).repartition("of")
@@ -189,7 +223,7 @@ def register_table(spark: SparkSession, name: str, path: str, fmt: str | None =
             spark.catalog.refreshTable(name)
             return
         spark.sql(f"DROP TABLE {name}")
-    with _untracked(spark):
+    with _setting(spark, TRACKED, "false"):
         if shape is None:
             spark.catalog.createTable(name, path=folder, source=fmt)
             return
@@ -199,16 +233,16 @@ def register_table(spark: SparkSession, name: str, path: str, fmt: str | None =
 
 
 @contextmanager
-def _untracked(spark: SparkSession):
-    before = spark.conf.get(TRACKED, None)
-    spark.conf.set(TRACKED, "false")
+def _setting(spark: SparkSession, name: str, value: str):
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
         if before is None:
-            spark.conf.unset(TRACKED)
+            spark.conf.unset(name)
         else:
-            spark.conf.set(TRACKED, before)
+            spark.conf.set(name, before)
 
 
 def _quoted(text: str) -> str:

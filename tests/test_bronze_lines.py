@@ -1,6 +1,7 @@
 """Taking a key in again leaves every other line of its folder as it was."""
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -71,3 +72,29 @@ def test_keys_in_packed_files(spark, tmp_path):
         sinks.write_bronze(frame, root, BY)
     sinks.write_bronze(frame.withColumn("raw_s3_key", F.lit("k2")), root, BY)
     assert spark.read.json(root).count() == 2
+
+
+def test_no_folder_passes_through_one_task(spark, tmp_path, monkeypatch):
+    """Also where the keys are too many to be broadcast, lines are not dealt out by folder alone,
+    and a file that may have to be rewritten has a bounded number of rows."""
+    root = tmp_path / "b"
+    frame = spark.range(40).selectExpr("concat('k', id) raw_s3_key", "'a' x", "'e' event_type", "'2026-01-01' ingest_date").coalesce(1)
+    monkeypatch.setattr(sinks, "BRONZE_ROWS", 15, raising=False)
+    plans, staged = [], sinks.staged
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return staged(df)
+
+    monkeypatch.setattr(sinks, "staged", seen)
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    for name in names:
+        spark.conf.set(name, "-1")
+    try:
+        for _ in range(2):
+            sinks.write_bronze(frame, str(root), BY)
+    finally:
+        for name in names:
+            spark.conf.unset(name)
+    assert len(lines(root)) == 40 and len(list(root.rglob("*.json"))) == 3
+    assert not any(re.search(r"SortMergeJoin \[event_type#\d+, ingest_date#\d+\]", plan) for plan in plans)
