@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from adlake.functions.columns import settled
+
 GRAIN = "grain"
 
 Grains = Mapping[str, Sequence[str]]
@@ -47,12 +49,35 @@ def heavy_ids(rows: DataFrame, id_column: str) -> list[str]:
     return [top["item"] for top in row["top"] or [] if top["count"] > HEAVY_SHARE * row["n"]]
 
 
+def _per_id(rows: DataFrame, id_column: str, grains: Grains) -> DataFrame:
+    """The rows of each id once per grain and key, without the id."""
+    types, columns = dict(rows.dtypes), grain_columns(grains)
+    lists = rows.groupBy(id_column).agg(F.collect_list(F.struct(*columns)).alias("_rows"))
+
+    def placed(name: str, keys: Sequence[str], row):
+        shown = [(row[n] if n in keys else F.lit(None).cast(types[n])).alias(n) for n in columns]
+        return F.struct(F.lit(name).alias(GRAIN), *shown)
+
+    def in_order(name: str, keys: Sequence[str]):
+        return F.array_sort(F.transform("_rows", lambda row: placed(name, keys, row))).alias(name)
+
+    # sorted once per id, and then each compared with the one before it
+    ordered = settled(lists.select(*(in_order(name, keys) for name, keys in grains.items())))
+
+    def once(name: str):
+        return F.filter(name, lambda row, i: (i == 0) | ~row.eqNullSafe(F.get(name, i - 1)))
+
+    return ordered.select(F.inline(F.flatten(F.array(*(once(name) for name in grains)))))
+
+
 def counts_at_grains(rows: DataFrame, id_column: str, grains: Grains, count: str, heavy: Sequence[str] = ()) -> DataFrame:
     """Distinct ids per key of each grain. No row for a grain that nothing falls into.
 
     Equal tuples are dropped first, map-side too, so that an id delivered any number of times
     moves as one row per task. The rest is dealt out by id: all tuples of an id lie together, the
-    grains multiply them in place, and only partial counts are shuffled after that.
+    grains multiply them in place, and only partial counts are shuffled after that. Copies that a
+    grain makes are dropped within the list of an id, so a task sorts its tuples once and holds no
+    table of them at every grain.
 
     Ids in ``heavy`` may have so many different tuples that one task should not get them all.
     Theirs are multiplied where they are and dealt out by id and keys.
@@ -63,7 +88,7 @@ def counts_at_grains(rows: DataFrame, id_column: str, grains: Grains, count: str
     if heavy:
         listed = F.coalesce(F.col(id_column).isin(*heavy), F.lit(False))
         few, many = once.where(~listed), once.where(listed)
-    each = at_grains(few.repartition(id_column), grains, id_column).distinct()
+    each = _per_id(few.repartition(id_column), id_column, grains)
     if many is not None:
-        each = each.unionByName(at_grains(many, grains, id_column).distinct())
+        each = each.unionByName(at_grains(many, grains, id_column).distinct().drop(id_column))
     return each.groupBy(GRAIN, *columns).agg(F.count("*").alias(count))

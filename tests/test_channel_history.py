@@ -1,6 +1,7 @@
 """The channel at the time of an event, against a search through the history."""
 
 import random
+import re
 from datetime import datetime, timedelta
 
 import pytest
@@ -86,6 +87,23 @@ def test_heavy_ids_are_found_and_dealt_out(spark):
     assert counted(heavy) == counted([])
 
 
+def test_a_task_holds_no_table_of_ids_at_every_grain(spark):
+    """Copies that a grain makes of an id's rows are counted once, without a distinct over all grains."""
+    rows = spark.range(3000).selectExpr("cast(id % 700 as string) AS booking_id", "cast(id % 7 as string) AS a", "if(id % 5 = 0, NULL, id % 5) AS b")
+    grains = {"both": ["a", "b"], "a": ["a"], "b": ["b"], "all": []}
+    counted = counts_at_grains(rows, "booking_id", grains, "n")
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    above, found, _ = plan.partition("RepartitionByExpression")
+    assert found and not re.search(r"Aggregate \[booking_id#\d+, grain", above)
+    got = {(r.grain, r.a, r.b): r.n for r in counted.collect()}
+    ids = {}
+    for n in range(3000):
+        a, b = str(n % 7), (n % 5 or None)
+        for key in (("both", a, b), ("a", a, None), ("b", None, b), ("all", None, None)):
+            ids.setdefault(key, set()).add(n % 700)
+    assert got == {key: len(found) for key, found in ids.items()}
+
+
 def test_metrics_scan_silver_once(spark, tmp_path, monkeypatch):
     paths = [str(tmp_path / name) for name in ("s", "b")]
     write_table(spend(spark), paths[0], partition_by=["spend_date"], fmt="parquet")
