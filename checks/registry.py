@@ -914,10 +914,9 @@ def _run(*queries) -> None:
 
 
 def _twice_on_disk(spark: SparkSession, sf: str) -> str:
-    """The bronze events with every one delivered twice."""
-    path = views.bronze_bookings_on_disk(spark, sf)
-    views.bronze_bookings(spark, sf).write.mode("append").json(path)
-    return path
+    """The bronze events with every one delivered twice, packed: as plain lines they would be most
+    of what the streams' queries write."""
+    return views.bronze_bookings_on_disk(spark, sf, times=2, packed=True)
 
 
 @check(

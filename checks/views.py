@@ -256,10 +256,12 @@ def bronze_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def bronze_bookings_on_disk(spark: SparkSession, sf_dir: str) -> str:
-    """The same, written as JSON lines; returns the folder."""
+def bronze_bookings_on_disk(spark: SparkSession, sf_dir: str, *, times: int = 1, packed: bool = False) -> str:
+    """The same, written as JSON lines, each event so many times; returns the folder."""
     path = staging_path(spark, "bronze-bookings")
-    bronze_bookings(spark, sf_dir).write.json(path)
+    for _ in range(times):
+        writer = bronze_bookings(spark, sf_dir).write.mode("append")
+        writer.option("compression", "gzip" if packed else "none").json(path)
     return path
 
 

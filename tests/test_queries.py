@@ -3,6 +3,9 @@
 import pytest
 
 from __spark_entry__ import SMALL, entry, oracle_sql, queries
+from adlake.sources.files import Folder
+from adlake.sources.readers import read_bronze_bookings
+from checks import registry, views
 from checks.compare import difference, oracle_connection
 from checks.registry import ORACLES, QUERIES
 
@@ -53,3 +56,11 @@ def test_grains_multiply_rows_after_the_raw_shuffle(spark, capsys, name):
     # read from the top down: partial counts above, and between them and the rows dealt out by id no exchange
     assert "hashpartitioning(booking_id" in multiplied.split("Exchange ")[1]
     assert "Expand" not in plan.split("HashAggregate(keys=[grain")[-1].split("Exchange ")[0]
+
+def test_doubled_events_are_packed(spark):
+    """The input of the streams' queries is not most of what they write."""
+    plain = Folder(spark, views.bronze_bookings_on_disk(spark, SMALL))
+    twice = Folder(spark, registry._twice_on_disk(spark, SMALL))
+    assert 4 * twice.size("") < plain.size("")
+    events = spark.read.parquet(f"{SMALL}/events.parquet").count()
+    assert read_bronze_bookings(spark, twice.path).count() == 2 * events
