@@ -59,13 +59,16 @@ def _per_id(rows: DataFrame, id_column: str, grains: Grains) -> DataFrame:
         return F.struct(F.lit(name).alias(GRAIN), *shown)
 
     def in_order(name: str, keys: Sequence[str]):
-        return F.array_sort(F.transform("_rows", lambda row: placed(name, keys, row))).alias(name)
+        # most ids have one row, which needs no function per element
+        alone = F.when(F.size("_rows") == 1, F.array(placed(name, keys, F.col("_rows")[0])))
+        return alone.otherwise(F.array_sort(F.transform("_rows", lambda row: placed(name, keys, row)))).alias(name)
 
     # sorted once per id, and then each compared with the one before it
     ordered = settled(lists.select(*(in_order(name, keys) for name, keys in grains.items())))
 
     def once(name: str):
-        return F.filter(name, lambda row, i: (i == 0) | ~row.eqNullSafe(F.get(name, i - 1)))
+        several = F.filter(name, lambda row, i: (i == 0) | ~row.eqNullSafe(F.get(name, i - 1)))
+        return F.when(F.size(name) == 1, F.col(name)).otherwise(several)
 
     return ordered.select(F.inline(F.flatten(F.array(*(once(name) for name in grains)))))
 

@@ -74,6 +74,8 @@ class Written:
     fmt: str | None
 
 
+#: Tables of a job that are written at a time.
+WRITERS = 4
 #: Mark of a published table: what it was made of.
 MADE_OF = "made of"
 
@@ -99,17 +101,21 @@ class Progress:
 def _write_all(spark: SparkSession, tables: list[Written], made_of: str | None = None) -> None:
     """Write a job's tables. In the publishing modes all are written first and then committed one
     right after the other, so that a job which dies while writing has changed none of them."""
-    pending: list[Pending] = []
+    published = [table for table in tables if table.mode.startswith("publish")]
+
+    def write(table: Written) -> Pending:
+        return pending_table(
+            table.df, table.path, mode=table.mode, partition_by=table.partition_by, fmt=table.fmt,
+            noted={MADE_OF: made_of} if made_of else None,
+        )
+
     for table in tables:
-        if table.mode.startswith("publish"):
-            pending.append(
-                pending_table(
-                    table.df, table.path, mode=table.mode, partition_by=table.partition_by, fmt=table.fmt,
-                    noted={MADE_OF: made_of} if made_of else None,
-                )
-            )
-        else:
+        if not table.mode.startswith("publish"):
             write_table(table.df, table.path, mode=table.mode, partition_by=table.partition_by, fmt=table.fmt)
+    # side by side, as none of them needs another and a small one leaves most cores idle
+    with ThreadPoolExecutor(max_workers=WRITERS) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(write), table) for table in published]
+    pending = [table.result() for table in running]
     for version in pending:
         version.commit()
 

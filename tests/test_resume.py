@@ -1,6 +1,7 @@
 """A sequence that goes on where it died, and a streamed table that stays compact."""
 
 import json
+import threading
 
 import pytest
 
@@ -130,3 +131,16 @@ def test_a_replayed_batch_is_left_out(spark, tmp_path, monkeypatch):
     monkeypatch.undo()
     streams.silver_version_stream(spark, str(bronze), target, str(tmp_path / "c"), fmt="parquet").awaitTermination(300)
     assert read_table(spark, target, "parquet").count() == 1
+
+
+def test_published_tables_are_written_side_by_side(spark, tmp_path, monkeypatch):
+    together, plain = threading.Barrier(2), jobs.pending_table
+
+    def both(*args, **options):
+        together.wait(timeout=20)
+        return plain(*args, **options)
+
+    monkeypatch.setattr(jobs, "pending_table", both)
+    paths = [str(tmp_path / name) for name in "ab"]
+    jobs._write_all(spark, [jobs.Written(spark.range(n), path, "publish", [], "parquet") for n, path in enumerate(paths, 1)])
+    assert [read_table(spark, path, "parquet").count() for path in paths] == [1, 2]
