@@ -26,7 +26,7 @@ from adlake.fixed_values import CHANNEL_BY_EVENT_TYPE, SPEND_CHANNELS
 from adlake.operators import gold_bookings, gold_combined, gold_spend, silver_bookings, silver_spend
 from adlake.operators.gold_extra import metric_inputs, metric_tables
 from adlake.operators.grains import heavy_ids
-from adlake.operators.quality import BROKEN, ROWS, raise_on_counts, rejected_rows, valid_rows, watched
+from adlake.operators.quality import BROKEN, REASONS, ROWS, raise_on_counts, rejected_rows, valid_rows, watched
 from adlake.session import build_session, staged
 from adlake.sources.intake import (
     BOOKING_ENVELOPE,
@@ -206,16 +206,20 @@ def webhook_intake_job(
     rejects: str | None = None,
     ingested_at: str | None = None,
     channels: Mapping[str, str] = CHANNEL_BY_EVENT_TYPE,
+    packed: bool = True,
 ) -> None:
-    """Logged webhook requests to bronze. Rejects, keyed alike, go to a folder of their own."""
+    """Logged webhook requests to bronze. Rejects, keyed alike, go to a folder of their own.
+
+    Both are files of gzip unless ``packed`` is turned off. Only rejects are staged with their body:
+    that of a good row would be its event once more."""
     received = webhook_intake(read_requests(spark, requests), ingested_at=ingested_at, channels=channels)
-    with staged(received) as rows:
+    with staged(received.withColumn("body", F.when(F.size(REASONS) > 0, F.col("body")))) as rows:
         good = valid_rows(rows).select(*BOOKING_ENVELOPE, *BOOKING_PARTITIONS)
-        write_bronze(good, target, BOOKING_PARTITIONS, repeatable=True)
+        write_bronze(good, target, BOOKING_PARTITIONS, repeatable=True, packed=packed)
         if rejects:
             # rejects may name any event type, each a folder
             bad = rejected_rows(rows).drop("raw_event")
-            write_bronze(bad, rejects, BOOKING_PARTITIONS, rebalance=True, repeatable=True)
+            write_bronze(bad, rejects, BOOKING_PARTITIONS, rebalance=True, repeatable=True, packed=packed)
 
 
 def spend_intake_job(

@@ -39,6 +39,7 @@ def write_table(
     fmt: str | None = None,
     rebalance: bool = True,
     most_rows: int | None = None,
+    codec: str | None = None,
 ) -> None:
     """Write a table.
 
@@ -51,7 +52,7 @@ def write_table(
     A partitioned write is rebalanced by its partition columns first: a date goes to few
     files instead of one per task, while AQE splits a date too big for one task. Turn that off
     where AQE is (inside a stream), as a big date would then go to a single task.
-    ``most_rows`` bounds the rows of a file written in place.
+    ``most_rows`` bounds the rows of a file written in place, ``codec`` is what packs its files.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
@@ -75,6 +76,8 @@ def write_table(
         writer = writer.partitionBy(*partition_by)
     if most_rows:
         writer = writer.option("maxRecordsPerFile", most_rows)
+    if codec:
+        writer = writer.option("compression", codec)
     writer.save(path)
 
 
@@ -100,6 +103,8 @@ def pending_table(
 OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
 #: Rows of a bronze file at most, as a rewritten one passes through one task.
 BRONZE_ROWS = 100_000
+#: Ends of the names of plain and of packed bronze files, and what writes them.
+PLAIN_FILE, PACKED_FILE = (".json", "none"), (".json.gz", "gzip")
 
 
 def write_bronze(
@@ -111,6 +116,7 @@ def write_bronze(
     key: str = "raw_s3_key",
     rebalance: bool = False,
     repeatable: bool = False,
+    packed: bool = False,
 ) -> None:
     """Bronze envelopes as JSON lines in ``key=value`` folders.
 
@@ -128,14 +134,20 @@ def write_bronze(
     by folder; ``rebalance`` brings the rows of a folder together first, for rows of many. Where nothing is stored yet, rows are
     written as they come. Otherwise they are staged, unless ``repeatable`` says that ``df`` is
     cheap to read several times and gives the same rows each time, as one staged already is.
+
+    ``packed`` writes files of gzip, some tenth of the size of plain lines, and takes the place of
+    keys in such files as well; plain ones that are there stay plain. Old and new rows are on disk
+    together for a while, so a large intake taken in again asks for it.
     """
     spark = df.sparkSession
+    kinds = (PLAIN_FILE, PACKED_FILE) if packed else (PLAIN_FILE,)
 
     def write(rows: DataFrame, mode: str) -> None:
         with nullcontext() if rebalance else _setting(spark, OPEN_FILES, "8"):
             write_table(
-                rows, path, mode=mode, partition_by=partition_by, fmt="json", rebalance=rebalance, most_rows=BRONZE_ROWS
-            )
+                rows, path, mode=mode, partition_by=partition_by, fmt="json", rebalance=rebalance, most_rows=BRONZE_ROWS,
+                codec=kinds[-1][1] if packed else None,
+            )
 
     if mode != "replace_keys":
         write(df, mode)
@@ -146,7 +158,7 @@ def write_bronze(
     with nullcontext(df) if repeatable else staged(df) as new:
         keys = new.select(*partition_by, key).distinct()
         with ExitStack() as kept:
-            rest = _lines_that_stay(spark, path, keys, partition_by, key, kept)
+            rest = _lines_that_stay(spark, path, keys, partition_by, key, kinds, kept)
             write(new, "append")
             for old, content in rest.items():
                 if content is None:
@@ -156,7 +168,13 @@ def write_bronze(
 
 
 def _lines_that_stay(
-    spark: SparkSession, path: str, keys: DataFrame, partition_by: Sequence[str], key: str, kept: ExitStack
+    spark: SparkSession,
+    path: str,
+    keys: DataFrame,
+    partition_by: Sequence[str],
+    key: str,
+    kinds: Sequence[tuple[str, str]],
+    kept: ExitStack,
 ) -> dict[str, str | None]:
     """Per file that holds one of the keys, a staged file with its other lines (None without any)."""
     columns = ", ".join(f"`{name}` string" for name in partition_by)
@@ -172,25 +190,35 @@ def _lines_that_stay(
     # broadcast whatever is estimated: dealt out by folder, all lines of one would land in one task
     touched = F.broadcast(keys.select(*partition_by).distinct())
     named = named.join(touched, list(partition_by), "left_semi")
-    hit = kept.enter_context(staged(named.join(keys, [*partition_by, key], "left_semi").select("file").distinct()))
+    marked = named.drop("value").join(keys.withColumn("_new", F.lit(1)), [*partition_by, key], "left")
+    stays = (F.count("*") > F.count("_new")).alias("stays")
+    hit = kept.enter_context(staged(marked.groupBy("file").agg(stays, F.count("_new").alias("_new")).where("_new > 0")))
     # names of the files to rewrite, which the driver renames one by one
-    files = [row["file"] for row in hit.collect()]
-    packed = [name for name in files if not name.endswith(".json")]
-    if packed:
-        raise ValueError(f"{packed[0]} and {len(packed) - 1} others hold keys to replace and are not plain .json files")
-    if not files:
-        return {}
-    others = named.join(F.broadcast(hit), "file", "left_semi").join(keys, [*partition_by, key], "left_anti")
+    files = {row["file"]: row["stays"] for row in hit.collect()}
+    other = [name for name in files if not name.endswith(tuple(end for end, _ in kinds))]
+    if other:
+        ends = " or ".join(end for end, _ in kinds)
+        raise ValueError(f"{other[0]} and {len(other) - 1} others hold keys to replace and are not plain {ends} files")
+    content: dict[str, str | None] = dict.fromkeys(files)
+    if not any(files.values()):
+        return content
+    # whole lines are dealt out only of files of which a part stays
+    partly = F.broadcast(hit.where("stays"))
+    others = named.join(partly, "file", "left_semi").join(keys, [*partition_by, key], "left_anti")
     folder = staging_path(spark, "bronze-lines")
     kept.callback(Folder(spark, folder).delete, "")
-    by_file = others.select("value", F.sha2("file", 256).alias("of")).repartition("of")
-    by_file.write.option("lineSep", "\n").partitionBy("of").text(folder)
     staged_files = Folder(spark, folder)
-    content = {}
-    for name in files:
-        inside = f"of={hashlib.sha256(name.encode()).hexdigest()}"
-        parts = [part for part in staged_files.names(inside) if part.startswith("part-")]
-        content[name] = f"{folder}/{inside}/{parts[0]}" if parts else None
+    for end, codec in kinds:
+        names = [name for name, stays in files.items() if stays and name.endswith(end)]
+        if not names:
+            continue
+        by_file = others.where(F.endswith("file", F.lit(end))).select("value", F.sha2("file", 256).alias("of")).repartition("of")
+        writer = by_file.write.mode("append").option("lineSep", "\n").option("compression", codec)
+        writer.partitionBy("of").text(folder)
+        for name in names:
+            inside = f"of={hashlib.sha256(name.encode()).hexdigest()}"
+            (part,) = (part for part in staged_files.names(inside) if part.startswith("part-"))
+            content[name] = f"{folder}/{inside}/{part}"
     return content
 
 

@@ -1106,8 +1106,7 @@ def _documents_to_silver(spark, sf):
 )
 def _webhook_intake_job(spark, sf):
     """Logged requests taken in by the job, twice, and read into silver."""
-    requests, bronze = staging_path(spark, "requests"), staging_path(spark, "bronze")
-    views.webhook_requests(spark, sf).select("body", "isBase64Encoded").write.json(requests)
+    requests, bronze = views.webhook_requests_on_disk(spark, sf), staging_path(spark, "bronze")
     for _ in range(2):
         jobs.webhook_intake_job(
             spark, requests, bronze, rejects=staging_path(spark, "rejects"), ingested_at=INTAKE_AT, channels=views.CHANNELS

@@ -282,6 +282,17 @@ def webhook_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.settled(requests)
 
 
+REQUESTS_PER_FILE = 100_000
+
+
+def webhook_requests_on_disk(spark: SparkSession, sf_dir: str) -> str:
+    """The same as packed logs, each read whole by one task; returns the folder."""
+    path = staging_path(spark, "requests")
+    writer = webhook_requests(spark, sf_dir).select("body", "isBase64Encoded").write
+    writer.option("compression", "gzip").option("maxRecordsPerFile", REQUESTS_PER_FILE).json(path)
+    return path
+
+
 def _written_spend() -> tuple[Column, Column, Column]:
     k = F.col("k")
     date = (
