@@ -1078,24 +1078,13 @@ def _appended_spend(spark, sf):
     return readers.read_silver_spend(spark, target, "parquet").select("spend_date", "channel", "spend_usd")
 
 
-EVENTS_PER_DOCUMENT = 10_000
-
-
 @check(
     "documents_to_silver",
     f"WITH {WEBHOOKS_SQL} SELECT {SILVER_SELECT_SQL} FROM w WHERE {VALID_WEBHOOK_SQL}",
 )
 def _documents_to_silver(spark, sf):
-    """Folders of whole JSON documents, each an array of events, beside files that the glob leaves out.
-    A document holds some ``EVENTS_PER_DOCUMENT`` events, however many there are."""
-    root = staging_path(spark, "documents")
-    events = views.bronze_bookings(spark, sf)
-    documents = max(16, -(-events.count() // EVENTS_PER_DOCUMENT))
-    part = F.pmod(F.xxhash64(F.to_json(F.struct("raw_event"))), F.lit(documents)).alias("part")
-    rows = events.select(part, F.struct(*events.columns).alias("row"))
-    rows.groupBy("part").agg(F.to_json(F.collect_list("row")).alias("value")).write.partitionBy("part").text(f"{root}/a")
-    events.write.json(f"{root}/a/part=0/skipped")
-    read = readers.read_bronze_bookings(spark, root, layout="documents", glob="*.txt")
+    """Folders of whole JSON documents, each an array of events, beside files that the glob leaves out."""
+    read = readers.read_bronze_bookings(spark, views.documents_on_disk(spark, sf), layout="documents", glob="*.txt.gz")
     return silver_bookings.bookings(read, views.CHANNELS).select(SILVER_FIELDS)
 
 

@@ -155,8 +155,9 @@ def _iso(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 
 
-def webhook_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every row of ``events`` as a webhook event, some of them broken in known ways."""
+def webhook_events(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
+    """Every row of ``events``, or of ``rows`` made of it, as a webhook event, some of them broken
+    in known ways. Further columns of ``rows`` stay."""
     k, user = F.col("k"), F.col("user_id")
     number = F.col("event_id").cast("string")
     starts = _iso(F.col("ts") + F.make_dt_interval(F.lit(0), k))
@@ -212,7 +213,10 @@ def webhook_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             "tracking"
         ),
     )
-    return events(spark, sf_dir).select(
+    rows = events(spark, sf_dir) if rows is None else rows
+    further = [name for name in rows.columns if name not in ("event_id", "k", "ts", "user_id", "event_type", "value")]
+    return rows.select(
+        *further,
         "event_id",
         "k",
         "ts",
@@ -247,8 +251,10 @@ w AS (SELECT event_id, k, ts, 'B' || event_id AS booking_id, 'M' || event_id AS
 VALID_WEBHOOK_SQL = "webhook_event = 'invitee.created' AND channel IS NOT NULL AND t IS NOT NULL"
 
 
-def bronze_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return webhook_events(spark, sf_dir).select(
+def bronze_bookings(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
+    found = webhook_events(spark, sf_dir, rows)
+    return found.select(
+        *(name for name in found.columns if name not in ("event_id", "k", "ts", "raw_event")),
         F.lit("events").alias("source_system"),
         _iso(F.col("ts")).alias("ingestion_timestamp"),
         F.concat(F.lit("bronze/"), "event_id").alias("raw_s3_key"),
@@ -282,6 +288,28 @@ def webhook_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.settled(requests)
 
 
+EVENTS_PER_DOCUMENT = 10_000
+
+
+def documents_on_disk(spark: SparkSession, sf_dir: str) -> str:
+    """Packed JSON documents, each an array of some ``EVENTS_PER_DOCUMENT`` bronze events, however
+    many there are, beside packed files of other names; returns the folder.
+
+    The rows of a document are brought together while they are as narrow as in ``events``. There
+    are as many tasks as documents, as a document is put together in memory."""
+    path = staging_path(spark, "documents")
+    found = events(spark, sf_dir)
+    documents = max(16, -(-found.count() // EVENTS_PER_DOCUMENT))
+    part = F.pmod(F.xxhash64("event_id"), F.lit(documents)).alias("part")
+    dealt = bronze_bookings(spark, sf_dir, found.select("*", part).repartition(documents, "part"))
+    row = F.struct(*(name for name in dealt.columns if name != "part"))
+    whole = dealt.groupBy("part").agg(F.to_json(F.collect_list(row)).alias("value"))
+    whole.write.partitionBy("part").option("compression", "gzip").text(f"{path}/a")
+    skipped = bronze_bookings(spark, sf_dir).write.option("compression", "gzip")
+    skipped.json(f"{path}/a/part=0/skipped")
+    return path
+
+
 REQUESTS_PER_FILE = 100_000
 
 

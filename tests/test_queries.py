@@ -3,6 +3,7 @@
 import pytest
 
 from __spark_entry__ import SMALL, entry, oracle_sql, queries
+from adlake import session
 from adlake.sources.files import Folder
 from adlake.sources.readers import read_bronze_bookings
 from checks import registry, views
@@ -64,3 +65,14 @@ def test_doubled_events_are_packed(spark):
     assert 4 * twice.size("") < plain.size("")
     events = spark.read.parquet(f"{SMALL}/events.parquet").count()
     assert read_bronze_bookings(spark, twice.path).count() == 2 * events
+
+
+def test_documents_are_packed(spark, tmp_path, monkeypatch):
+    """The documents and the files beside them are small next to one plain copy of the events."""
+    plain = Folder(spark, views.bronze_bookings_on_disk(spark, SMALL))
+    monkeypatch.setattr(session, "scratch_dir", lambda spark: str(tmp_path))
+    read = queries()["documents_to_silver"](spark, SMALL)
+    assert 4 * Folder(spark, str(tmp_path)).size("") < plain.size("")
+    assert read.count() == queries()["silver_bookings_derived"](spark, SMALL).count()
+    names = [path.name for path in tmp_path.rglob("part-*")]
+    assert sum(name.endswith(".txt.gz") for name in names) == 16 and any(name.endswith(".json.gz") for name in names)
