@@ -295,13 +295,13 @@ def documents_on_disk(spark: SparkSession, sf_dir: str) -> str:
     """Packed JSON documents, each an array of some ``EVENTS_PER_DOCUMENT`` bronze events, however
     many there are, beside packed files of other names; returns the folder.
 
-    The rows of a document are brought together while they are as narrow as in ``events``. There
-    are as many tasks as documents, as a document is put together in memory."""
+    The rows of a document are brought together while they are as narrow as in ``events``, and each
+    document by a task of its own, as it is put together in memory."""
     path = staging_path(spark, "documents")
     found = events(spark, sf_dir)
     documents = max(16, -(-found.count() // EVENTS_PER_DOCUMENT))
-    part = F.pmod(F.xxhash64("event_id"), F.lit(documents)).alias("part")
-    dealt = bronze_bookings(spark, sf_dir, found.select("*", part).repartition(documents, "part"))
+    part = F.pmod(F.xxhash64("event_id"), F.lit(documents)).cast("int").alias("part")
+    dealt = bronze_bookings(spark, sf_dir, found.select("*", part).repartitionById(documents, F.col("part")))
     row = F.struct(*(name for name in dealt.columns if name != "part"))
     whole = dealt.groupBy("part").agg(F.to_json(F.collect_list(row)).alias("value"))
     whole.write.partitionBy("part").option("compression", "gzip").text(f"{path}/a")
